@@ -27,7 +27,7 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     select_required(df, schema.names)
     columns = []
     for field in schema.fields:
-        column = F.col(field.name).cast(field.dataType)
+        column = F.col(field.name).cast(field.dataType.simpleString())
         columns.append(
             (column if field.nullable else not_null(column, field.name)).alias(field.name)
         )

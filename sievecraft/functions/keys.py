@@ -25,6 +25,10 @@ def group_key(patch_id: Column, row_id: Column) -> Column:
     return F.coalesce(F.nullif(patch_id, F.lit("")), F.concat(F.lit("id:"), row_id))
 
 
+_WORDS = range(5)
+_EMPTY_SUM = "0" * 40
+
+
 def _little_endian(hex_digest: Column, word: int) -> Column:
     """The `word`-th 32 bits of a hex digest as a number, first byte least significant."""
     pairs = [F.substring(hex_digest, 8 * word + 2 * byte + 1, 2) for byte in (3, 2, 1, 0)]
@@ -36,6 +40,24 @@ def _hex_little_endian(number: Column) -> Column:
     return F.concat(*[F.substring(digits, 2 * byte + 1, 2) for byte in (3, 2, 1, 0)])
 
 
+def _hex_sum(hex_digests: Column) -> Column:
+    """Sum of 160-bit digests modulo 2**160, in one pass over the array."""
+    zeros = F.array(*[F.lit(0).cast("long") for _ in _WORDS])
+
+    def add(totals: Column, digest: Column) -> Column:
+        return F.array(*[totals[word] + _little_endian(digest, word) for word in _WORDS])
+
+    def carry(totals: Column) -> Column:
+        carried, digits = F.lit(0).cast("long"), []
+        for word in _WORDS:
+            total = totals[word] + carried
+            digits.append(_hex_little_endian(total.bitwiseAND(F.lit(0xFFFFFFFF))))
+            carried = F.shiftright(total, 32)
+        return F.concat(*digits)
+
+    return F.aggregate(hex_digests, zeros, add, carry)
+
+
 def patch_fingerprint(diff: Column) -> Column:
     """Content key of a unified diff, the same for diffs that differ in line numbers, blob hashes,
     white space or file order only; null if the text holds no diff.
@@ -47,33 +69,12 @@ def patch_fingerprint(diff: Column) -> Column:
     sections = F.filter(
         F.split(diff, r"(?dm)^(?=diff --git )"), lambda part: part.startswith("diff --git ")
     )
-    digests = F.transform(
-        sections,
-        lambda part: F.sha1(
-            F.regexp_replace(
-                F.regexp_replace(part, r"(?dm)^(?:index |@@ -|\\ .{10,}).*$", ""), r"[ \t\r\n]+", ""
-            )
-        ),
-    )
 
-    def word_sum(word: int) -> Column:
-        return F.aggregate(
-            digests,
-            F.lit(0).cast("long"),
-            lambda total, digest: total + _little_endian(digest, word),
-        )
-
-    words = [word_sum(word) for word in range(5)]
-    start = F.struct(F.lit(0).cast("long").alias("carry"), F.lit("").alias("digits"))
-
-    def add_word(state: Column, word: Column) -> Column:
-        total = state["carry"] + word
-        return F.struct(
-            F.shiftright(total, 32).alias("carry"),
-            F.concat(
-                state["digits"], _hex_little_endian(total.bitwiseAND(F.lit(0xFFFFFFFF)))
-            ).alias("digits"),
-        )
-
-    total = F.aggregate(F.array(*words), start, add_word, lambda state: state["digits"])
-    return F.when(F.size(sections) > 0, total)
+    def digest(section: Column) -> Column:
+        text = F.regexp_replace(section, r"(?dm)^(?:index |@@ -|\\ .{10,}).*$", "")
+        for blank in " \t\r\n":
+            text = F.replace(text, F.lit(blank), F.lit(""))
+        return F.sha1(text)
+
+    digests = F.transform(sections, digest)
+    return F.nullif(_hex_sum(digests), F.lit(_EMPTY_SUM))

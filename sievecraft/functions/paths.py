@@ -29,32 +29,50 @@ _URL = r"\A(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
 _SCP = r"\A([^/:]*):((?s:.+))\z"
 
 
-def remote_slug(url: Column) -> Column:
-    """Comparable `host/path` of a remote: no user, port, query, fragment, `.git` or letter case.
+def _slug(host: Column, path: Column) -> Column:
+    return F.concat(host, F.lit("/"), F.btrim(path, F.lit("/")))
 
-    Anything that names no host is only case-folded.
-    """
-    text = F.regexp_replace(F.rtrim(strip(url), F.lit("/")), r"\.git\z", "")
+
+def _link_parts(text: Column) -> Column:
     # URL parsers drop tabs and line ends anywhere in a URL.
     link = F.translate(text, "\t\r\n", "")
     server = F.regexp_extract(F.regexp_extract(link, _URL, 1), r"([^@]*)\z", 1)
-    host = F.regexp_extract(server, r"\A(?:\[([^\]]*)\]|([^:\[]*))", 0)
-    host = F.translate(host, "[]", "")
-    scp_host = F.regexp_extract(F.regexp_extract(text, _SCP, 1), r"([^@]*)\z", 1)
+    host = F.regexp_extract(server, r"\A(?:\[[^\]]*|[^:\[]*)", 0)
+    return F.struct(
+        text.alias("text"),
+        F.ltrim(host, F.lit("[")).alias("host"),
+        F.regexp_extract(link, _URL, 2).alias("path"),
+        F.regexp_extract(F.regexp_extract(text, _SCP, 1), r"([^@]*)\z", 1).alias("scp_host"),
+        F.regexp_extract(text, _SCP, 2).alias("scp_path"),
+    )
 
-    def slug(name: Column, path: Column) -> Column:
-        return casefold(F.concat(name, F.lit("/"), F.btrim(path, F.lit("/"))))
 
-    return (
-        F.when(host != "", slug(host, F.regexp_extract(link, _URL, 2)))
-        .when(scp_host != "", slug(scp_host, F.regexp_extract(text, _SCP, 2)))
-        .otherwise(casefold(text))
+def _slugs(urls: Column) -> Column:
+    # One transform per step: each step's value is then computed once, however often the next
+    # step uses it.
+    texts = F.transform(
+        urls, lambda url: F.regexp_replace(F.rtrim(strip(url), F.lit("/")), r"\.git\z", "")
     )
+    named = F.transform(
+        F.transform(texts, _link_parts),
+        lambda part: F.when(part["host"] != "", _slug(part["host"], part["path"]))
+        .when(part["scp_host"] != "", _slug(part["scp_host"], part["scp_path"]))
+        .otherwise(part["text"]),
+    )
+    return F.transform(named, casefold)
+
+
+def remote_slug(url: Column) -> Column:
+    """Comparable `host/path` of a remote: no user, port, query, fragment, `.git` or letter case.
+
+    Anything that names no host is only case-folded.
+    """
+    return _slugs(F.array(url))[0]
 
 
 def remote_slugs(remotes: Column) -> Column:
     """Sorted distinct slugs of an array of remotes."""
-    return F.array_sort(F.array_distinct(F.transform(remotes, remote_slug)))
+    return F.array_sort(F.array_distinct(_slugs(remotes)))
 
 
 def remote_urls(remotes: Column) -> Column:
@@ -118,19 +136,27 @@ def glob_match(value: Column, globs: Sequence[str]) -> Column:
 
 def any_glob_match(values: Column, globs: Sequence[str]) -> Column:
     """Whether any element of an array matches any glob, ignoring case."""
-    if not globs:
+    regex = glob_regex(glob.casefold() for glob in globs)
+    if regex is None:
         return F.lit(False)
-    return F.exists(values, lambda value: glob_match(value, globs))
+    return F.exists(F.transform(values, casefold), lambda value: value.rlike(regex))
 
 
-def is_generated_path(path: Column) -> Column:
-    """Whether a path component is a generated directory name, or the file name a generated one."""
-    names = "|".join(GENERATED_DIRECTORIES)
+def generated_path_regex() -> tuple[str, str]:
+    """Regexes of a generated path component and of the end of a generated file name."""
+    folders = "|".join(GENERATED_DIRECTORIES)
+    # All globs start with `*.`; the dot in front of the alternatives keeps the search fast.
     endings = "|".join(
-        re.escape(glob[1:-1]) + "[^/]*" if glob.endswith("*") else re.escape(glob[1:])
+        re.escape(glob[2:-1]) + "[^/]*" if glob.endswith("*") else re.escape(glob[2:])
         for glob in GENERATED_FILES
     )
-    return path.rlike(rf"(?:^|/)(?:{names})(?:/|\z)") | path.rlike(rf"(?:{endings})\z")
+    return rf"(?:{folders})(?:/|\z)", rf"\.(?:{endings})\z"
+
+
+def is_generated_path(path: Column) -> Column:
+    """Whether a path component is a generated directory name, or the file name a generated one."""
+    component, ending = generated_path_regex()
+    return path.rlike(rf"(?:^|/){component}") | path.rlike(ending)
 
 
 def path_candidates(path: Column, roots: Sequence[str]) -> Column:

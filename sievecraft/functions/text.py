@@ -15,6 +15,12 @@ WHITESPACE = (
     r"\u0009-\u000D\u001C- \u0085\u00A0\u1680"
     r"\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 )
+# The same set with one range in front of the rare members, so that the regex engine turns down an
+# ordinary character after two tests.
+_BLANKS = (
+    rf"[[\t-\r\x1C- ][\x85-\u3000&&[\x85\xA0\u1680\u2000-\u200A"
+    rf"\u2028\u2029\u202F\u205F\u3000]]]++"
+)
 # The characters at which str.splitlines() ends a line (CR LF counts once).
 LINE_BREAK = r"\n\r\u000B\u000C\u001C-\u001E\u0085\u2028\u2029"
 
@@ -109,9 +115,14 @@ def identity_key(text: Column) -> Column:
     return casefold(strip(text))
 
 
+def squeeze(text: Column) -> Column:
+    """One line with single spaces between words."""
+    return F.btrim(F.regexp_replace(text, _BLANKS, " "), F.lit(" "))
+
+
 def normalise_subject(text: Column) -> Column:
     """NFC on one line, with single spaces between words; letter case is left alone."""
-    return F.btrim(F.regexp_replace(nfc(text), f"[{WHITESPACE}]+", " "), F.lit(" "))
+    return squeeze(nfc(text))
 
 
 def normalise_patch_text(text: Column) -> Column:
@@ -152,7 +163,9 @@ def changed_files(diff: Column) -> Column:
 
     An added text line that reads `++ b/x` looks the same and is counted too.
     """
-    header = rf"(?<![^{LINE_BREAK}])\+\+\+ b/([^{LINE_BREAK}]*)"
+    # The literal comes first, so that the engine can search for it; what precedes it is checked
+    # afterwards.
+    header = rf"\+\+\+ b/(?<![^{LINE_BREAK}]\+\+\+ b/)([^{LINE_BREAK}]*)"
     return F.regexp_extract_all(diff, F.lit(header), F.lit(1))
 
 
@@ -169,11 +182,12 @@ def truncate_tokens(text: Column, limit: int = 4096) -> Column:
     `truncated` is true only if a token was dropped.
     """
     # Possessive quantifiers: the match runs in a loop, without Java's recursion per repetition.
-    head = F.regexp_extract(text, rf"\A(?:[{WHITESPACE}]*+[^{WHITESPACE}]++){{0,{limit}}}+", 0)
-    dropped = F.length(F.rtrim(text, F.lit(WHITESPACE_CHARS))) > F.length(head)
-    return F.struct(
-        F.when(dropped, head).otherwise(text).alias("text"), dropped.alias("truncated")
-    )
+    # White space at the very end goes with the last token.
+    token = rf"[{WHITESPACE}]*+[^{WHITESPACE}]++"
+    pattern = rf"\A(?:{token}){{0,{limit}}}+(?:[{WHITESPACE}]*+\z)?"
+    # A text shorter than this cannot hold more tokens.
+    head = F.when(F.length(text) <= 2 * limit, text).otherwise(F.regexp_extract(text, pattern, 0))
+    return F.struct(head.alias("text"), (F.length(text) > F.length(head)).alias("truncated"))
 
 
 def review_prompt(subject: Column, diff: Column) -> Column:

@@ -4,19 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sievecraft.functions.paths import is_generated_path
+from sievecraft.functions.paths import generated_path_regex, is_generated_path
 
 COMMIT_KEY = ("repository_path", "commit_sha")
 
 
-def _entries(numstat: Column) -> Column:
-    return F.filter(F.split(numstat, "\u0000"), lambda entry: entry != "")
-
-
-def _fields(entry: Column) -> Column:
-    return F.split(entry, "\t", 3)
-
-
 def parse_numstat(df: DataFrame, column: str = "numstat") -> DataFrame:
     """One row per changed path of NUL-separated `added⇥removed⇥path` entries.
 
@@ -24,8 +16,9 @@ def parse_numstat(df: DataFrame, column: str = "numstat") -> DataFrame:
     the query.
     """
     keys = [name for name in df.columns if name != column]
-    fields = _fields(F.col("_entry"))
-    return df.select(*keys, F.explode(_entries(F.col(column))).alias("_entry")).select(
+    entries = F.filter(F.split(F.col(column), "\u0000"), lambda entry: entry != "")
+    fields = F.split(F.col("_entry"), "\t", 3)
+    return df.select(*keys, F.explode(entries).alias("_entry")).select(
         *keys,
         fields[0].try_cast("int").alias("added"),
         fields[1].try_cast("int").alias("removed"),
@@ -47,10 +40,25 @@ def change_stats(changes: DataFrame, keys: tuple[str, ...] = COMMIT_KEY) -> Data
 
 
 def inline_change_stats(numstat: Column) -> Column:
-    """`change_stats` of a commit that carries its own numstat text: no child table, no shuffle."""
-    entries = F.transform(_entries(numstat), _fields)
+    """`change_stats` of a commit that carries its own numstat text: no child table, no shuffle.
+
+    Works on whole entries; the search for one that is not generated ends at the first.
+    """
+    numbers = r"[^\t\x00]*\t[^\t\x00]*\t"
+    start = r"(?:\A|\x00)"
+    malformed = numstat.rlike(rf"{start}(?!{numbers}[^\x00])[^\x00]")
+    component, ending = generated_path_regex()
+    written = F.exists(
+        F.split(numstat, "\u0000"),
+        lambda entry: (entry != "")
+        & ~entry.rlike(rf"(?:\A{numbers}|/){component}")
+        & ~entry.rlike(ending),
+    )
     return F.struct(
-        F.size(entries).cast("long").alias("path_count"),
-        F.exists(entries, lambda f: (f[0] == "-") | (f[1] == "-")).alias("has_binary"),
-        F.forall(entries, lambda f: is_generated_path(f[2])).alias("generated_only"),
+        F.when(malformed, F.raise_error(F.lit("a numstat entry needs 3 fields")))
+        .otherwise(F.regexp_count(numstat, F.lit(r"[^\x00]+")))
+        .cast("long")
+        .alias("path_count"),
+        numstat.rlike(rf"{start}(?:-\t|[^\t\x00]*\t-\t)").alias("has_binary"),
+        (numstat.rlike(r"[^\x00]") & ~written).alias("generated_only"),
     )

@@ -10,15 +10,18 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 1_000
 
 
-def fits_broadcast(
+def small_row_count(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure a table, reading one row beyond the bound at most."""
-    size = F.length(F.to_json(F.struct("*")))
+) -> int | None:
+    """Rows of a table that is within the bound for a broadcast, else None.
+
+    Measures the table itself, and reads one row beyond the bound at most.
+    """
+    size = F.octet_length(F.to_json(F.struct("*")))
     rows, chars = (
         df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     )
-    return rows <= max_rows and chars <= max_bytes
+    return rows if rows <= max_rows and chars <= max_bytes else None
 
 
 def lookup_join(
@@ -37,7 +40,7 @@ def lookup_join(
     hash of the `spread` columns; only those few lookup rows are repeated. No row is lost either
     way.
     """
-    if fits_broadcast(lookup, max_rows):
+    if small_row_count(lookup, max_rows) is not None:
         return facts.join(F.broadcast(lookup), on, how)
 
     counts = facts.groupBy(on).count()

@@ -58,9 +58,12 @@ def split_sizes(bounds: list[int], total: int) -> dict[str, int]:
     return {name: edges[i + 1] - edges[i] for i, name in enumerate(SPLITS)}
 
 
-def _place(keys: DataFrame, offset: int) -> str:
-    ranked = keys.withColumn("_place", F.row_number().over(Window.orderBy("key")))
-    return ranked.filter(F.col("_place") == offset + 1).select("key").first()[0]
+def _at_places(keys: DataFrame, offsets: list[int]) -> list[str]:
+    """Keys at the given ranks of a small range, which is sorted in one task."""
+    ranked = keys.withColumn("place", F.row_number().over(Window.orderBy("key")) - 1)
+    found = ranked.filter(F.col("place").isin(offsets)).collect()
+    at = {row["place"]: row["key"] for row in found}
+    return [at[offset] for offset in offsets]
 
 
 def key_at(
@@ -88,7 +91,7 @@ def key_at(
             return low
         common = len(os.path.commonprefix([low, high]))
         reach, offset, size = _narrow(reach, offset, common + 2)
-    return _place(reach, offset)
+    return _at_places(reach, [offset])[0]
 
 
 def _narrow(reach: DataFrame, offset: int, width: int) -> tuple[DataFrame, int, int]:
@@ -113,10 +116,12 @@ def cut_keys(
     sorted_at_once: int = SORTED_AT_ONCE,
 ) -> list[str | None]:
     """The first key of every later split; None for one that starts behind the last row."""
-    return [
-        key_at(keys, bound, total, widths, sorted_at_once) if bound < total else None
-        for bound in bounds
-    ]
+    inside = [bound for bound in bounds if bound < total]
+    if total <= sorted_at_once and inside:
+        found = _at_places(keys, inside)
+    else:
+        found = [key_at(keys, bound, total, widths, sorted_at_once) for bound in inside]
+    return found + [None] * (len(bounds) - len(inside))
 
 
 def assign_split(key: Column, cuts: list[str | None], names: tuple[str, ...] = SPLITS) -> Column:

@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sievecraft.functions.keys import candidate_id, patch_fingerprint, repository_group_id
 from sievecraft.functions.paths import remote_urls
-from sievecraft.functions.text import as_utc, identity_key, normalise_patch_text, normalise_subject
+from sievecraft.functions.text import (
+    as_utc,
+    identity_key,
+    normalise_patch_text,
+    normalise_subject,
+    squeeze,
+)
 from sievecraft.operators.aggregates import build_totals, rejection_counts
 from sievecraft.operators.changes import COMMIT_KEY, change_stats, inline_change_stats
 from sievecraft.operators.filters import (
@@ -20,7 +26,7 @@ from sievecraft.operators.filters import (
 )
 from sievecraft.operators.guards import require_full_history
 from sievecraft.operators.joins import lookup_join
-from sievecraft.schemas import CANDIDATES, PROVENANCE
+from sievecraft.schemas import PROVENANCE
 from sievecraft.sources.writers import (
     require_distinct_paths,
     write_candidates,
@@ -30,15 +36,28 @@ from sievecraft.sources.writers import (
 
 @dataclass(frozen=True)
 class Build:
-    """`decided` holds every commit of an included repository with its `reason` (null if
-    accepted); the other tables derive from it. All are lazy, and whatever a consumer leaves out is
-    not computed: counts and lineage never read the diffs."""
+    """`labelled` holds every commit of an included repository with its `reason` (null if
+    accepted) and `early_reason`, the part of it that needs no changed paths; the other tables
+    derive from it. All are lazy, and whatever a consumer leaves out is not computed: counts and
+    lineage never read the diffs."""
+
+    labelled: DataFrame
 
-    decided: DataFrame
+    @property
+    def decided(self) -> DataFrame:
+        return self.labelled.drop("early_reason")
+
+    @property
+    def accepted(self) -> DataFrame:
+        # The first filter moves below the join on paths, so that commits rejected by their
+        # metadata are not shuffled.
+        return self.labelled.filter(F.col("early_reason").isNull()).filter(
+            F.col("reason").isNull()
+        )
 
     @property
     def candidates(self) -> DataFrame:
-        accepted = self.decided.filter(F.col("reason").isNull())
+        accepted = self.accepted
         known = F.col("patch_id") if "patch_id" in accepted.columns else F.lit(None)
         return accepted.select(
             "id",
@@ -48,19 +67,19 @@ class Build:
             as_utc(F.col("committed_at")).alias("committed_at_utc"),
             # The raw diff, as the ready-made ids are made from it too.
             F.coalesce(known, patch_fingerprint(F.col("diff"))).alias("patch_id"),
-        ).select(*CANDIDATES.names)
+        )
 
     @property
     def provenance(self) -> DataFrame:
-        return self.decided.filter(F.col("reason").isNull()).select(*PROVENANCE.names)
+        return self.accepted.select(*PROVENANCE.names)
 
     @property
     def rejections(self) -> DataFrame:
-        return rejection_counts(self.decided)
+        return rejection_counts(self.labelled)
 
     @property
     def totals(self) -> DataFrame:
-        return build_totals(self.decided)
+        return build_totals(self.labelled)
 
 
 def _with_author_check(commits: DataFrame, allowed: Iterable[str] | DataFrame) -> DataFrame:
@@ -95,7 +114,7 @@ def decide(
     changes: DataFrame | None,
     author_emails: Iterable[str] | DataFrame,
 ) -> DataFrame:
-    """Every commit of an included repository with its rejection reason."""
+    """Every commit of an included repository with its `early_reason` and `reason`."""
     lineage = only_included(repositories).select(
         F.col("path").alias("repository_path"),
         repository_group_id(F.col("path")).alias("repository_group_id"),
@@ -105,17 +124,20 @@ def decide(
     # that sees every diff.
     known = _with_author_check(commits, author_emails)
     placed = lookup_join(known, lineage, "repository_path", ["commit_sha"], "inner")
-    described = placed.withColumn("subject", normalise_subject(F.col("subject"))).withColumn(
-        "early", metadata_reason(F.col("author_ok"), F.col("parents"), F.col("subject"))
-    )
-    # Commits rejected by their metadata go through the join on paths without their text.
-    light = described.withColumn("diff", F.when(F.col("early").isNull(), F.col("diff")))
+    # NFC neither empties a subject nor changes an ASCII prefix that ends in `!`, so the reasons
+    # need no Python.
+    plain = squeeze(F.col("subject"))
+    early = metadata_reason(F.col("author_ok"), F.col("parents"), plain)
     late = change_reason(F.col("path_count"), F.col("has_binary"), F.col("generated_only"))
-    return (
-        _stats(light, changes)
-        .withColumn("reason", F.coalesce("early", late))
+    described = (
+        placed.withColumn("early_reason", early)
+        .withColumn("subject", normalise_subject(F.col("subject")))
         .withColumn("id", candidate_id(F.col("repository_group_id"), F.col("commit_sha")))
-        .drop("early", "author_ok", "path_count", "has_binary", "generated_only")
+    )
+    return (
+        _stats(described, changes)
+        .withColumn("reason", F.coalesce("early_reason", late))
+        .drop("author_ok", "path_count", "has_binary", "generated_only")
     )
 
 
@@ -145,5 +167,5 @@ def write_build(
     require_distinct_paths(candidates_path, provenance_path)
     write_provenance(build.provenance, provenance_path, partitions)
     write_candidates(build.candidates, candidates_path, partitions)
-    rows = build.decided.groupBy("reason").count().collect()
+    rows = build.labelled.groupBy("reason").count().collect()
     return {row["reason"] or "accepted": row["count"] for row in rows}

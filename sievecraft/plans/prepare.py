@@ -12,7 +12,7 @@ from sievecraft.errors import DataQualityError
 from sievecraft.operators.aggregates import dataset_fingerprint
 from sievecraft.operators.filters import date_window
 from sievecraft.operators.guards import require_minimum, select_required
-from sievecraft.operators.joins import fits_broadcast
+from sievecraft.operators.joins import BROADCAST_ROWS, small_row_count
 from sievecraft.operators.ordering import (
     SORTED_AT_ONCE,
     assign_split,
@@ -50,9 +50,10 @@ def _kept(window: DataFrame, keys: DataFrame, winners: DataFrame, copies: int) -
     """
     if copies == 0:
         return window
-    losers = keys.join(winners, "id", "left_anti").select("id")
-    if fits_broadcast(losers) and losers.count() == copies:
-        return window.join(F.broadcast(losers), "id", "left_anti")
+    if copies <= BROADCAST_ROWS:
+        losers = keys.join(winners, "id", "left_anti").select("id")
+        if small_row_count(losers) == copies:
+            return window.join(F.broadcast(losers), "id", "left_anti")
     return dedup_earliest(with_group_key(window)).drop("group_key")
 
 
@@ -92,7 +93,7 @@ def prepare_dataset(
     finally:
         winners.unpersist()
     counts = {
-        "source_count": rows.count(),
+        "source_count": rows.count() if since or until else filtered,
         "filtered_count": filtered,
         "deduplicated_count": total,
     }

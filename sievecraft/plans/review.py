@@ -6,13 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sievecraft.operators.aggregates import language_maps, split_summary
-from sievecraft.operators.guards import (
-    require_minimum,
-    require_none,
-    select_required,
-)
 from sievecraft.errors import DataQualityError
+from sievecraft.operators.aggregates import language_maps, split_summary
+from sievecraft.operators.guards import require_minimum, require_none, select_required
+from sievecraft.operators.joins import BROADCAST_ROWS, small_row_count
 from sievecraft.schemas import HELD_OUT, QUEUE_COLUMNS, REFERENCE_COLUMNS
 from sievecraft.sources.readers import latest_decisions
 from sievecraft.sources.writers import write_reviewed
@@ -48,13 +45,17 @@ def undecided(queue: DataFrame, decisions: DataFrame) -> DataFrame:
 def next_undecided(queue: DataFrame, decisions: DataFrame, k: int = 1) -> DataFrame:
     """The first `k` undecided rows of each split, with their `position` among the undecided.
 
-    The ids are ranked without their texts; Spark keeps `k` rows per split and task before the
-    shuffle.
+    Ids are ranked without their texts, and Spark keeps `k` of them per split and task before the
+    shuffle. The texts of the chosen ones are then looked up.
     """
     order = Window.partitionBy("split").orderBy("committed_at_utc", "id")
-    open_rows = undecided(queue, decisions)
-    ranked = open_rows.withColumn("position", F.row_number().over(order))
-    return ranked.filter(F.col("position") <= k).select(*QUEUE_COLUMNS, "position")
+    narrow = undecided(queue.select("split", "id", "committed_at_utc"), decisions)
+    ranked = narrow.withColumn("position", F.row_number().over(order))
+    chosen = ranked.filter(F.col("position") <= k).select("split", "id", "position")
+    # `k` ids per split: small whatever the size of the queue, if `k` is.
+    if k <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    return queue.select(*QUEUE_COLUMNS).join(chosen, ["split", "id"])
 
 
 def approval_counts(queue: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -108,8 +109,15 @@ def stale_approvals(decisions: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 def reviewed_rows(splits: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of the held-out splits with an approval; all of them, not only the required number."""
-    return splits.join(approved_ids(decisions), ["split", "id"], "left_semi")
+    """Rows of the held-out splits with an approval; all of them, not only the required number.
+
+    Approvals come from people, so their ids mostly fit a broadcast; the texts are shuffled only if
+    they do not.
+    """
+    approved = approved_ids(decisions)
+    if small_row_count(approved) is not None:
+        approved = F.broadcast(approved)
+    return splits.join(approved, ["split", "id"], "left_semi")
 
 
 def _approvals_per_split(ids: DataFrame, names: Sequence[str]) -> dict[str, int]:

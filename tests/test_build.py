@@ -362,14 +362,33 @@ def test_lookup_join_beyond_the_bound(spark, how):
 
 
 def test_broadcast_bound(spark):
-    assert joins.fits_broadcast(spark.range(10), max_rows=10)
-    assert not joins.fits_broadcast(spark.range(11), max_rows=10)
+    assert joins.small_row_count(spark.range(10), max_rows=10) == 10
+    assert joins.small_row_count(spark.range(11), max_rows=10) is None
     wide = spark.range(5).select(F.repeat(F.lit("x"), 1000).alias("t"))
-    assert not joins.fits_broadcast(wide, max_bytes=4000)
+    assert joins.small_row_count(wide, max_bytes=4000) is None
 
 
 def test_decide_without_broadcast(spark, commits, repositories, monkeypatch):
-    monkeypatch.setattr(joins, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(joins, "small_row_count", lambda *_: None)
     rows = decide(repositories, commits, None, spark.createDataFrame([(ME,)], "author_email string"))
     assert rows.filter("reason is null").count() == 3
     assert rows.count() == len(CASES)
+
+
+def test_inline_stats_of_odd_texts(spark):
+    texts = {
+        "": (0, False, False),
+        "1\t0\tdist/a\0": (1, False, True),
+        "1\t0\ta/dist\0\0" + "2\t1\tx.min.js": (2, False, True),
+        "1\t0\tdist/a\0" + "1\t0\tdistx/a": (2, False, False),
+        "-\t-\tbuild/a\0": (1, True, True),
+        "1\t-\ta\0": (1, True, False),
+        "1\t0\t-\ta\0": (1, False, False),
+        "1\t0\t\ndist/a\0": (1, False, False),
+    }
+    df = spark.createDataFrame([(text,) for text in texts], "numstat string")
+    got = df.select("numstat", change_ops.inline_change_stats(F.col("numstat")).alias("s")).collect()
+    assert {row["numstat"]: tuple(row["s"]) for row in got} == texts
+    with pytest.raises(PySparkException, match="3 fields"):
+        bad = spark.createDataFrame([("1\t0\ta\0" + "1\t0",)], "numstat string")
+        bad.select(change_ops.inline_change_stats(F.col("numstat")).alias("s")).collect()

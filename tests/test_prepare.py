@@ -91,7 +91,7 @@ def test_prepare_equals_the_definition(spark, partitions):
 
 
 def test_prepare_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr(prepare, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(prepare, "small_row_count", lambda *_: None)
     rows = make_rows(600, copies=300)
     got = {r["id"]: r["split"] for r in prepare_dataset(frame(spark, rows)).splits.collect()}
     assert got == expected_splits(rows)

@@ -742,9 +742,7 @@ def split_orders(spark, sf_dir):
         F.lpad(F.col("o_orderkey").cast("string"), 20, "0"),
     )
     orders = table(spark, sf_dir, "orders")
-    return ordering.chronological_split(orders, key, widths=(7, 10), sorted_at_once=5).select(
-        "o_orderkey", "split"
-    )
+    return ordering.chronological_split(orders, key, widths=(7, 10)).select("o_orderkey", "split")
 
 
 _WINDOWED = f"""{views.CANDIDATES}, windowed AS (

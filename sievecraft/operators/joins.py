@@ -30,7 +30,7 @@ def lookup_join(
     on: str,
     spread: list[str | Column],
     how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
     hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Equi-join on a key that is unique in `lookup` and may be heavily skewed in `facts`.
@@ -38,9 +38,11 @@ def lookup_join(
     A lookup within the measured bound is broadcast. Otherwise both sides are shuffled, and the
     keys that hold more than 1/`hot_keys` of the facts are spread over that many salts, chosen by a
     hash of the `spread` columns; only those few lookup rows are repeated. No row is lost either
-    way.
+    way. `small` passes on the outcome of a measurement already made.
     """
-    if small_row_count(lookup, max_rows) is not None:
+    if small is None:
+        small = small_row_count(lookup) is not None
+    if small:
         return facts.join(F.broadcast(lookup), on, how)
 
     counts = facts.groupBy(on).count()

@@ -25,7 +25,7 @@ from sievecraft.operators.filters import (
     only_included,
 )
 from sievecraft.operators.guards import require_full_history
-from sievecraft.operators.joins import lookup_join
+from sievecraft.operators.joins import lookup_join, small_row_count
 from sievecraft.schemas import PROVENANCE
 from sievecraft.sources.writers import (
     require_distinct_paths,
@@ -39,9 +39,10 @@ class Build:
     """`labelled` holds every commit of an included repository with its `reason` (null if
     accepted) and `early_reason`, the part of it that needs no changed paths; the other tables
     derive from it. All are lazy, and whatever a consumer leaves out is not computed: counts and
-    lineage never read the diffs."""
+    lineage never read the diffs. `texts` holds the diffs if they are kept out of `labelled`."""
 
     labelled: DataFrame
+    texts: DataFrame | None = None
 
     @property
     def decided(self) -> DataFrame:
@@ -58,6 +59,8 @@ class Build:
     @property
     def candidates(self) -> DataFrame:
         accepted = self.accepted
+        if self.texts is not None:
+            accepted = accepted.join(self.texts, list(COMMIT_KEY))
         known = F.col("patch_id") if "patch_id" in accepted.columns else F.lit(None)
         return accepted.select(
             "id",
@@ -82,23 +85,15 @@ class Build:
         return build_totals(self.labelled)
 
 
-def _with_author_check(commits: DataFrame, allowed: Iterable[str] | DataFrame) -> DataFrame:
-    if not isinstance(allowed, DataFrame):
-        return commits.withColumn("author_ok", author_matched(F.col("author_email"), allowed))
-    key = identity_key(F.col("author_email"))
+def _author_keys(allowed: DataFrame) -> DataFrame:
     keys = (
-        allowed.select(key.alias("author_key"))
+        allowed.select(identity_key(F.col("author_email")).alias("author_key"))
         .filter(F.col("author_key") != "")
         .distinct()
-        .withColumn("author_ok", F.lit(True))
     )
     if keys.isEmpty():
         raise ValueError("author_emails needs at least one entry")
-    flagged = lookup_join(
-        commits.withColumn("author_key", key), keys, "author_key", list(COMMIT_KEY)
-    )
-    known = F.coalesce(F.col("author_ok"), F.lit(False))
-    return flagged.withColumn("author_ok", known).drop("author_key")
+    return keys.withColumn("author_ok", F.lit(True))
 
 
 def _stats(commits: DataFrame, changes: DataFrame | None) -> DataFrame:
@@ -108,25 +103,62 @@ def _stats(commits: DataFrame, changes: DataFrame | None) -> DataFrame:
     return commits.join(change_stats(changes), list(COMMIT_KEY), "left")
 
 
-def decide(
+def build_candidates(
     repositories: DataFrame,
     commits: DataFrame,
-    changes: DataFrame | None,
     author_emails: Iterable[str] | DataFrame,
-) -> DataFrame:
-    """Every commit of an included repository with its `early_reason` and `reason`."""
+    changes: DataFrame | None = None,
+) -> Build:
+    """Build from scanned `repositories` (with `status`), `commits` and their changed paths.
+
+    `author_emails` is a list, or a table with that column. `changes` is a table of paths (see
+    `parse_numstat`); without it the commits carry the column `numstat`, and no join on paths is
+    needed. A shallow included repository is an error.
+
+    While repositories and allow-list fit a broadcast, the diffs travel with their commits.
+    Otherwise every commit is shuffled for each of them, and the diffs join the accepted commits
+    at the end.
+    """
+    require_full_history(repositories)
     lineage = only_included(repositories).select(
         F.col("path").alias("repository_path"),
         repository_group_id(F.col("path")).alias("repository_group_id"),
         remote_urls(F.col("remotes")).alias("remote_urls"),
     )
-    # The allow-list meets the commits first: a shuffle, should it need one, is then the only one
-    # that sees every diff.
-    known = _with_author_check(commits, author_emails)
-    placed = lookup_join(known, lineage, "repository_path", ["commit_sha"], "inner")
+    small_lineage = small_row_count(lineage) is not None
+    email = F.col("author_email")
+    if isinstance(author_emails, DataFrame):
+        keys = _author_keys(author_emails)
+        small_keys = small_row_count(keys) is not None
+        known_author = F.lit(True)
+    else:
+        keys, small_keys = None, True
+        known_author = author_matched(email, author_emails)
+
     # NFC neither empties a subject nor changes an ASCII prefix that ends in `!`, so the reasons
     # need no Python.
     plain = squeeze(F.col("subject"))
+    texts = None
+    if not (small_lineage and small_keys):
+        columns = [name for name in ("diff", "patch_id") if name in commits.columns]
+        possible = metadata_reason(known_author, F.col("parents"), plain).isNull()
+        texts = commits.filter(possible).select(*COMMIT_KEY, *columns)
+        commits = commits.drop(*columns)
+
+    if keys is None:
+        flagged = commits.withColumn("author_ok", known_author)
+    else:
+        flagged = lookup_join(
+            commits.withColumn("author_key", identity_key(email)),
+            keys,
+            "author_key",
+            list(COMMIT_KEY),
+            small=small_keys,
+        ).withColumn("author_ok", F.coalesce("author_ok", F.lit(False)))
+        flagged = flagged.drop("author_key")
+    placed = lookup_join(
+        flagged, lineage, "repository_path", ["commit_sha"], "inner", small=small_lineage
+    )
     early = metadata_reason(F.col("author_ok"), F.col("parents"), plain)
     late = change_reason(F.col("path_count"), F.col("has_binary"), F.col("generated_only"))
     described = (
@@ -134,26 +166,12 @@ def decide(
         .withColumn("subject", normalise_subject(F.col("subject")))
         .withColumn("id", candidate_id(F.col("repository_group_id"), F.col("commit_sha")))
     )
-    return (
+    labelled = (
         _stats(described, changes)
         .withColumn("reason", F.coalesce("early_reason", late))
         .drop("author_ok", "path_count", "has_binary", "generated_only")
     )
-
-
-def build_candidates(
-    repositories: DataFrame,
-    commits: DataFrame,
-    author_emails: Iterable[str] | DataFrame,
-    changes: DataFrame | None = None,
-) -> Build:
-    """Build from scanned `repositories` (with `status`), `commits` and their changed paths.
-
-    `changes` is a table of paths (see `parse_numstat`); without it the commits carry the column
-    `numstat`, and no join on paths is needed. A shallow included repository is an error.
-    """
-    require_full_history(repositories)
-    return Build(decide(repositories, commits, changes, author_emails))
+    return Build(labelled, texts)
 
 
 def write_build(

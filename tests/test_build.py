@@ -10,7 +10,7 @@ from pyspark.sql import Row, functions as F
 
 from sievecraft import DataQualityError, build_candidates, scan_history, write_build
 from sievecraft.operators import changes as change_ops, guards, joins
-from sievecraft.plans.candidates import decide
+from sievecraft.plans import candidates as plan
 from sievecraft.schemas import CANDIDATES, PROVENANCE
 from sievecraft.sources import readers, writers
 
@@ -354,7 +354,7 @@ def test_lookup_join_beyond_the_bound(spark, how):
         F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), F.col("id").alias("v")
     ).union(spark.createDataFrame([("hot", -1)], "key string, v long"))
     expected = facts.join(lookup, "key", how)
-    salted = joins.lookup_join(facts, lookup, "key", ["n"], how, max_rows=10, hot_keys=20)
+    salted = joins.lookup_join(facts, lookup, "key", ["n"], how, small=False, hot_keys=20)
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
     assert salted.columns == expected.columns
@@ -368,11 +368,20 @@ def test_broadcast_bound(spark):
     assert joins.small_row_count(wide, max_bytes=4000) is None
 
 
-def test_decide_without_broadcast(spark, commits, repositories, monkeypatch):
-    monkeypatch.setattr(joins, "small_row_count", lambda *_: None)
-    rows = decide(repositories, commits, None, spark.createDataFrame([(ME,)], "author_email string"))
-    assert rows.filter("reason is null").count() == 3
-    assert rows.count() == len(CASES)
+@pytest.mark.parametrize("allow", ["list", "table"])
+def test_build_beyond_the_broadcast_bound(spark, commits, repositories, monkeypatch, allow):
+    allowed = [ME] if allow == "list" else spark.createDataFrame([(ME,)], "author_email string")
+    expected = build_candidates(repositories, commits, [ME])
+    monkeypatch.setattr(plan, "small_row_count", lambda *_: None)
+    build = build_candidates(repositories, commits, allowed)
+    assert build.texts is not None and "diff" not in build.labelled.columns
+    assert build.texts.count() < commits.count()
+    for got, want in (
+        (build.candidates, expected.candidates),
+        (build.provenance, expected.provenance),
+        (build.rejections, expected.rejections),
+    ):
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 def test_inline_stats_of_odd_texts(spark):

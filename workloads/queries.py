@@ -550,10 +550,13 @@ def rejection_counts(spark, sf_dir):
         .filter(F.col("c_mktsegment") != "FURNITURE")
         .select(F.concat("c_mktsegment", F.lit("@example.com")).alias("author_email"))
     )
-    decided = build.decide(
-        _scanned(spark, sf_dir), views.commits(spark, sf_dir), views.changes(spark, sf_dir), allowed
+    built = build.build_candidates(
+        _scanned(spark, sf_dir),
+        views.commits(spark, sf_dir),
+        allowed,
+        views.changes(spark, sf_dir),
     )
-    return aggregates.rejection_counts(decided)
+    return built.rejections
 
 
 @query(

@@ -16,9 +16,10 @@ from sievecraft.sources.readers import distinct_repositories
 
 @dataclass(frozen=True)
 class Scan:
-    """`repositories`: path, remotes, shallow, status, commit_count, author_email_count.
-    `totals`: one row."""
+    """`statuses`: path, remotes, shallow, status; what the build needs, without reading commits.
+    `repositories`: the same with commit_count and author_email_count. `totals`: one row."""
 
+    statuses: DataFrame
     repositories: DataFrame
     totals: DataFrame
 
@@ -78,4 +79,4 @@ def scan_history(
         F.count_if(included).alias("included_repository_count"),
         F.count_if("shallow").alias("shallow_repository_count"),
     ).withColumn("author_email_count", authors.scalar())
-    return Scan(scans, totals)
+    return Scan(ranked, scans, totals)

@@ -137,28 +137,22 @@ def remote_slug(spark, sf_dir):
 
 @query(
     "remote_arrays",
-    r"""WITH slugs AS (
-          SELECT lower(split_part(split_part(url, '/', 3), '.', 1)) AS host,
-                 lower(rtrim(regexp_extract(rtrim(url, '/'), '^[a-z]+://([^?#]*)', 1), '/')) AS slug,
-                 url FROM pages)
-        SELECT host, array_to_string(list_sort(list_distinct(list(slug))), ' ') AS slugs,
-               array_to_string(list_sort(list_distinct(list(url))), ' ') AS urls
-        FROM slugs GROUP BY host""",
+    r"""SELECT page_id,
+               array_to_string(list_sort(list_distinct(
+                 ['host.org/team/' || page_id,
+                  lower(rtrim(regexp_extract(rtrim(url, '/'), '^[a-z]+://([^?#]*)', 1), '/'))])), ' ')
+                 AS slugs,
+               array_to_string(list_sort(['git@Host.org:Team/' || page_id || '.git', url]), ' ')
+                 AS urls
+        FROM pages""",
 )
 def remote_arrays(spark, sf_dir):
-    host = F.lower(F.split_part(F.split_part("url", F.lit("/"), F.lit(3)), F.lit("."), F.lit(1)))
-    # Remotes of one repository: a host name here. Each URL and a blank; the arrays lose both
-    # the repeats and the blanks.
-    grouped = (
-        table(spark, sf_dir, "pages")
-        .select(host.alias("host"), F.explode(F.array("url", "url", F.lit(""))).alias("url"))
-        .groupBy("host")
-        .agg(F.collect_list("url").alias("remotes"))
-    )
-    return grouped.select(
-        "host",
-        F.array_join(paths.remote_slugs(paths.remote_urls(F.col("remotes"))), " ").alias("slugs"),
-        F.array_join(paths.remote_urls(F.col("remotes")), " ").alias("urls"),
+    scp = F.concat(F.lit("git@Host.org:Team/"), F.col("page_id").cast("string"), F.lit(".git"))
+    remotes = F.array(F.col("url"), F.lit(""), scp, F.col("url"))
+    return table(spark, sf_dir, "pages").select(
+        "page_id",
+        F.array_join(paths.remote_slugs(paths.remote_urls(remotes)), " ").alias("slugs"),
+        F.array_join(paths.remote_urls(remotes), " ").alias("urls"),
     )
 
 

@@ -6,7 +6,13 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sievecraft.functions.text import canonical_json, changed_files, guess_language, identity_key
+from sievecraft.functions.text import (
+    canonical_json,
+    changed_files,
+    guess_language,
+    identity_key,
+    text_length,
+)
 from sievecraft.schemas import CANDIDATES
 
 DIGEST_PREFIX = 4
@@ -63,8 +69,8 @@ def split_summary(splits: DataFrame) -> DataFrame:
     """Per split: rows, length and date ranges, distinct repositories."""
     return splits.groupBy("split").agg(
         F.count("*").alias("rows"),
-        _range(F.length("subject"), "min", "max").alias("subject_length"),
-        _range(F.length("diff"), "min", "max").alias("diff_length"),
+        _range(text_length(F.col("subject")), "min", "max").alias("subject_length"),
+        _range(text_length(F.col("diff")), "min", "max").alias("diff_length"),
         _range(F.col("committed_at_utc"), "first", "last").alias("date_range"),
         F.count_distinct("repository_group_id").alias("repository_groups"),
     )

@@ -140,8 +140,8 @@ def remote_slug(spark, sf_dir):
     r"""SELECT page_id,
                array_to_string(list_sort(list_distinct(
                  ['host.org/team/' || page_id,
-                  lower(rtrim(regexp_extract(rtrim(url, '/'), '^[a-z]+://([^?#]*)', 1), '/'))])), ' ')
-                 AS slugs,
+                  lower(rtrim(regexp_extract(rtrim(url, '/'), '^[a-z]+://([^?#]*)', 1), '/'))])),
+                 ' ') AS slugs,
                array_to_string(list_sort(['git@Host.org:Team/' || page_id || '.git', url]), ' ')
                  AS urls
         FROM pages""",
@@ -288,8 +288,8 @@ def group_key(spark, sf_dir):
 
 @query(
     "canonical_json",
-    """SELECT conv_id, turn, to_json({'conv_id': conv_id, 'note': NULL::VARCHAR, 'role': role,
-                                      'text': text, 'turn': turn}) AS json
+    """SELECT conv_id, turn, CAST(to_json({'conv_id': conv_id, 'note': NULL::VARCHAR, 'role': role,
+                                           'text': text, 'turn': turn}) AS VARCHAR) AS json
        FROM conversations""",
 )
 def canonical_json(spark, sf_dir):
@@ -608,8 +608,9 @@ def commit_lineage(spark, sf_dir):
 @query(
     "lineage_integrity",
     f"""WITH {views.DECIDED}
-        SELECT count(*) AS candidates, count(*) AS provenance, 0 AS without_provenance,
-               0 AS without_candidate, 0 AS repeated_ids FROM decided WHERE reason IS NULL""",
+        SELECT count(*) AS candidates, count(*) AS provenance,
+               CAST(0 AS BIGINT) AS without_provenance, CAST(0 AS BIGINT) AS without_candidate,
+               CAST(0 AS BIGINT) AS repeated_ids FROM decided WHERE reason IS NULL""",
 )
 def lineage_integrity(spark, sf_dir):
     built = _build(spark, sf_dir)
@@ -668,7 +669,8 @@ def scan_repositories(spark, sf_dir):
         SELECT count(*) AS discovered_repository_count,
                count(*) FILTER (status = 'included') AS included_repository_count,
                count(*) FILTER (status <> 'included') AS ignored_repository_count,
-               0 AS shallow_repository_count, CAST(sum(commits) AS BIGINT) AS commit_count,
+               CAST(0 AS BIGINT) AS shallow_repository_count,
+               CAST(sum(commits) AS BIGINT) AS commit_count,
                (SELECT count(DISTINCT author) FROM marked JOIN commits ON path = repository_path
                 WHERE status = 'included') AS author_email_count FROM counted""",
 )
@@ -859,8 +861,8 @@ def undecided_rows(spark, sf_dir):
 @query(
     "review_queue",
     f"""WITH {views.SPLITS}, {views.DECISIONS}, ranked AS (
-          SELECT split, id, subject, diff,
-                 row_number() OVER (PARTITION BY split ORDER BY committed_at_utc, id) AS position
+          SELECT split, id, subject, diff, CAST(row_number() OVER (
+                   PARTITION BY split ORDER BY committed_at_utc, id) AS INTEGER) AS position
           FROM splits WHERE split <> 'train' AND id NOT IN (SELECT id FROM decisions))
         SELECT * FROM ranked WHERE position <= {QUEUE_ROWS}""",
 )

@@ -24,7 +24,8 @@ def _sorted_by_id(df: DataFrame, partitions: int | None) -> DataFrame:
     """
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     leading = F.conv(F.substring("id", _ID_DIGITS_AT, _ID_DIGITS), 16, 10).cast("long")
-    target = F.floor(leading * count / F.lit(16**_ID_DIGITS)).cast("int")
+    share = F.floor(leading * count / F.lit(16**_ID_DIGITS)).cast("int")
+    target = F.coalesce(share, F.lit(0))
     return df.repartitionById(count, target).sortWithinPartitions("id")
 
 

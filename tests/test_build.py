@@ -119,7 +119,8 @@ def test_tables_and_privacy(commits, repositories):
 
 def test_ready_made_patch_ids_win(commits, repositories):
     known = commits.withColumn("patch_id", F.when(F.col("subject") == "Add main", "given"))
-    ids = {r["subject"]: r["patch_id"] for r in build_candidates(repositories, known, [ME]).candidates.collect()}
+    rows = build_candidates(repositories, known, [ME]).candidates.collect()
+    ids = {row["subject"]: row["patch_id"] for row in rows}
     assert ids["Add main"] == "given"
     assert len(ids["Commit 0"]) == 40
 
@@ -265,8 +266,18 @@ def _repositories(spark, rows):
 
 def test_scan_counts(spark):
     found = scan_history(
-        _repositories(spark, [("/r/first", [], False), ("/r/Second", [], False), ("/r/none", [], True)] * 2),
-        _commits(spark, [("/r/first", ME), ("/r/first", " PERSON@example.com"), ("/r/Second", ME), ("/r/Second", "  ")]),
+        _repositories(
+            spark, [("/r/first", [], False), ("/r/Second", [], False), ("/r/none", [], True)] * 2
+        ),
+        _commits(
+            spark,
+            [
+                ("/r/first", ME),
+                ("/r/first", " PERSON@example.com"),
+                ("/r/Second", ME),
+                ("/r/Second", "  "),
+            ],
+        ),
         ["/r"],
     )
     rows = {row["path"]: row for row in found.repositories.collect()}

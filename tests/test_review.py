@@ -15,7 +15,10 @@ SCHEMA = ", ".join(f"{name} string" for name in [*CANDIDATES.names, "split"])
 @pytest.fixture
 def splits(spark):
     rows = [
-        (f"{split}{n}", f"g{n % 2}", "s" * (n + 1), f"+++ b/x{n}.py\n+++ b/y\n", f"2024-01-0{n + 1}T00:00:00Z", f"p{n}", split)
+        (
+            f"{split}{n}", f"g{n % 2}", "s" * (n + 1), f"+++ b/x{n}.py\n+++ b/y\n",
+            f"2024-01-0{n + 1}T00:00:00Z", f"p{n}", split,
+        )
         for split in ("train", "validation", "test")
         for n in range(6)
     ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievecraft.llm import common, contamination
+from sievecraft.llm import common, contamination, near_copies
 from sievecraft.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,29 @@ def op9_decontamination(spark, sf_dir):
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         contamination.is_contaminated().alias("contaminated"),
     )
+
+
+@query(
+    "op8_near_copies",
+    f"""WITH doc AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
+         shingle AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+                       ELSE list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) END) AS s FROM doc),
+         sizes AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+         both_ AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingle x JOIN shingle y ON x.s = y.s
+                   GROUP BY ALL HAVING a <> b),
+         link AS (SELECT a, b FROM both_ JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+                  WHERE 100 * k >= 80 * (x.n + y.n - k))
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+           doc_id <= coalesce(m, doc_id) AS kept
+    FROM doc LEFT JOIN sizes USING (doc_id) LEFT JOIN (
+        WITH RECURSIVE reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+        SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)""",
+)
+def op8_near_copies(spark, sf_dir):
+    found = near_copies.near_copies(table(spark, sf_dir, "documents"), width=2, percent=80)
+    return found.select(
+        real_id().alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        real_id("component").alias("component_id"),
+        F.coalesce(real_id() == real_id("component"), F.lit(False)).alias("kept"),
+    )

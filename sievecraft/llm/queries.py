@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievecraft.llm import common, contamination, near_copies
+from sievecraft.llm import common, contamination, near_copies, vectors
 from sievecraft.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,18 @@ def op8_near_copies(spark, sf_dir):
         real_id("component").alias("component_id"),
         F.coalesce(real_id() == real_id("component"), F.lit(False)).alias("kept"),
     )
+
+
+@query(
+    "op7_exact_top_k",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+                  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+               FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+)
+def op7_exact_top_k(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    found = vectors.exact_top_k(rows, rows.filter("vec_id % 50 = 0"), 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")

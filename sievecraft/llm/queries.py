@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievecraft.llm import common, contamination, near_copies, vectors
+from sievecraft.llm import common, contamination, near_copies, recompression, suffix_dedup, vectors
 from sievecraft.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,32 @@ def op7_exact_top_k(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     found = vectors.exact_top_k(rows, rows.filter("vec_id % 50 = 0"), 5)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return found.select(
+        real_id().alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256")
+    )
+
+
+@query(
+    "op10_recompression",
+    f"""WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+         win AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h
+                 FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM doc WHERE len(w) >= 50)),
+         lows AS (SELECT h, min(doc_id) AS low FROM win GROUP BY h),
+         hit AS (SELECT DISTINCT doc_id, q FROM (SELECT doc_id, unnest(range(p, p + 50)) AS q
+                 FROM win JOIN lows USING (h) WHERE low < doc_id)),
+         gone AS (SELECT doc_id, list(q) AS g FROM hit GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(g), 0)::BIGINT AS n_removed,
+           sha256(array_to_string(CASE WHEN g IS NULL THEN w ELSE
+             list_transform(list_filter(list_transform(range(1, len(w) + 1), lambda i: [i, list_contains(g, i)::BIGINT]), lambda x: x[2] = 0), lambda x: w[x[1]]) END, ' ')) AS kept_sha256
+    FROM doc LEFT JOIN gone USING (doc_id)""",
+)
+def op10_recompression(spark, sf_dir):
+    found = recompression.without_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return found.select(
+        real_id().alias("doc_id"), "n_words", "n_removed", F.lower(F.hex("kept")).alias("kept_sha256")
+    )

@@ -135,6 +135,14 @@ class Windows:
     def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self._sums[ends] - self._sums[starts]) * self._down[starts])
 
+    def rolling(self, width: int) -> np.ndarray:
+        """Hashes of all runs of `width` symbols."""
+        count = max(len(self._sums) - width, 0)
+        return mix((self._sums[width:] - self._sums[:count]) * self._down[:count])
+
+
+BYTE_SYMBOLS = mix(np.arange(1, 257, dtype=np.uint64))
+
 
 def as_long(values: np.ndarray) -> pa.Array:
     """Unsigned 64-bit hashes as Spark longs."""

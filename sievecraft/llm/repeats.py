@@ -65,7 +65,7 @@ def removed_spans(
     with several. first_stays: windows of the smallest d that has them are left in place; else all occurrences go.
     """
     rows = saved(docs.mapInArrow(pieces, PIECES))
-    anchors = (
+    anchors = saved(  # as tables, so that the joins can split hot keys
         rows.groupBy("k")
         .agg(F.count(F.lit(1)).alias("c"), F.min("p").alias("p0"), F.max("p").alias("p1"), F.min("d").alias("low"))
         .filter("c > 1")
@@ -85,7 +85,7 @@ def removed_spans(
             *(F.min_by(name, order).alias(name) for name in ("r", "s", "n")),
         )
     )
-    found = compare(kinds, docs).select("k", "p", F.explode("runs").alias("run")).select("k", "p", "run.*")
+    found = saved(compare(kinds, docs)).select("k", "p", F.explode("runs").alias("run")).select("k", "p", "run.*")
     rule = F.col("d") > F.col("m") if first_stays else F.lit(True)
     part = unlike.join(found, ["k", "p"]).filter(rule).select(
         "r", (F.col("s") + F.col("a")).alias("s"), (F.col("s") + F.col("b") - 1 + width).alias("e")

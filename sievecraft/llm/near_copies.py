@@ -3,8 +3,9 @@
 1. A document's shingles are hashed once. The range of hashes is cut into BINS equal bins, and the smallest hash of each
    bin is the signature. An empty bin borrows from the first filled one in a fixed random order of its own.
 2. Documents with the same set are one class; only its representative goes on.
-3. ROWS bins make a band; representatives that agree in a band share a bucket. Each is paired with the bucket's smallest
-   one only (a star), and the pairs are confirmed on the full sets.
+3. ROWS bins make a band; representatives that agree in a band share a bucket. Each is paired with the bucket's centre
+   only (a star), and the pairs are confirmed on the full sets. The centre is the member that meets most others over all
+   its buckets: of copies that differ more from each other than from their original, the original.
 4. Buckets whose members are then still in different components get the pairs between those components, so no link is
    lost because it does not touch the star's centre.
 
@@ -24,6 +25,7 @@ from sievecraft.llm.common import NO_ID, saved
 
 ROWS, BANDS = 6, 40
 BINS = ROWS * BANDS
+SMALL = 128  # members of a bucket up to which all of them are compared where stars leave them apart
 
 _ORDER = np.argsort(
     texts.mix(np.arange(BINS * BINS, dtype=np.uint64)).reshape(BINS, BINS), axis=1
@@ -158,26 +160,35 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     keyed = common.keyed_texts(docs)
     sketch = saved(keyed.mapInArrow(_sketch(width), _SKETCH))
     real = (F.col("n") > 0) & (F.col("d") != NO_ID)
-    classes = sketch.filter(real).groupBy("s1", "s2", "n").agg(F.min("d").alias("rep"))
+    classes = saved(sketch.filter(real).groupBy("s1", "s2", "n").agg(F.min("d").alias("rep")))
     members = saved(
         sketch.withColumn("s1", F.when(real, F.col("s1")))
         .join(classes, ["s1", "s2", "n"], "left")
         .select("d", "t", "n", "rep", F.when(F.col("d") == F.col("rep"), F.col("bands")).alias("bands"))
     )
     buckets = members.filter("bands IS NOT NULL").select("rep", "n", F.explode("bands").alias("key"))
-    centres = buckets.groupBy("key").agg(
-        F.min("rep").alias("centre"), F.max("rep").alias("last"), F.min_by("n", "rep").alias("m")
+    crowds = saved(
+        buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("a"), F.max("rep").alias("b"))
+        .filter("a < b").select("key", "size")
+    )
+    shared = saved(buckets.join(crowds, "key"))
+    company = saved(shared.groupBy("rep").agg(F.sum("size").alias("company")))
+    shared = saved(shared.drop("size").join(company, "rep"))
+    centres = saved(
+        shared.groupBy("key").agg(F.max_by("rep", "company").alias("centre"), F.max_by("n", "company").alias("m"))
     )
-    shared = saved(buckets.join(centres.filter("centre < last").drop("last"), "key"))
     stars = saved(
-        shared.filter((F.col("rep") != F.col("centre")) & _similar_size(percent))
-        .select(F.col("centre").alias("a"), F.col("rep").alias("b"))
+        shared.join(centres, "key")
+        .filter((F.col("rep") != F.col("centre")) & _similar_size(percent))
+        .select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b"))
         .distinct()
     )
+    ids = company.select(F.col("rep").alias("d"))
+    sets = saved(
+        keyed.join(ids, "d", "left_semi").select("d", "text").mapInArrow(_sets(width), "v long, members binary")
+    )
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("d")).union(pairs.select("b")).distinct()
-        sets = saved(keyed.join(ids, "d", "left_semi").select("d", "text").mapInArrow(_sets(width), "v long, members binary"))
         left = sets.select(F.col("v").alias("a"), F.col("members").alias("left"))
         right = sets.select(F.col("v").alias("b"), F.col("members").alias("right"))
         rows = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
@@ -194,8 +205,10 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     placed = shared.join(found.withColumnRenamed("v", "rep"), "rep", "left").select(
         "key", "rep", "n", F.coalesce("l", "rep").alias("c")
     )
-    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high")
-    placed = saved(placed.join(mixed.select("key"), "key", "left_semi"))
+    mixed = placed.groupBy("key").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")
+    ).filter((F.col("low") < F.col("high")) & (F.col("size") <= SMALL))
+    placed = saved(placed.join(saved(mixed.select("key")), "key", "left_semi"))
     other = placed.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("c").alias("e"))
     across = (
         placed.join(other, "key")

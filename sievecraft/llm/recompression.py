@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from sievecraft.llm import repeats, texts
 
 WIDTH = 50
-ROUNDS = 7
+ROUNDS = 4
+LONG = 4  # words of a symbol that is preferred as an owner
 _U = np.uint64
 
 
@@ -93,7 +94,7 @@ def levels(words: np.ndarray, separator: np.ndarray, longest: int, rounds: int =
     level = Level(words, at, np.ones(len(words), np.int64), at, at + 1, separator)
     out = [level]
     for round_ in range(rounds):
-        if round_ % 3 == 0:
+        if round_ == 0:  # later rounds have equal neighbours in periodic texts only, which stay as they are
             level = _runs(level)
         level = _pairs(level, round_, longest)
         out.append(level)
@@ -110,7 +111,8 @@ def owners(found: list[Level], count: int, width: int) -> tuple[np.ndarray, np.n
         high = np.searchsorted(level.high, rest + width, side="right")
         has = high > low
         at, low, many = rest[has], low[has], (high - low)[has]
-        order = texts.mix(level.name ^ _U(height))
+        order = texts.mix(level.name ^ _U(height)) >> _U(1)
+        order |= (level.size < LONG).astype(np.uint64) << _U(63)  # rare symbols first: few texts share them by chance
         best, which = order[low], low
         for k in range(1, int(many.max(initial=1))):
             other = np.minimum(low + k, len(order) - 1)
@@ -160,34 +162,87 @@ def _pieces(width: int):
                 [
                     batch.column("r").take(pa.array(own)),
                     batch.column("d").take(pa.array(own)),
-                    pa.array((start - first[own]).astype(np.int32)),
-                    pa.array(many.astype(np.int32)),
+                    repeats.packed(start - first[own], many),
                     texts.as_long(name[start]),
                     texts.as_long(texts.pair_hash(content, many.astype(np.uint64))),
                 ],
-                names=["r", "d", "s", "n", "k", "p"],
+                names=["r", "d", "at", "k", "p"],
             )
 
     return pieces
 
 
+def _strings(width: int):
+    """The words of the kinds that are compared whole, as hashes."""
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in texts.slices(batches):
+            words, _, first, _ = _sequence(batch.column("text"))
+            row, fields = repeats.spread(batch.column("kinds").to_pylist(), repeats.FIELDS)
+            at = fields["crowd"] <= repeats.CROWD
+            row, fields = row[at], {name: x[at] for name, x in fields.items()}
+            begin = first[row] + fields["s"]
+            end = begin + fields["n"] + width - 1
+            yield repeats.string_rows(fields, [words[a:b].tobytes() for a, b in zip(begin, end)])
+
+    return strings
+
+
 def _windows(width: int):
+    """The single windows of the kinds of crowded anchors."""
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.slices(batches):
             words, _, first, _ = _sequence(batch.column("text"))
-            row, fields = repeats.spread(batch.column("kinds").to_pylist(), ("k", "p", "c", "low", "s", "n"))
+            row, fields = repeats.spread(batch.column("kinds").to_pylist(), repeats.FIELDS)
+            at = fields["crowd"] > repeats.CROWD
+            row, fields = row[at], {name: x[at] for name, x in fields.items()}
             sums = [texts.Windows(words, which) for which in (0, 1)]
             hashes = [lambda x, s=s: s.hash(x, x + width) for s in sums]
-            rows = repeats.window_rows(fields, first[row] + fields["s"], hashes)
-            yield pa.RecordBatch.from_pydict(rows)
+            yield pa.RecordBatch.from_pydict(repeats.window_rows(fields, first[row] + fields["s"], hashes))
 
     return windows
 
 
+def _decide(width: int):
+    """Runs of windows with the smallest document that has them, in the pieces of some anchors."""
+
+    def decide(rows: list[dict]) -> pa.RecordBatch:
+        words = np.frombuffer(b"".join(x["string"] for x in rows), np.uint64)
+        sizes = np.array([len(x["string"]) >> 3 for x in rows], np.int64)
+        fields = {
+            name: np.array([x[name] for x in rows], np.int64) for name in ("k", "p", "c", "low", "n")
+        }
+        sums = [texts.Windows(words, which) for which in (0, 1)]
+        hashes = [lambda x, s=s: s.hash(x, x + width) for s in sums]
+        found = repeats.window_rows(fields, np.cumsum(sizes) - sizes, hashes)
+        order = np.lexsort((found["w"], found["v"]))
+        new = np.ones(len(order), bool)
+        for name in ("v", "w"):
+            value = found[name][order]
+            new[1:] &= value[1:] == value[:-1]
+        new = np.append(True, ~new[1:])
+        group = np.cumsum(new) - 1
+        low = np.empty(len(order), np.int64)
+        low[order] = np.minimum.reduceat(found["low"][order], np.flatnonzero(new))[group]
+        owner = np.repeat(np.arange(len(rows)), fields["n"])
+        useful = (low < found["low"]) | (found["c"] > 1)
+        new = np.ones(len(low), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (low[1:] != low[:-1]) | (useful[1:] != useful[:-1])
+        start = np.flatnonzero(new)
+        end = np.append(start[1:], len(low))
+        start, end = start[useful[start]], end[useful[start]]
+        inside = found["i"][start].astype(np.int64)
+        return repeats.run_rows(rows, owner[start], inside, inside + end - start, low[start])
+
+    return decide
+
+
 def _compare(width: int):
     def compare(kinds: DataFrame, docs: DataFrame) -> DataFrame:
-        singles = repeats.wanted(kinds, docs).mapInArrow(_windows(width), repeats.WINDOWS)
-        return repeats.equal_windows(singles, once=True)
+        there = repeats.wanted(kinds, docs)
+        strings = there.mapInArrow(_strings(width), repeats.STRINGS)
+        return repeats.compared(strings, there.mapInArrow(_windows(width), repeats.WINDOWS), _decide(width))
 
     return compare
 

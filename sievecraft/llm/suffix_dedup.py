@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from sievecraft.llm import repeats, texts
 from sievecraft.llm.suffix_arrays import repeated_starts
@@ -20,8 +20,6 @@ from sievecraft.llm.suffix_arrays import repeated_starts
 WIDTH = 200
 SEED = 40  # bytes of an anchor
 SEGMENT = 2 << 20  # bytes of a text handled at once
-SHARD = 1 << 20  # bytes under one suffix array, at least
-CROWD = 1024  # kinds of one anchor up to which they go into a shard together; above, window by window
 
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -66,42 +64,28 @@ def _pieces(width: int):
                     [
                         batch.column("r").take(pa.array(own)),
                         batch.column("d").take(pa.array(own)),
-                        pa.array((start + base - offsets[own]).astype(np.int32)),
-                        pa.array(count.astype(np.int32)),
+                        repeats.packed(start + base - offsets[own], count),
                         texts.as_long(anchor),
                         texts.as_long(content),
                     ],
-                    names=["r", "d", "s", "n", "k", "p"],
+                    names=["r", "d", "at", "k", "p"],
                 )
 
     return pieces
 
 
-_FIELDS = ("k", "p", "c", "low", "s", "n", "crowd")
-_STRINGS = "k long, p long, c long, n int, string binary"
-
-
 def _strings(width: int):
     """The strings of the kinds that go into shards."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.slices(batches):
             data, offsets = texts.text_bytes(batch.column("text"))
-            row, fields = repeats.spread(batch.column("kinds").to_pylist(), _FIELDS)
-            at = np.flatnonzero(fields["crowd"] <= CROWD)
-            first = offsets[row[at]] + fields["s"][at]
-            last = first + fields["n"][at] + width - 1
-            raw = [data[a:b].tobytes() for a, b in zip(first, last)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(fields["k"][at]),
-                    pa.array(fields["p"][at]),
-                    pa.array(fields["c"][at]),
-                    pa.array(fields["n"][at].astype(np.int32)),
-                    pa.array(raw, pa.binary()),
-                ],
-                names=["k", "p", "c", "n", "string"],
-            )
+            row, fields = repeats.spread(batch.column("kinds").to_pylist(), repeats.FIELDS)
+            at = fields["crowd"] <= repeats.CROWD
+            row, fields = row[at], {name: x[at] for name, x in fields.items()}
+            first = offsets[row] + fields["s"]
+            last = first + fields["n"] + width - 1
+            yield repeats.string_rows(fields, [data[a:b].tobytes() for a, b in zip(first, last)])
 
     return strings
 
@@ -112,8 +96,8 @@ def _windows(width: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.slices(batches):
             data, offsets = texts.text_bytes(batch.column("text"))
-            row, fields = repeats.spread(batch.column("kinds").to_pylist(), _FIELDS)
-            at = fields["crowd"] > CROWD
+            row, fields = repeats.spread(batch.column("kinds").to_pylist(), repeats.FIELDS)
+            at = fields["crowd"] > repeats.CROWD
             row, fields = row[at], {name: x[at] for name, x in fields.items()}
             if not len(row):
                 continue
@@ -126,57 +110,28 @@ def _windows(width: int):
     return windows
 
 
-def _search_shards(width: int):
-    """Runs of repeated windows; rows come in order of their anchors, and shards end between anchors."""
+def _decide(width: int):
+    """Runs of repeated windows in one shard."""
 
     def decide(rows: list[dict]) -> pa.RecordBatch:
         sizes = np.array([len(x["string"]) for x in rows], np.int64)
         data = np.frombuffer(b"".join(x["string"] for x in rows) + bytes(8), np.uint8)
-        flags = repeated_starts(data, sizes, width)
         owner = np.repeat(np.arange(len(rows)), sizes)
         several = np.array([x["c"] > 1 for x in rows])
-        first = np.cumsum(sizes) - sizes
-        inside = np.arange(len(flags)) - first[owner]
-        flags = (flags | several[owner]) & (inside < np.array([x["n"] for x in rows])[owner])
+        inside = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
+        flags = repeated_starts(data, sizes, width) | several[owner]
+        flags &= inside < np.array([x["n"] for x in rows])[owner]
         start, end = repeats.runs_of(flags, owner)
-        runs: list[list[dict]] = [[] for _ in rows]
-        for o, a, b in zip(owner[start].tolist(), inside[start].tolist(), (inside[start] + end - start).tolist()):
-            runs[o].append({"a": a, "b": b, "m": 0})
-        kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())]))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([x["k"] for x in rows], pa.int64()),
-                pa.array([x["p"] for x in rows], pa.int64()),
-                pa.array(runs, kind),
-            ],
-            names=["k", "p", "runs"],
-        )
+        return repeats.run_rows(rows, owner[start], inside[start], inside[start] + end - start, np.zeros(len(start), np.int64))
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                if held >= SHARD and row["k"] != rows[-1]["k"]:
-                    yield decide(rows)
-                    rows, held = [], 0
-                rows.append(row)
-                held += len(row["string"])
-        if rows:
-            yield decide(rows)
-
-    return search
+    return decide
 
 
 def _compare(width: int):
     def compare(kinds: DataFrame, docs: DataFrame) -> DataFrame:
-        crowds = kinds.groupBy("k").agg(F.count(F.lit(1)).alias("crowd"))
-        there = repeats.wanted(kinds.join(crowds, "k"), docs)
-        strings = there.mapInArrow(_strings(width), _STRINGS)
-        shards = strings.repartition("k").sortWithinPartitions("k")
-        singles = there.mapInArrow(_windows(width), repeats.WINDOWS)
-        return shards.mapInArrow(_search_shards(width), repeats.FOUND).union(
-            repeats.equal_windows(singles, once=False)
-        )
+        there = repeats.wanted(kinds, docs)
+        strings = there.mapInArrow(_strings(width), repeats.STRINGS)
+        return repeats.compared(strings, there.mapInArrow(_windows(width), repeats.WINDOWS), _decide(width))
 
     return compare
 

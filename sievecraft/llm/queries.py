@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievecraft.llm import common, contamination, near_copies, recompression, suffix_dedup, vectors
+from sievecraft.llm import common, contamination, language, near_copies, recompression, suffix_dedup, vectors
 from sievecraft.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +136,20 @@ def op10_recompression(spark, sf_dir):
     return found.select(
         real_id().alias("doc_id"), "n_words", "n_removed", F.lower(F.hex("kept")).alias("kept_sha256")
     )
+
+
+def _fold(parts: int, column: str = "doc_id"):
+    """Part of an id: CRC-32 of its decimal digits, modulo."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+@query("op3_language")
+def op3_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    filters = language.learned(docs.filter(_fold(5) != 0))
+    return language.predicted(docs, filters).select(
+        real_id().alias("doc_id"),
+        F.coalesce(_fold(5, "d") == 0, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievecraft.llm import common, contamination, language, near_copies, recompression, suffix_dedup, vectors
+from sievecraft.llm import common, contamination, language, near_copies, pages, recompression, suffix_dedup, vectors
 from sievecraft.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +153,9 @@ def op3_language(spark, sf_dir):
         "lang_pred",
         "score",
     )
+
+
+@query("op4_main_text")
+def op4_main_text(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages")
+    return pages.extracted(rows, pages.learned(rows))

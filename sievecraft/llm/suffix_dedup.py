@@ -19,7 +19,7 @@ from sievecraft.llm.suffix_arrays import repeated_starts
 
 WIDTH = 200
 SEED = 40  # bytes of an anchor
-SEGMENT = 2 << 20  # bytes of a text handled at once
+SEGMENT = 1 << 20  # bytes of a text handled at once
 
 _PLACE = np.uint64((1 << 24) - 1)
 

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 2 << 20  # bytes of text handled at once; a longer text is a chunk of its own
+CHUNK = 1 << 20  # bytes of text handled at once; a longer text is a chunk of its own
 
 _U = np.uint64
 _M1, _M2, _M3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievecraft.llm import common, contamination, language, near_copies, pages, recompression, suffix_dedup, vectors
+from sievecraft.llm import common, contamination, language, near_copies, pages, recompression, suffix_dedup, suffix_tree, vectors
 from sievecraft.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,3 +159,17 @@ def op3_language(spark, sf_dir):
 def op4_main_text(spark, sf_dir):
     rows = table(spark, sf_dir, "pages")
     return pages.extracted(rows, pages.learned(rows))
+
+
+@query("op6_suffix_tree")
+def op6_suffix_tree(spark, sf_dir):
+    found = suffix_tree.scored(table(spark, sf_dir, "documents"), _fold(7) != 2)
+    return found.select(
+        real_id().alias("doc_id"),
+        F.coalesce(_fold(7, "d") == 2, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )

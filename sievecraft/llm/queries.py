@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievecraft.llm import common, contamination, language, near_copies, pages, recompression, suffix_dedup, suffix_tree, vectors
+from sievecraft.llm import (
+    common, contamination, language, mixing, near_copies, pages, recompression, suffix_dedup, suffix_tree, token_shards, vectors,
+)
 from sievecraft.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +175,18 @@ def op6_suffix_tree(spark, sf_dir):
         "base_score",
         "score",
     )
+
+
+WEIGHTS = {f"src{k}": 8 if k == 0 else 3 for k in range(20)}
+
+
+@query("op5_mixing")
+def op5_mixing(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents"), WEIGHTS).select(
+        "doc_id", "source", "mix_period", "mix_slot", "mix_row", "mix_position"
+    )
+
+
+@query("op2_token_shards")
+def op2_token_shards(spark, sf_dir):
+    return token_shards.token_shards(table(spark, sf_dir, "documents"))

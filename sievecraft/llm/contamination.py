@@ -295,14 +295,14 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """`docs` without those of which at least `percent` % of the words lie in occurrences of test windows."""
     affected = contamination(docs, benchmark, window).filter(is_contaminated(percent))
     keys = affected.select(F.col("d").alias("_d"), F.col("t").alias("_t")).distinct()
-    here = (common.id_key("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
+    here = (common.id_key("doc_id") == keys["_d"]) & (F.xxhash64("text") == keys["_t"])
     return docs.join(keys, here, "left_anti")
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, depth: int = 64) -> DataFrame:
     """Rows (item_id, word, length, doc_id, place): the longest match of each test suffix, up to `depth` words.
 
-    The first place in order of (doc_id, place) is kept of several of that length; suffixes without a match are left out.
+    doc_id and place are one of several places of that length; suffixes without a match are left out.
     """
 
     def search(broadcast):

@@ -164,5 +164,5 @@ def understood(docs: DataFrame, filters: Filters, least: float = 0.05) -> DataFr
     `least` of the n-grams is known in any."""
     rejected = predicted(docs, filters).filter((F.col("lang_pred") == NONE) | (F.col("score") < least))
     keys = rejected.select(F.col("d").alias("_d"), F.col("t").alias("_t")).distinct()
-    here = (id_key("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
+    here = (id_key("doc_id") == keys["_d"]) & (F.xxhash64("text") == keys["_t"])
     return docs.join(keys, here, "left_anti")

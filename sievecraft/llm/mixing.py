@@ -19,12 +19,13 @@ BLOCK = 32  # rows of a block
 BUCKETS = 4096  # parts of a source's random order that are ranked by themselves
 PERIOD = 10_000  # the weights' sum at most; bounds the schedule
 PART = 32 << 20  # bytes of text in an output partition
+ADDED = ("mix_period", "mix_slot", "mix_row", "mix_position")
 
 
-def _source(weights: Mapping[str, int]) -> Column:
+def _source(name: str, weights: Mapping[str, int]) -> Column:
     """Number of the row's source: its place in `weights`, or one more than the last for all others and null."""
     number = F.create_map(*(F.lit(x) for k, name in enumerate(weights) for x in (name, k))) if weights else None
-    return F.coalesce(number[F.col("source")], F.lit(len(weights))) if weights else F.lit(0)
+    return F.coalesce(number[F.col(name)], F.lit(len(weights))) if weights else F.lit(0)
 
 
 def _earliest_deadline(weights: Column) -> Column:
@@ -57,7 +58,8 @@ def mixed(
 
     weights: positive whole numbers by source; `other` is the weight of all further sources, null included, together.
     Positions are distinct and grow with (period, slot, row); they have gaps where a block is not full. Rows that agree
-    in doc_id and text share a place in the order of their source, one after the other.
+    in doc_id and text share a place in the order of their source, one after the other. A column of `docs` with the name of
+    an added one is replaced.
     """
     return _mixed(docs, weights, other, block, seed)[0]
 
@@ -67,8 +69,11 @@ def _mixed(docs: DataFrame, weights: Mapping[str, int], other: int, block: int,
     values = [*weights.values(), other]
     if not all(isinstance(w, int) and w > 0 for w in values) or sum(values) > PERIOD:
         raise ValueError(f"weights are positive whole numbers of a sum up to {PERIOD}")
-    rank = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce("doc_id", F.lit(-1)), F.coalesce("text", F.lit(""))))
-    rows = docs.select("*", _source(weights).alias("_source"), rank.alias("_rank"))
+    names = {name: f"c{k}" for k, name in enumerate(docs.columns)}  # whatever they are called, ours differ
+    plain = docs.toDF(*names.values())
+    told = (F.coalesce(F.col(names[x]).cast("string"), F.lit("")) for x in ("doc_id", "text"))
+    rank = F.md5(F.concat_ws("|", F.lit(str(seed)), *told))
+    rows = plain.select("*", _source(names["source"], weights).alias("_source"), rank.alias("_rank"))
     rows = rows.withColumn("_bucket", F.conv(F.substring("_rank", 1, 3), 16, 10).cast("int") % BUCKETS)
     sizes = rows.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     counts = {row[0]: row[1] for row in sizes.groupBy("_source").agg(F.sum("_size")).collect()}
@@ -114,8 +119,9 @@ def _mixed(docs: DataFrame, weights: Mapping[str, int], other: int, block: int,
     period = F.col("mix_period") - at(starts)
     position = at(bases) + (period * at([sum(x[2]) for x in phases]) + F.col("mix_slot")) * block + F.col("mix_row")
     joined = placed.join(F.broadcast(schedule), ["_phase", "_source", "_turn"])  # at most phases x PERIOD small rows
-    placed = joined.withColumn("mix_position", position)
-    return placed.select(*docs.columns, F.col("mix_period").cast("long"), "mix_slot", "mix_row", "mix_position"), base
+    kept = [F.col(c).alias(name) for name, c in names.items() if name.lower() not in ADDED]
+    period = F.col("mix_period").cast("long").alias("mix_period")
+    return joined.select(*kept, period, "mix_slot", "mix_row", position.alias("mix_position")), base
 
 
 def mixed_in_order(
@@ -127,4 +133,4 @@ def mixed_in_order(
     parts = 1 + size // PART
     part = F.floor(F.col("mix_position") / max(-(-end // parts), 1)).cast("int")
     ordered = rows.repartitionById(int(parts), part).sortWithinPartitions("mix_position")
-    return ordered.select(*docs.columns)
+    return ordered.select(*(x for x in docs.columns if x.lower() not in ADDED))

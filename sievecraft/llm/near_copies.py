@@ -226,4 +226,4 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one document of each group of near copies: the one with the smallest id. Rows without an id stay."""
     copies = near_copies(docs, width, percent).filter("d <> component").select(F.col("d").alias("_d")).distinct()
-    return docs.join(copies, common.id_key("doc_id") == F.col("_d"), "left_anti")
+    return docs.join(copies, common.id_key("doc_id") == copies["_d"], "left_anti")

@@ -57,6 +57,7 @@ OUTSIDE = [
     "tag nav", "tag footer", "tag header", "tag aside", "tag form", "tag fieldset", "tag dialog", "tag menu", "hint advert",
     "hint menu", "hint footer", "hint header", "hint side", "hint notice", "hint comment", "hint share", "links most",
 ]
+MARKS = ("tag article", "tag main")
 INSIDE = ["tag article", "tag main", "tag p", "tag blockquote", "hint main", "length long"]
 # Shares of frame, content and other nodes that are expected to be seen so.
 RATES = {name: (0.002, 0.0005, 0.3) for name in OUTSIDE} | {name: (0.02, 0.2, 0.02) for name in INSIDE}
@@ -64,7 +65,7 @@ USUAL = (0.02, 0.02, 0.02)
 NEUTRAL = {"tag div", "tag section", "tag table", "tag tbody", "tag tr", "tag td"}  # may be anything
 #: How much what is seen may say against a state; text alone says less, as its traits depend on each other.
 SURE, PLAIN, TEXT_WEIGHT = 9.0, 3.5, 0.4
-PAIRS = np.array([[0.6, 0.1, 0.3], [0.001, 0.979, 0.02], [0.001, 0.001, 0.998]])  # parent, child
+PAIRS = np.array([[0.6, 0.1, 0.3], [0.001, 0.899, 0.1], [0.001, 0.001, 0.998]])  # parent, child
 
 _OUT_TAGS = {x[4:] for x in OUTSIDE if x.startswith("tag ")}
 _TOKEN = re.compile(
@@ -212,7 +213,7 @@ def potentials(seen: dict[tuple[str, int], float], pairs: dict[tuple[int, int],
     for name in {*RATES, *(name for name, _ in seen)}:
         count = np.array([seen.get((name, s), 0.0) for s in range(3)])
         share = np.log((count + PRIOR * np.array(RATES.get(name, USUAL))) / (nodes + PRIOR))
-        share = np.maximum(share - share.max(), -(SURE if name in OUTSIDE else PLAIN))
+        share = np.maximum(share - share.max(), -(SURE if name in OUTSIDE or name in MARKS else PLAIN))
         if name in NEUTRAL:
             share = share * 0
         out[name] = share * (1.0 if name.startswith(("tag", "hint")) else TEXT_WEIGHT)

@@ -1,0 +1,27 @@
+from __future__ import annotations
+
+import numpy as np
+
+import corpus_pipeline
+from sievecraft.llm import common, token_shards
+from tests.conftest import SF_DIR
+
+
+def test_stages(spark):
+    """Each stage returns the columns of documents but the last; what the last lays down is what the others kept."""
+    docs = common.table(spark, SF_DIR, "documents")
+    columns, before = docs.columns, {r["doc_id"] for r in docs.collect()}
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language ID", "near copies", "decontamination", "mixing", "token shards",
+    ]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.saved(stage(spark, docs, SF_DIR))
+        assert docs.columns == columns
+        after = {r["doc_id"] for r in docs.collect()}
+        assert after <= before and after
+        before = after
+    rows = sorted(corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect(), key=lambda r: r["sequence"])
+    stream = np.concatenate([np.frombuffer(r["ids"], np.uint16)[: r["n_tokens"]] for r in rows])
+    assert (stream == token_shards.END).sum() == docs.filter("text <> ''").count()
+    again = corpus_pipeline.run(spark, SF_DIR).select("slot", "sequence", "ids").collect()
+    assert sorted(again) == sorted((r["slot"], r["sequence"], r["ids"]) for r in rows)

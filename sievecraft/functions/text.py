@@ -170,9 +170,12 @@ def changed_files(diff: Column) -> Column:
 
 
 def guess_language(file_name: Column) -> Column:
-    """Language by file extension, else by whole file name, else `unknown`."""
+    """Language by file extension, else by whole file name, else `unknown`.
+
+    Names with blanks end in a tab in a diff; it is not part of the name.
+    """
     table = F.create_map(*[F.lit(item) for pair in LANGUAGES.items() for item in pair])
-    ending = F.lower(F.regexp_extract(file_name, r"([^./]*)\z", 1))
+    ending = F.lower(F.regexp_extract(file_name, r"([^./]*?)\t?\z", 1))
     return F.coalesce(F.element_at(table, ending), F.lit("unknown"))
 
 

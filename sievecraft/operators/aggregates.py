@@ -61,19 +61,97 @@ def distinct_authors(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _range(column: Column, low: str, high: str) -> Column:
-    return F.struct(F.min(column).alias(low), F.max(column).alias(high))
+_DIGITS = 14  # of an instant without its punctuation
+
+
+def _as_number(instant: Column) -> Column:
+    return F.translate(instant, "-T:Z", "").cast("long")
+
+
+def _as_instant(number: Column) -> Column:
+    text = F.lpad(number.cast("string"), _DIGITS, "0")
+    parts = [F.substring(text, at, size) for at, size in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2))]
+    return F.when(
+        number.isNotNull(),
+        F.concat(
+            parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2], F.lit("T"),
+            parts[3], F.lit(":"), parts[4], F.lit(":"), parts[5], F.lit("Z"),
+        ),
+    )
+
+
+_LEAST_AND_MOST = ("subject_length", "diff_length", "instant")
+
+
+def _narrow(splits: DataFrame, *more: Column) -> DataFrame:
+    """What a summary needs of a row, in numbers: neither a text nor an instant as text takes part
+    in an aggregate, so nothing is sorted."""
+    return splits.select(
+        "split",
+        "repository_group_id",
+        text_length(F.col("subject")).alias("subject_length"),
+        text_length(F.col("diff")).alias("diff_length"),
+        _as_number(F.col("committed_at_utc")).alias("instant"),
+        *more,
+    )
+
+
+def _ranges() -> list[Column]:
+    return [
+        edge(name).alias(f"{label}_{name}")
+        for name in _LEAST_AND_MOST
+        for label, edge in (("min", F.min), ("max", F.max))
+    ]
+
+
+def _range_columns() -> list[Column]:
+    def pair(name: str, low: str, high: str, form=lambda column: column) -> Column:
+        ends = (form(F.col(f"{label}_{name}")) for label in ("min", "max"))
+        return F.struct(*(end.alias(label) for end, label in zip(ends, (low, high))))
+
+    return [
+        pair("subject_length", "min", "max").alias("subject_length"),
+        pair("diff_length", "min", "max").alias("diff_length"),
+        pair("instant", "first", "last", _as_instant).alias("date_range"),
+    ]
 
 
 def split_summary(splits: DataFrame) -> DataFrame:
     """Per split: rows, length and date ranges, distinct repositories."""
-    return splits.groupBy("split").agg(
+    counted = _narrow(splits).groupBy("split").agg(
         F.count("*").alias("rows"),
-        _range(text_length(F.col("subject")), "min", "max").alias("subject_length"),
-        _range(text_length(F.col("diff")), "min", "max").alias("diff_length"),
-        _range(F.col("committed_at_utc"), "first", "last").alias("date_range"),
+        *_ranges(),
         F.count_distinct("repository_group_id").alias("repository_groups"),
     )
+    return counted.select("split", "rows", *_range_columns(), "repository_groups")
+
+
+def split_summary_with_languages(splits: DataFrame) -> DataFrame:
+    """`split_summary` and `language_maps` in one pass over the diffs.
+
+    A row counts once under no language, and once more for each changed file under the file's.
+    """
+    languages = F.transform(changed_files(F.col("diff")), guess_language)
+    marks = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(languages, F.array()))
+    rows = _narrow(splits, F.explode(marks).alias("language"))
+    itself = F.col("language").isNull()
+    parts = rows.groupBy("split", "language").agg(
+        F.count("*").alias("n"),
+        *_ranges(),
+        F.count_distinct(F.when(itself, F.col("repository_group_id"))).alias("groups"),
+    )
+    files = F.collect_list(F.when(~itself, F.struct("language", F.col("n").alias("files"))))
+    whole = parts.groupBy("split").agg(
+        F.max(F.when(itself, F.col("n"))).alias("rows"),
+        *(
+            F.max(F.when(itself, F.col(f"{label}_{name}"))).alias(f"{label}_{name}")
+            for name in _LEAST_AND_MOST
+            for label in ("min", "max")
+        ),
+        F.max("groups").alias("repository_groups"),
+        F.map_from_entries(F.sort_array(files)).alias("languages"),
+    )
+    return whole.select("split", "rows", *_range_columns(), "repository_groups", "languages")
 
 
 def language_counts(splits: DataFrame) -> DataFrame:

@@ -39,11 +39,12 @@ def identity_set(names: Iterable[str]) -> list[str]:
 
 
 def author_matched(email: Column, allowed: Iterable[str]) -> Column:
-    return identity_key(email).isin(identity_set(allowed))
+    """Whether an e-mail is on the list; a null one is not."""
+    return F.coalesce(identity_key(email).isin(identity_set(allowed)), F.lit(False))
 
 
 def is_merge(parent_hashes: Column) -> Column:
-    return F.size(parent_hashes) > 1
+    return F.coalesce(F.size(parent_hashes) > 1, F.lit(False))
 
 
 def is_fixup(subject: Column) -> Column:
@@ -59,12 +60,16 @@ def first_match(branches: Sequence[tuple[Column, str]]) -> Column:
 
 
 def metadata_reason(author_ok: Column, parent_hashes: Column, subject: Column) -> Column:
-    """The part of the rejection cascade that needs no changed paths."""
+    """The part of the rejection cascade that needs no changed paths.
+
+    It fails closed: an author who is not known to match does not, and a null subject is empty.
+    Null parents are no merge.
+    """
     return first_match(
         [
-            (~author_ok, "author_not_matched"),
+            (~F.coalesce(author_ok, F.lit(False)), "author_not_matched"),
             (is_merge(parent_hashes), "merge"),
-            (subject == "", "empty_subject"),
+            (F.coalesce(subject, F.lit("")) == "", "empty_subject"),
             (is_fixup(subject), "fixup"),
         ]
     )

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sievecraft.errors import DataQualityError
+from sievecraft.functions.text import casefold, identity_key
 
 
 def select_required(df: DataFrame, columns: Sequence[str], label: str = "table") -> DataFrame:
@@ -56,18 +57,34 @@ def require_full_history(repositories: DataFrame) -> None:
         raise DataQualityError(f"{count} shallow repository histories, for example {path}")
 
 
-def identity_leaks(candidates: DataFrame, provenance: DataFrame) -> DataFrame:
-    """One row: candidates whose text shows the author's e-mail, the repository path or the
-    commit hash. Subject and diff are not scrubbed, so this is a number to report."""
-    text = F.concat(F.col("subject"), F.lit("\n"), F.col("diff"))
-    private = provenance.select("id", "author_email", "repository_path", "commit_sha")
-    return candidates.join(private, "id").agg(
-        F.count_if(F.contains(text, F.col("author_email"))).alias("author_email_count"),
-        F.count_if(F.contains(text, F.col("repository_path"))).alias("repository_path_count"),
-        F.count_if(F.contains(text, F.col("commit_sha"))).alias("commit_sha_count"),
+def leak_counts(rows: DataFrame) -> DataFrame:
+    """One row: how many rows show the author's e-mail (in any case), the repository path, the
+    commit hash or a remote in `subject` or `diff`. For rows that hold text and lineage side by
+    side, so it moves no text. Blank and null needles are in no text; neither is scrubbed, so this
+    is a number to report."""
+    text = F.concat_ws("\n", "subject", "diff")
+
+    def shown(needle: Column) -> Column:
+        return F.coalesce((needle != "") & F.contains(text, needle), F.lit(False))
+
+    email = identity_key(F.col("author_email"))
+    folded = F.coalesce((email != "") & F.contains(casefold(text), email), F.lit(False))
+    remote = F.coalesce(F.exists("remote_urls", shown), F.lit(False))
+    return rows.agg(
+        F.count_if(folded).alias("author_email_count"),
+        F.count_if(shown(F.col("repository_path"))).alias("repository_path_count"),
+        F.count_if(shown(F.col("commit_sha"))).alias("commit_sha_count"),
+        F.count_if(remote).alias("remote_url_count"),
     )
 
 
+def identity_leaks(candidates: DataFrame, provenance: DataFrame) -> DataFrame:
+    """`leak_counts` of two tables that were read back; the lineage is built into hash tables, so
+    that the texts are shuffled but not sorted."""
+    names = ("id", "author_email", "repository_path", "commit_sha", "remote_urls")
+    return leak_counts(candidates.join(provenance.select(*names).hint("shuffle_hash"), "id"))
+
+
 def lineage_integrity(candidates: DataFrame, provenance: DataFrame) -> DataFrame:
     """One row: ids on each side, ids without a partner and repeated ids. The pair is sound if
     the last three are zero."""

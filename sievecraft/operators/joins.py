@@ -15,15 +15,28 @@ def small_row_count(
 ) -> int | None:
     """Rows of a table that is within the bound for a broadcast, else None.
 
-    Measures the table itself, and reads one row beyond the bound at most.
+    Measures the table itself by one distributed aggregate: each task sends a count and a sum.
     """
     size = F.octet_length(F.to_json(F.struct("*")))
-    rows, chars = (
-        df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
-    )
+    rows, chars = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     return rows if rows <= max_rows and chars <= max_bytes else None
 
 
+def hot_keys_of(facts: DataFrame, on: str, hot_keys: int = HOT_KEYS) -> list:
+    """The keys, null left out, that hold more than 1/`hot_keys` of the rows; fewer than `hot_keys`.
+
+    One pass: the grand total comes from the same aggregate as the counts per key.
+    """
+    counts = facts.rollup(on).agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
+    largest = counts.orderBy(F.desc("n"), F.desc("level")).limit(hot_keys + 2).collect()
+    total = next((row["n"] for row in largest if row["level"]), 0)
+    return [
+        row[0]
+        for row in largest
+        if not row["level"] and row[0] is not None and row["n"] * hot_keys > total
+    ]
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -37,28 +50,23 @@ def lookup_join(
 
     A lookup within the measured bound is broadcast. Otherwise both sides are shuffled, and the
     keys that hold more than 1/`hot_keys` of the facts are spread over that many salts, chosen by a
-    hash of the `spread` columns; only those few lookup rows are repeated. No row is lost either
-    way. `small` passes on the outcome of a measurement already made.
+    hash of the `spread` columns; only those few lookup rows are repeated. Null keys, which match
+    nothing, are spread alike. No row is lost either way. `small` passes on the outcome of a
+    measurement already made.
     """
     if small is None:
         small = small_row_count(lookup) is not None
     if small:
         return facts.join(F.broadcast(lookup), on, how)
 
-    counts = facts.groupBy(on).count()
-    total = facts.count()
-    hot = [
-        row[0]
-        for row in counts.filter(F.col("count") * hot_keys > total)
-        .filter(F.col(on).isNotNull())
-        .select(on)
-        .collect()  # fewer than `hot_keys` rows, by the threshold
-    ]
+    hot = hot_keys_of(facts, on, hot_keys)
     is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False)) if hot else F.lit(False)
     cold_salt = F.lit(0).cast("long")
     salted = facts.withColumn(
         "_salt",
-        F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(hot_keys))).otherwise(cold_salt),
+        F.when(
+            is_hot | F.col(on).isNull(), F.pmod(F.xxhash64(*spread), F.lit(hot_keys))
+        ).otherwise(cold_salt),
     )
     repeated = lookup.withColumn(
         "_salt",

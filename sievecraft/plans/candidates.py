@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sievecraft.errors import DataQualityError
 from sievecraft.functions.keys import candidate_id, patch_fingerprint, repository_group_id
 from sievecraft.functions.paths import remote_urls
 from sievecraft.functions.text import (
@@ -24,7 +25,7 @@ from sievecraft.operators.filters import (
     metadata_reason,
     only_included,
 )
-from sievecraft.operators.guards import require_full_history
+from sievecraft.operators.guards import leak_counts, lineage_integrity, require_full_history
 from sievecraft.operators.joins import lookup_join, small_row_count
 from sievecraft.schemas import PROVENANCE
 from sievecraft.sources.writers import (
@@ -39,10 +40,11 @@ class Build:
     """`labelled` holds every commit of an included repository with its `reason` (null if
     accepted) and `early_reason`, the part of it that needs no changed paths; the other tables
     derive from it. All are lazy, and whatever a consumer leaves out is not computed: counts and
-    lineage never read the diffs. `texts` holds the diffs if they are kept out of `labelled`."""
+    lineage never read the diffs. `texts` holds the diffs of commits that may be accepted; they
+    join the accepted ones by the commit key, whatever the size of the lookups."""
 
     labelled: DataFrame
-    texts: DataFrame | None = None
+    texts: DataFrame
 
     @property
     def decided(self) -> DataFrame:
@@ -50,17 +52,32 @@ class Build:
 
     @property
     def accepted(self) -> DataFrame:
+        """Accepted commits, without diffs. A commit key that occurs twice among them is an error:
+        its diff could not be told from the other's."""
         # The first filter moves below the join on paths, so that commits rejected by their
         # metadata are not shuffled.
-        return self.labelled.filter(F.col("early_reason").isNull()).filter(
+        rows = self.labelled.filter(F.col("early_reason").isNull()).filter(
             F.col("reason").isNull()
         )
+        place = F.row_number().over(Window.partitionBy(*COMMIT_KEY).orderBy("committed_at"))
+        once = F.when(place == 1, F.col("id")).otherwise(
+            F.raise_error(F.concat(F.lit("a commit occurs twice: "), F.col("id")))
+        )
+        return rows.withColumn("id", once)
+
+    @property
+    def with_texts(self) -> DataFrame:
+        """Accepted commits with their diffs: one shuffle of both by the commit key, without a sort
+        of the diffs."""
+        return self.texts.join(self.accepted.hint("shuffle_hash"), list(COMMIT_KEY))
+
+    @property
+    def leaks(self) -> DataFrame:
+        return leak_counts(self.with_texts)
 
     @property
     def candidates(self) -> DataFrame:
-        accepted = self.accepted
-        if self.texts is not None:
-            accepted = accepted.join(self.texts, list(COMMIT_KEY))
+        accepted = self.with_texts
         known = F.col("patch_id") if "patch_id" in accepted.columns else F.lit(None)
         return accepted.select(
             "id",
@@ -115,9 +132,9 @@ def build_candidates(
     `parse_numstat`); without it the commits carry the column `numstat`, and no join on paths is
     needed. A shallow included repository is an error.
 
-    While repositories and allow-list fit a broadcast, the diffs travel with their commits.
-    Otherwise every commit is shuffled for each of them, and the diffs join the accepted commits
-    at the end.
+    Commits are decided on without their diffs; these join the accepted ones at the end. Rows and
+    columns do not depend on the size of repositories and allow-list, only whether these are
+    broadcast does.
     """
     require_full_history(repositories)
     lineage = only_included(repositories).select(
@@ -138,12 +155,15 @@ def build_candidates(
     # NFC neither empties a subject nor changes an ASCII prefix that ends in `!`, so the reasons
     # need no Python.
     plain = squeeze(F.col("subject"))
-    texts = None
-    if not (small_lineage and small_keys):
-        columns = [name for name in ("diff", "patch_id") if name in commits.columns]
-        possible = metadata_reason(known_author, F.col("parents"), plain).isNull()
-        texts = commits.filter(possible).select(*COMMIT_KEY, *columns)
-        commits = commits.drop(*columns)
+    columns = [name for name in ("diff", "patch_id") if name in commits.columns]
+    possible = metadata_reason(known_author, F.col("parents"), plain).isNull()
+    texts = commits.filter(possible)
+    if changes is None:  # what the paths say is known without a join, too
+        paths = inline_change_stats(F.coalesce(F.col("numstat"), F.lit("")))
+        rejected = change_reason(paths["path_count"], paths["has_binary"], paths["generated_only"])
+        texts = texts.filter(rejected.isNull())
+    texts = texts.select(*COMMIT_KEY, *columns)
+    commits = commits.drop(*columns)
 
     if keys is None:
         flagged = commits.withColumn("author_ok", known_author)
@@ -180,10 +200,19 @@ def write_build(
     """Write lineage, then candidates; returns counts by reason, and `accepted`.
 
     Counted by an aggregate of its own rather than by metrics of the write: retried tasks would
-    count twice there.
+    count twice there. What was written is read back and checked, so that a source that grows
+    between the passes is noticed.
     """
     require_distinct_paths(candidates_path, provenance_path)
     write_provenance(build.provenance, provenance_path, partitions)
     write_candidates(build.candidates, candidates_path, partitions)
+    spark = build.labelled.sparkSession
+    found = lineage_integrity(
+        spark.read.parquet(candidates_path), spark.read.parquet(provenance_path)
+    ).first()
     rows = build.labelled.groupBy("reason").count().collect()
-    return {row["reason"] or "accepted": row["count"] for row in rows}
+    counts = {row["reason"] or "accepted": row["count"] for row in rows}
+    unsound = any(found[name] for name in ("without_provenance", "without_candidate", "repeated_ids"))
+    if unsound or found["candidates"] != counts.get("accepted", 0):
+        raise DataQualityError(f"wrote {found.asDict()}, counted {counts}")
+    return counts

@@ -24,7 +24,7 @@ from sievecraft.operators.ordering import (
     with_group_key,
 )
 from sievecraft.schemas import CANDIDATES, HELD_OUT
-from sievecraft.sources.readers import read_candidates, source_digest
+from sievecraft.sources.readers import read_candidates, rows_digest
 from sievecraft.sources.writers import write_manifest, write_splits
 
 MINIMUM_ROWS = 500
@@ -46,7 +46,8 @@ def _kept(window: DataFrame, keys: DataFrame, winners: DataFrame, copies: int) -
     """The deduplicated wide rows.
 
     Few copies: an anti-join against their broadcast ids, and the texts are not shuffled at all.
-    Many copies, or ids that repeat within a group: the window over the wide rows.
+    Many copies: a semi-join with the winners' ids, one shuffle without a sort of the texts. Ids
+    that repeat, within a group or over several: the window over the wide rows.
     """
     if copies == 0:
         return window
@@ -54,6 +55,8 @@ def _kept(window: DataFrame, keys: DataFrame, winners: DataFrame, copies: int) -
         losers = keys.join(winners, "id", "left_anti").select("id")
         if small_row_count(losers) == copies:
             return window.join(F.broadcast(losers), "id", "left_anti")
+    elif keys.join(winners, "id", "left_semi").count() + copies == keys.count():
+        return window.join(winners.hint("shuffle_hash"), "id", "left_semi")
     return dedup_earliest(with_group_key(window)).drop("group_key")
 
 
@@ -115,11 +118,13 @@ def prepare_files(
 ) -> dict[str, object]:
     """Read candidates, write the splits and `manifest.json` next to them; returns the manifest.
 
-    The fingerprint and the counts per split are taken from what was written.
+    The fingerprint and the counts per split are taken from what was written; the source is digested
+    by its rows before anything is. Splits of an earlier run are replaced, the manifest comes last.
     """
     prepared = prepare_dataset(
         read_candidates(spark, candidates_path), since, until, minimum_rows, minimum_evaluation_rows
     )
+    source = rows_digest(read_candidates(spark, candidates_path)).first()["digest"]
     splits_path = f"{directory}/splits"
     write_splits(prepared.splits, splits_path)
     written = spark.read.parquet(splits_path)
@@ -132,7 +137,7 @@ def prepare_files(
         raise DataQualityError(f"wrote {found}, expected {prepared.split_counts}")
     manifest = {
         "source_file": candidates_path.rstrip("/").rsplit("/", 1)[-1],
-        "source_sha256": source_digest(spark, candidates_path, "*.parquet").first()["digest"],
+        "source_sha256": source,
         "fingerprint": dataset_fingerprint(written, **bounds).first()["digest"],
         "split_counts": prepared.split_counts,
         **prepared.counts,

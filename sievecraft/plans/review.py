@@ -4,23 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from sievecraft.errors import DataQualityError
-from sievecraft.operators.aggregates import language_maps, split_summary
+from sievecraft.operators.aggregates import split_summary_with_languages
 from sievecraft.operators.guards import require_minimum, require_none, select_required
 from sievecraft.operators.joins import BROADCAST_ROWS, small_row_count
+from sievecraft.operators.ordering import chronological_key, key_at
 from sievecraft.schemas import HELD_OUT, QUEUE_COLUMNS, REFERENCE_COLUMNS
-from sievecraft.sources.readers import latest_decisions
-from sievecraft.sources.writers import write_reviewed
+from sievecraft.sources.readers import latest_decisions, read_decisions
+from sievecraft.sources.writers import append_decisions, delete_path, write_reviewed
 
 REQUIRED_APPROVALS = 50
+# Rows per group up to which Spark limits ranks in each task (its default for such limits).
+KEPT_PER_TASK = 1_000
 
 
 def summarise_splits(splits: DataFrame) -> DataFrame:
     """One row per split: counts, ranges, repositories and a map of languages."""
     rows = select_required(splits, [*REFERENCE_COLUMNS, "split"], "splits")
-    return split_summary(rows).join(language_maps(rows), "split", "left")
+    return split_summary_with_languages(rows)
 
 
 def audit_queue(splits: DataFrame, names: Sequence[str] = HELD_OUT) -> DataFrame:
@@ -45,11 +49,14 @@ def undecided(queue: DataFrame, decisions: DataFrame) -> DataFrame:
 def next_undecided(queue: DataFrame, decisions: DataFrame, k: int = 1) -> DataFrame:
     """The first `k` undecided rows of each split, with their `position` among the undecided.
 
-    Ids are ranked without their texts, and Spark keeps `k` of them per split and task before the
-    shuffle. The texts of the chosen ones are then looked up.
+    Ids are ranked without their texts. For a small `k`, Spark keeps `k` of them per split and task
+    before the shuffle; for a larger one, the key that follows the `k`-th is found by counting, and
+    only what comes before it is ranked. The texts of the chosen ones are then looked up.
     """
     order = Window.partitionBy("split").orderBy("committed_at_utc", "id")
     narrow = undecided(queue.select("split", "id", "committed_at_utc"), decisions)
+    if k > KEPT_PER_TASK:
+        narrow = _before_cuts(narrow, k)
     ranked = narrow.withColumn("position", F.row_number().over(order))
     chosen = ranked.filter(F.col("position") <= k).select("split", "id", "position")
     # `k` ids per split: small whatever the size of the queue, if `k` is.
@@ -58,6 +65,23 @@ def next_undecided(queue: DataFrame, decisions: DataFrame, k: int = 1) -> DataFr
     return queue.select(*QUEUE_COLUMNS).join(chosen, ["split", "id"])
 
 
+def _before_cuts(narrow: DataFrame, k: int) -> DataFrame:
+    """Rows among the first `k` of their split; one row per split passes the driver."""
+    keyed = narrow.withColumn("key", chronological_key()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = {row["split"]: row["count"] for row in keyed.groupBy("split").count().collect()}
+        early = F.lit(False)
+        for name, size in sizes.items():
+            here = F.col("split") == F.lit(name)
+            if size > k:
+                cut = key_at(keyed.filter(here).select("key"), k, size)
+                here = here & (chronological_key() < F.lit(cut))
+            early = early | here
+    finally:
+        keyed.unpersist()
+    return narrow.filter(early)
+
+
 def approval_counts(queue: DataFrame, decisions: DataFrame) -> DataFrame:
     """Rows, decided rows and approved rows of the queue per split; undecided is not approved."""
     marked = queue.select("split", "id").join(decisions.select("id", "approved"), "id", "left")
@@ -105,7 +129,10 @@ def approved_ids(decisions: DataFrame, names: Sequence[str] = HELD_OUT) -> DataF
 
 def stale_approvals(decisions: DataFrame, splits: DataFrame) -> DataFrame:
     """Approved (split, id) that the splits do not hold."""
-    return approved_ids(decisions).join(splits.select("split", "id"), ["split", "id"], "left_anti")
+    approved = approved_ids(decisions)
+    held_out = splits.filter(F.col("split").isin(*HELD_OUT)).select("split", "id")
+    few = held_out.join(approved, ["split", "id"], "left_semi")  # as many as there are approvals
+    return approved.join(few, ["split", "id"], "left_anti")
 
 
 def reviewed_rows(splits: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -141,3 +168,17 @@ def materialise_review(
         {name: written.get(name, 0) for name in names}, required, "reviewed rows per split"
     )
     return written
+
+
+def compact_decisions(spark: SparkSession, path: str, compact_path: str, queue: DataFrame) -> int:
+    """Write the current decisions on the queue's ids as a new log; returns its rows.
+
+    The old log stays until the new one is complete; `retire_decisions` removes it.
+    """
+    append_decisions(current_decisions(read_decisions(spark, path), queue), compact_path)
+    return spark.read.parquet(compact_path).count()
+
+
+def retire_decisions(spark: SparkSession, path: str) -> bool:
+    """Remove a log that is no longer needed; False if there is none."""
+    return delete_path(spark, path)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from sievecraft.functions.text import parents
+from sievecraft.functions.text import canonical_json, parents
 from sievecraft.operators.aggregates import set_digest
 from sievecraft.operators.guards import select_required
 from sievecraft.schemas import CANDIDATES, DECISIONS, HELD_OUT
@@ -64,20 +64,18 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
 def read_splits(
     spark: SparkSession, directory: str, names: Sequence[str] = HELD_OUT
 ) -> DataFrame:
-    """Named splits of a prepared directory; only their partitions are read, and all must exist."""
-    frames = [
-        spark.read.option("basePath", directory).parquet(f"{directory}/split={name}")
-        for name in names
-    ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return select_required(result, [*CANDIDATES.names, "split"], "splits")
+    """Named splits of a prepared directory; only their partitions are read. A split without rows
+    has no directory and reads as empty."""
+    rows = select_required(
+        spark.read.parquet(directory), [*CANDIDATES.names, "split"], "splits"
+    )
+    return rows.filter(F.col("split").isin(*names))
 
 
 def latest_decisions(decisions: DataFrame) -> DataFrame:
-    """The last decision on each id, by `seq`."""
-    last = Window.partitionBy("id").orderBy(F.col("seq").desc())
+    """The last decision on each id, by `seq`; of several with one `seq`, a rejection, then the
+    smaller split."""
+    last = Window.partitionBy("id").orderBy(F.desc("seq"), F.asc("approved"), F.asc("split"))
     return (
         decisions.withColumn("_place", F.row_number().over(last))
         .filter(F.col("_place") == 1)
@@ -97,13 +95,12 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def distinct_repositories(repositories: DataFrame) -> DataFrame:
-    """One row per work tree, however many roots it was reached from."""
-    first = Window.partitionBy("path").orderBy(F.col("shallow").desc(), F.col("remotes"))
-    return (
-        repositories.select("path", "remotes", "shallow")
-        .withColumn("_place", F.row_number().over(first))
-        .filter(F.col("_place") == 1)
-        .drop("_place")
+    """One row per work tree, however many roots it was reached from: all its remotes in order, and
+    shallow if any row says so."""
+    remotes = F.array_sort(F.array_distinct(F.flatten(F.collect_set("remotes"))))
+    return repositories.groupBy("path").agg(
+        remotes.alias("remotes"),
+        F.coalesce(F.bool_or("shallow"), F.lit(False)).alias("shallow"),
     )
 
 
@@ -112,7 +109,8 @@ def read_repositories(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Name and SHA-256 of each file below a path. One file is one task's work, up to 2 GiB."""
+    """Name and SHA-256 of each file below a path, for small files: one file is one row, up to
+    2 GiB. Data sets are digested by their rows, see `rows_digest`."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -125,7 +123,7 @@ def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
-def source_digest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """One row with `digest` over the names and bytes of all files of a data set."""
-    named = F.sha2(F.concat("name", F.lit("\u0000"), "sha256"), 256)
-    return set_digest(file_digests(spark, path, glob).select(named.alias("row_hash")), "")
+def rows_digest(rows: DataFrame) -> DataFrame:
+    """One row with `digest` over the canonical JSON of all rows, whatever files they lie in."""
+    row_hash = F.sha2(canonical_json(*rows.columns), 256)
+    return set_digest(rows.select(row_hash.alias("row_hash")), "")

@@ -14,31 +14,49 @@ from sievecraft.schemas import CANDIDATES, DECISIONS, PROVENANCE, SPLIT_ROWS
 # `candidate_` comes before the hex digits of an id.
 _ID_DIGITS_AT = len("candidate_") + 1
 _ID_DIGITS = 6
+# Fixed value: how an id looks; only then are its leading digits a share of all rows.
+_ID_FORM = r"\Acandidate_[0-9a-f]{24}\z"
+FILE_BYTES = 256 * 1024 * 1024
+FILE_RECORDS = 5_000_000
 
 
 def _sorted_by_id(df: DataFrame, partitions: int | None) -> DataFrame:
     """Total order by id over all files.
 
     Ids are hashes, so equal shares of their value range are equal shares of the rows: the target
-    partition follows from the leading digits, with no sampling run over the whole input.
+    partition follows from the leading digits, with no sampling run over the whole input. An id of
+    another form is an error. Without `partitions`, one pass measures the rows, and each partition
+    gets about FILE_BYTES of text.
     """
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    leading = F.conv(F.substring("id", _ID_DIGITS_AT, _ID_DIGITS), 16, 10).cast("long")
-    share = F.floor(leading * count / F.lit(16**_ID_DIGITS)).cast("int")
-    target = F.coalesce(share, F.lit(0))
-    return df.repartitionById(count, target).sortWithinPartitions("id")
+    if partitions is None:
+        texts = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+        size = df.agg(F.sum(sum(texts, F.lit(16)))).first()[0] or 0
+        partitions = 1 + size // FILE_BYTES
+    row_id = F.when(F.col("id").rlike(_ID_FORM), F.col("id")).otherwise(
+        F.raise_error(F.concat(F.lit("not the form of an id: "), F.col("id")))
+    )
+    leading = F.conv(F.substring(row_id, _ID_DIGITS_AT, _ID_DIGITS), 16, 10).cast("long")
+    target = F.floor(leading * partitions / F.lit(16**_ID_DIGITS)).cast("int")
+    return df.repartitionById(partitions, target).sortWithinPartitions("id")
+
 
+def _write(rows: DataFrame, path: str, mode: str) -> None:
+    options = {"compression": "zstd", "maxRecordsPerFile": FILE_RECORDS}
+    rows.write.mode(mode).options(**options).parquet(path)
 
-def write_candidates(df: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Candidates as zstd Parquet in id order. `partitions` sets the number of files."""
-    rows = enforce_schema(df, CANDIDATES)
-    _sorted_by_id(rows, partitions).write.option("compression", "zstd").parquet(path)
+
+def write_candidates(
+    df: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite"
+) -> None:
+    """Candidates as zstd Parquet in id order, in place of an earlier run's."""
+    _write(_sorted_by_id(enforce_schema(df, CANDIDATES), partitions), path, mode)
 
 
-def write_provenance(df: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_provenance(
+    df: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite"
+) -> None:
     """The private lineage table, laid out like the candidates."""
-    rows = enforce_schema(df, PROVENANCE)
-    _sorted_by_id(rows, partitions).write.option("compression", "zstd").parquet(path)
+    _write(_sorted_by_id(enforce_schema(df, PROVENANCE), partitions), path, mode)
 
 
 def require_distinct_paths(candidates_path: str, provenance_path: str) -> None:
@@ -46,13 +64,14 @@ def require_distinct_paths(candidates_path: str, provenance_path: str) -> None:
         raise ValueError("candidate and provenance outputs must have different paths")
 
 
-def write_splits(splits: DataFrame, directory: str) -> None:
-    """One zstd Parquet directory per split. Rows are in time order inside a file; the order over
+def write_splits(splits: DataFrame, directory: str, mode: str = "overwrite") -> None:
+    """One zstd Parquet directory per split, in place of an earlier run's. Rows are in time order inside a file; the order over
     files is that of (`committed_at_utc`, `id`), so no shuffle is spent on it."""
     (
         enforce_schema(splits, SPLIT_ROWS)
         .sortWithinPartitions("split", "committed_at_utc", "id")
-        .write.partitionBy("split")
+        .write.mode(mode)
+        .partitionBy("split")
         .option("compression", "zstd")
         .parquet(directory)
     )
@@ -70,6 +89,13 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder on whatever file system the path names; False if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return bool(system.delete(target, True))
+
+
 def report_json(report: Mapping[str, object]) -> str:
     return json.dumps(report, indent=2, sort_keys=True) + "\n"
 
@@ -90,7 +116,7 @@ def write_scan_report(
         F.struct("author_email_count", "commit_count", "path", "shallow", "status")
     ).alias("value")
     ordered = repositories.orderBy(casefold(F.col("path")), "path")
-    ordered.select(row).write.text(f"{directory}/repositories")
+    ordered.select(row).write.mode("overwrite").text(f"{directory}/repositories")
     report = totals.first().asDict() | {"roots": roots}
     _write_text(repositories.sparkSession, f"{directory}/totals.json", report_json(report))
 

@@ -14,25 +14,25 @@ from sievecraft.plans import candidates as plan
 from sievecraft.schemas import CANDIDATES, PROVENANCE
 from sievecraft.sources import readers, writers
 
-ME = "person@example.com"
-DIFF = "diff --git a/f b/f\n--- a/f\n+++ b/f\n@@ -1 +1 @@\n+line with spaces   \n"
+ME = "mira.holt@lab.test"
+DIFF = "diff --git a/src/q b/src/q\n--- a/src/q\n+++ b/src/q\n@@ -4 +4,2 @@\n kept\n+\tindented\t \n"
 
 # subject, e-mail, number of parents, numstat entries, reason
 CASES = [
-    ("Commit 0", ME, 0, ["1\t0\thistory.txt"], None),
-    ("fixup! Commit 0", ME, 1, ["1\t0\tfixup.txt"], "fixup"),
-    ("Automated update", "bot@example.com", 1, ["1\t0\tbot.txt"], "author_not_matched"),
-    ("Build bundle", ME, 1, ["1\t0\tdist/js/app.js"], "generated_only"),
-    ("Add image", ME, 1, ["-\t-\timage.bin"], "binary"),
-    ("Empty change", ME, 1, [], "empty_change"),
-    ("Add feature", " Person@EXAMPLE.com ", 1, ["1\t0\tfeature.txt"], None),
-    ("Add main", ME, 1, ["1\t0\tmain.txt", "1\t0\tdist/x.js"], None),
-    ("Merge feature", ME, 2, ["1\t0\tx"], "merge"),
-    (" \t　", ME, 1, ["1\t0\tx"], "empty_subject"),
-    ("Foreign merge", "bot@example.com", 2, ["1\t0\tx"], "author_not_matched"),
-    ("Binary in dist", ME, 1, ["-\t-\tdist/x.bin"], "binary"),
+    ("Parse dates with offsets", ME, 0, ["7\t2\tsrc/dates.rs"], None),
+    ("fixup! Parse dates with offsets", ME, 1, ["1\t1\tsrc/dates.rs"], "fixup"),
+    ("Bump 14 packages", "robot@ci.test", 1, ["9\t9\tdeps.lock"], "author_not_matched"),
+    ("Publish the manual", ME, 1, ["55\t0\tdist/manual/index.html"], "generated_only"),
+    ("New icon", ME, 1, ["-\t-\tart/icon.ico"], "binary"),
+    ("Trigger the nightly run", ME, 1, [], "empty_change"),
+    ("Cache the lookup", "\tMira.Holt@LAB.test ", 1, ["3\t3\tsrc/cache.rs"], None),
+    ("Split the parser", ME, 1, ["20\t5\tsrc/parser.rs", "1\t0\tdist/p.js"], None),
+    ("Bring in release 3", ME, 2, ["4\t0\tnotes"], "merge"),
+    (" \t\u3000", ME, 1, ["4\t0\tnotes"], "empty_subject"),
+    ("Bring in the mirror", "robot@ci.test", 2, ["4\t0\tnotes"], "author_not_matched"),
+    ("Ship fonts", ME, 1, ["-\t-\tdist/serif.woff"], "binary"),
     ("", ME, 2, [], "merge"),
-    ("squash! x", ME, 1, [], "fixup"),
+    ("squash! Cache the lookup", ME, 1, [], "fixup"),
 ]
 REASONS = {case[0]: case[4] for case in CASES}
 
@@ -101,9 +101,9 @@ def test_tables_and_privacy(commits, repositories):
     build = build_candidates(repositories, commits, [ME])
     rows = [row.asDict() for row in build.candidates.collect()]
     assert build.candidates.columns == CANDIDATES.names
-    assert {row["subject"] for row in rows} == {"Commit 0", "Add feature", "Add main"}
+    assert {row["subject"] for row in rows} == {case[0] for case in CASES if case[4] is None}
     assert {row["committed_at_utc"] for row in rows} == {"2023-12-31T23:30:00Z"}
-    assert all("+line with spaces   " in row["diff"].split("\n") for row in rows)
+    assert all("+\tindented\t " in row["diff"].split("\n") for row in rows)
     assert len({row["patch_id"] for row in rows}) == 1
     public = json.dumps(rows)
     lineage = build.provenance.collect()
@@ -113,16 +113,65 @@ def test_tables_and_privacy(commits, repositories):
         for private in (row["commit_sha"], row["repository_path"], row["author_email"], "git@h.com"):
             assert private not in public
     assert {row["id"] for row in rows} == {row["id"] for row in lineage}
-    leaks = guards.identity_leaks(build.candidates, build.provenance).first()
-    assert tuple(leaks) == (0, 0, 0)
+    assert tuple(build.leaks.first()) == (0, 0, 0, 0)
+    assert tuple(guards.identity_leaks(build.candidates, build.provenance).first()) == (0, 0, 0, 0)
+
+
+def test_leaks_are_found(spark, commits, repositories):
+    shown = {
+        "Parse dates with offsets": "ask MIRA.holt@lab.TEST",
+        "Cache the lookup": "see /srv/one/notes and git@h.com:a/b.git",
+        "Split the parser": F.col("commit_sha"),
+    }
+    diff = F.lit(DIFF)
+    for subject, text in shown.items():
+        more = F.lit(text) if isinstance(text, str) else text
+        diff = F.when(F.col("subject") == subject, F.concat(F.lit(DIFF + "+"), more)).otherwise(diff)
+    build = build_candidates(repositories, commits.withColumn("diff", diff), [ME])
+    assert tuple(build.leaks.first()) == (1, 1, 1, 1)
+    plan = build.leaks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") <= 4
+    assert tuple(guards.identity_leaks(build.candidates, build.provenance).first()) == (1, 1, 1, 1)
+
+
+def test_blank_needles_are_in_no_text(spark):
+    rows = spark.createDataFrame(
+        [("s", "d", " ", "", None, ["", None]), (None, None, None, None, None, None)],
+        "subject string, diff string, author_email string, repository_path string,"
+        "commit_sha string, remote_urls array<string>",
+    )
+    assert tuple(guards.leak_counts(rows).first()) == (0, 0, 0, 0)
+
+
+@pytest.mark.parametrize("allow", ["list", "table"])
+def test_nulls_fail_closed(spark, commits, repositories, allow):
+    allowed = [ME] if allow == "list" else spark.createDataFrame([(ME,)], "author_email string")
+    first = F.col("subject") == "Parse dates with offsets"
+    changed = commits.withColumn("author_email", F.when(~first, F.col("author_email")))
+    build = build_candidates(repositories, changed, allowed)
+    assert build.totals.first()["accepted"] == 2
+    assert {r["subject"]: r["reason"] for r in build.decided.collect()}["Parse dates with offsets"] == "author_not_matched"
+    changed = commits.withColumn("subject", F.when(~first, F.col("subject")))
+    reasons = [row["reason"] for row in build_candidates(repositories, changed, allowed).decided.collect()]
+    assert reasons.count("empty_subject") == 2
+    changed = commits.withColumn("parents", F.when(~first, F.col("parents")))
+    assert build_candidates(repositories, changed, allowed).totals.first()["accepted"] == 3
+
+
+def test_a_commit_that_occurs_twice_is_an_error(commits, repositories):
+    twice = commits.unionAll(commits.filter("subject = 'Split the parser'"))
+    build = build_candidates(repositories, twice, [ME])
+    for df in (build.candidates, build.provenance):
+        with pytest.raises(PySparkException, match="occurs twice"):
+            df.collect()
 
 
 def test_ready_made_patch_ids_win(commits, repositories):
-    known = commits.withColumn("patch_id", F.when(F.col("subject") == "Add main", "given"))
+    known = commits.withColumn("patch_id", F.when(F.col("subject") == "Split the parser", "given"))
     rows = build_candidates(repositories, known, [ME]).candidates.collect()
     ids = {row["subject"]: row["patch_id"] for row in rows}
-    assert ids["Add main"] == "given"
-    assert len(ids["Commit 0"]) == 40
+    assert ids["Split the parser"] == "given"
+    assert len(ids["Parse dates with offsets"]) == 40
 
 
 def test_same_commit_in_two_clones(spark, commits, repositories):
@@ -181,6 +230,8 @@ def test_write_build(spark, commits, repositories, tmp_path, partitions):
     assert ids == sorted(ids) and len(ids) == 3
     sound = guards.lineage_integrity(read, spark.read.parquet(paths[1])).first()
     assert tuple(sound) == (3, 3, 0, 0, 0)
+    assert write_build(build, *paths, partitions) == counts  # a second run replaces the first
+    assert readers.read_candidates(spark, paths[0]).count() == 3
     with pytest.raises(ValueError, match="different paths"):
         write_build(build, paths[0], paths[0] + "/")
 
@@ -200,9 +251,23 @@ def test_order_over_files(spark, tmp_path):
     assert max(map(len, ids)) < 2 * min(map(len, ids))
 
 
+def test_size_decides_on_the_files(spark, tmp_path, monkeypatch):
+    from sievecraft.functions.keys import opaque_id
+
+    rows = spark.range(400).select(
+        opaque_id("candidate", F.col("id").cast("string")).alias("id"),
+        *[F.repeat(F.lit("x"), 100).alias(name) for name in CANDIDATES.names[1:]],
+    )
+    monkeypatch.setattr(writers, "FILE_BYTES", 50_000)
+    writers.write_candidates(rows, str(tmp_path / "c"))
+    assert len(list((tmp_path / "c").glob("part-*.parquet"))) == 5
+    with pytest.raises(PySparkException, match="not the form of an id"):
+        writers.write_candidates(rows.withColumn("id", F.expr("uuid()")), str(tmp_path / "d"))
+
+
 def test_null_in_required_column(spark, tmp_path):
     row = spark.createDataFrame(
-        [("i", "g", "s", None, "t", "p")], ", ".join(f"{n} string" for n in CANDIDATES.names)
+        [("candidate_" + "0" * 24, "g", "s", None, "t", "p")], ", ".join(f"{n} string" for n in CANDIDATES.names)
     )
     with pytest.raises(PySparkException, match="diff is null"):
         writers.write_candidates(row, str(tmp_path / "c"))
@@ -273,7 +338,7 @@ def test_scan_counts(spark):
             spark,
             [
                 ("/r/first", ME),
-                ("/r/first", " PERSON@example.com"),
+                ("/r/first", f" {ME.upper()}"),
                 ("/r/Second", ME),
                 ("/r/Second", "  "),
             ],
@@ -295,29 +360,31 @@ def test_ignore_globs(spark):
         _repositories(
             spark,
             [
-                ("/r/included", ["git@github.com:acme/kept.git"], False),
-                ("/r/archive/old", [], True),
-                ("/r/remote", ["git@github.com:Acme/ignored.git"], True),
-                ("/r/archive/both", ["git@github.com:acme/ignored.git"], False),
-                ("/r/no-url", [""], False),
+                ("/r/tools/lint", ["ssh://git@forge.test/Core/lint.git"], False),
+                ("/r/attic/v1", [], True),
+                ("/r/mirror", ["git@forge.test:Vendor/zlib.git"], True),
+                ("/r/attic/mirror", ["git@forge.test:vendor/zlib.git"], False),
+                ("/r/local", [""], False),
+                ("/r/two", ["git@forge.test:core/two.git"], False),
+                ("/r/two", ["git@forge.test:vendor/zlib.git"], False),
             ],
         ),
-        _commits(spark, [(p, ME) for p in ("/r/included", "/r/archive/old", "/r/remote")]),
+        _commits(spark, [(p, ME) for p in ("/r/tools/lint", "/r/attic/v1", "/r/mirror")]),
         ["/r"],
-        ignore_paths=["Archive/*"],
-        ignore_remotes=["github.com/acme/ignored"],
+        ignore_paths=["Attic/*"],
+        ignore_remotes=["forge.test/vendor/*"],
     )
     rows = {row["path"]: row for row in found.repositories.collect()}
     assert {path: row["status"] for path, row in rows.items()} == {
-        "/r/included": "included", "/r/archive/old": "ignored_path", "/r/remote": "ignored_remote",
-        "/r/archive/both": "ignored_path", "/r/no-url": "included",
+        "/r/tools/lint": "included", "/r/attic/v1": "ignored_path", "/r/mirror": "ignored_remote",
+        "/r/attic/mirror": "ignored_path", "/r/local": "included", "/r/two": "ignored_remote",
     }
-    for path in ("/r/archive/old", "/r/remote"):
+    for path in ("/r/attic/v1", "/r/mirror"):
         row = rows[path]
         assert (row["commit_count"], row["author_email_count"], row["shallow"]) == (0, 0, False)
     totals = found.totals.first()
     assert totals["commit_count"] == totals["author_email_count"] == 1
-    assert totals["ignored_repository_count"] == 3
+    assert totals["ignored_repository_count"] == 4
     with pytest.raises(ValueError, match="root"):
         scan_history(found.repositories, _commits(spark, [("a", "b")]), [])
 
@@ -372,6 +439,28 @@ def test_lookup_join_beyond_the_bound(spark, how):
     assert sorted(map(str, salted.collect())) == sorted(map(str, expected.collect()))
 
 
+def test_null_keys_are_spread(spark):
+    """Most rows have no key; they do not meet in one task."""
+    facts = spark.range(8000).select(
+        F.col("id").alias("n"), F.when(F.col("id") % 4 == 0, F.concat(F.lit("k"), F.col("id"))).alias("key")
+    )
+    lookup = spark.range(100).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.lookup_join(facts, lookup, "key", ["n"], "left", small=False, hot_keys=50)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(row["count"] for row in sizes) == 8000
+    assert max(row["count"] for row in sizes) < 2500
+
+
+def test_hot_keys(spark):
+    facts = spark.range(1000).select(F.when(F.col("id") % 2 == 0, "h").when(F.col("id") % 10 != 1, F.col("id").cast("string")).alias("k"))
+    assert joins.hot_keys_of(facts, "k", 20) == ["h"]
+    assert joins.hot_keys_of(facts.limit(0), "k", 20) == []
+
+
 def test_broadcast_bound(spark):
     assert joins.small_row_count(spark.range(10), max_rows=10) == 10
     assert joins.small_row_count(spark.range(11), max_rows=10) is None
@@ -385,13 +474,11 @@ def test_build_beyond_the_broadcast_bound(spark, commits, repositories, monkeypa
     expected = build_candidates(repositories, commits, [ME])
     monkeypatch.setattr(plan, "small_row_count", lambda *_: None)
     build = build_candidates(repositories, commits, allowed)
-    assert build.texts is not None and "diff" not in build.labelled.columns
+    assert "diff" not in build.labelled.columns
     assert build.texts.count() < commits.count()
-    for got, want in (
-        (build.candidates, expected.candidates),
-        (build.provenance, expected.provenance),
-        (build.rejections, expected.rejections),
-    ):
+    for name in ("candidates", "provenance", "rejections", "decided", "accepted", "leaks"):
+        got, want = getattr(build, name), getattr(expected, name)
+        assert got.columns == want.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 

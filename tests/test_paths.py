@@ -10,17 +10,17 @@ from hypothesis import given, settings, strategies as st
 from sievecraft.functions import paths
 
 SLUGS = {
-    "git@github.com:owner/repo.git": "github.com/owner/repo",
-    "git@github.com:owner/repo": "github.com/owner/repo",
-    "git@bitbucket.org:team/project.git": "bitbucket.org/team/project",
-    "https://github.com/owner/repo.git": "github.com/owner/repo",
-    " HTTPS://User:pw@GitHub.com:443/Owner/Repo.git/ ": "github.com/owner/repo",
+    "git@forge.test:maps/tiles.git": "forge.test/maps/tiles",
+    "deploy@forge.test:maps/tiles": "forge.test/maps/tiles",
+    "git@code.lab.test:a/b/c.git": "code.lab.test/a/b/c",
+    "https://forge.test/maps/tiles.git": "forge.test/maps/tiles",
+    " HTTPS://User:pw@Forge.TEST:443/Maps/Tiles.git/ ": "forge.test/maps/tiles",
     "ssh://git@host:22/x.git": "host/x",
     "//Host/a/b": "host/a/b",
     "file:///srv/git/r.git": "file/srv/git/r",
     "/srv/Git/R.git": "/srv/git/r",
-    "github.com:o/r": "github.com/o/r",
-    "https://github.com": "github.com/",
+    "forge.test:o/r": "forge.test/o/r",
+    "https://forge.test": "forge.test/",
     "https://h.com/a?b=1#c": "h.com/a",
     "https://h.com/a.git?x=1": "h.com/a.git",
     "C:\\repo": "c/\\repo",
@@ -72,12 +72,12 @@ def test_path_candidates(apply):
 
 
 GLOBS = [
-    "*", "a?c", "archive/*", "github.com/acme/ignored", "[abc]x", "[!abc]x", "[a-c]", "[]]", "[!]]",
+    "*", "a?c", "attic/*", "forge.test/vendor/zlib", "[abc]x", "[!abc]x", "[a-c]", "[]]", "[!]]",
     "[", "a[", "[]", "[!]", "[a-]", "[-a]", "[z-a]", "[!z-a]", "[a-c-e]", "a*b*c", "**", "a.b",
     "\\d", "x{1}", "(a|b)", "^a$", "[\\]]", "[&&]", "[^a]", "*.git", "",
 ]
 VALUES = [
-    "", "a", "b", "abc", "a/c", "a\nc", "archive/old", "archive/a/b", "Github.com/ACME/ignored",
+    "", "a", "b", "abc", "a/c", "a\nc", "attic/old", "attic/a/b", "Github.com/ACME/ignored",
     "ax", "dx", "]", "[", "-", "a[", "[]", "[!]", "e", "d", "z", "axbyc", "abcabc", "a.b", "axb",
     "\\d", "1", "x{1}", "(a|b)", "^a$", "&", "^", "\\", "\\]", "r.git", "!", "^a",
 ]
@@ -91,9 +91,9 @@ def test_globs_match_like_fnmatch(apply):
 
 
 def test_many_globs_and_none(apply):
-    values = [["x", "Archive/1"], ["x"], []]
+    values = [["x", "Attic/1"], ["x"], []]
     either = apply(
-        lambda c: paths.any_glob_match(c, ["archive/*", "y"]), values, "array<string>"
+        lambda c: paths.any_glob_match(c, ["attic/*", "y"]), values, "array<string>"
     )
     assert either == [True, False, False]
     assert apply(lambda c: paths.any_glob_match(c, []), values, "array<string>") == [False] * 3

@@ -10,7 +10,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sievecraft import DataQualityError, prepare_dataset, prepare_files
+from sievecraft import DataQualityError, prepare_dataset, prepare_files, summarise_splits
 from sievecraft.operators import aggregates, guards, ordering
 from sievecraft.plans import prepare
 from sievecraft.schemas import CANDIDATES
@@ -208,9 +208,15 @@ def test_source_digest(spark, tmp_path):
         ("a.parquet", hashlib.sha256(b"one").hexdigest()),
         ("b.parquet", hashlib.sha256(b"two").hexdigest()),
     }
-    before = readers.source_digest(spark, str(tmp_path / "d"), "*.parquet").first()[0]
-    (tmp_path / "d" / "a.parquet").write_bytes(b"One")
-    assert readers.source_digest(spark, str(tmp_path / "d"), "*.parquet").first()[0] != before
+
+
+def test_rows_digest(spark, tmp_path):
+    """Depends on the rows and not on their files or order."""
+    rows = frame(spark, make_rows(40))
+    before = readers.rows_digest(rows).first()[0]
+    assert readers.rows_digest(rows.orderBy("patch_id").repartition(5)).first()[0] == before
+    assert readers.rows_digest(rows.limit(39)).first()[0] != before
+    assert readers.rows_digest(rows.withColumn("subject", F.lit(None).cast("string"))).first()[0] != before
 
 
 @pytest.mark.parametrize("copies", [0, 80])
@@ -220,6 +226,7 @@ def test_prepare_files(spark, tmp_path, copies):
     frame(spark, rows).write.parquet(source)
     until = dt.datetime(2030, 1, 1, tzinfo=dt.UTC)
     manifest = prepare_files(spark, source, str(out), None, until)
+    assert prepare_files(spark, source, str(out), None, until) == manifest  # a second run replaces the first
     text = (out / "manifest.json").read_text()
     assert json.loads(text) == manifest and text.endswith("}\n")
     assert list(json.loads(text)) == sorted(manifest)
@@ -234,11 +241,40 @@ def test_prepare_files(spark, tmp_path, copies):
         assert order == sorted(order)
 
 
-def test_read_splits_needs_all(spark, tmp_path):
+def test_read_splits_without_rows(spark, tmp_path):
+    """A split without rows has no directory; a missing table is an error."""
     rows = frame(spark, make_rows(5)).withColumn("split", F.lit("validation"))
     writers.write_splits(rows, str(tmp_path / "s"))
+    read = readers.read_splits(spark, str(tmp_path / "s"))
+    assert {row["split"]: row["count"] for row in read.groupBy("split").count().collect()} == {"validation": 5}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        readers.read_splits(spark, str(tmp_path / "s"))
+        readers.read_splits(spark, str(tmp_path / "none"))
+
+
+def test_summary_sorts_nothing(spark, tmp_path):
+    path = str(tmp_path / "splits")
+    frame(spark, make_rows(20)).withColumn("split", F.lit("train")).write.parquet(path)
+    splits = spark.read.parquet(path)
+    for df in (aggregates.split_summary(splits), summarise_splits(splits)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan.split("FileScan")[0].split("ObjectHashAggregate")[-1]
+        assert "Sort [" not in plan and plan.count("FileScan") == 1
+
+
+def test_many_copies_are_joined_by_id(spark, tmp_path, monkeypatch):
+    """Beyond the bound for a broadcast: one shuffle of the texts, and no sort of them."""
+    path = str(tmp_path / "candidates")
+    rows = make_rows(300, copies=80)
+    frame(spark, rows).write.parquet(path)
+    monkeypatch.setattr(prepare, "BROADCAST_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        splits = prepare.prepare_dataset(spark.read.parquet(path), minimum_rows=1, minimum_evaluation_rows=1).splits
+        plan = splits._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {row["id"]: row["split"] for row in splits.collect()} == expected_splits(rows)
 
 
 def test_enforce_schema(spark):

@@ -127,3 +127,43 @@ def test_held_out_partitions_only(spark, splits, tmp_path):
     queue = review.audit_queue(spark.read.parquet(str(tmp_path / "s")))
     plan = queue._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [split" in plan and "patch_id" not in plan
+
+
+def test_large_batches_are_cut_by_counting(spark, monkeypatch):
+    """More rows than each task would keep: only what comes before the cut is ranked."""
+    from sievecraft.plans import review as plan
+
+    rows = [("validation" if k % 3 else "test", f"{k:05d}", "s", "d", f"2020-01-01T00:{k % 50:02d}:00Z") for k in range(900)]
+    queue = spark.createDataFrame(rows, "split string, id string, subject string, diff string, committed_at_utc string")
+    none = spark.createDataFrame([], "id string, approved boolean")
+    expected = {(r["split"], r["id"], r["position"]) for r in plan.next_undecided(queue, none, 120).collect()}
+    monkeypatch.setattr(plan, "KEPT_PER_TASK", 50)
+    found = plan.next_undecided(queue, none, 120)
+    assert {(r["split"], r["id"], r["position"]) for r in found.collect()} == expected
+    assert len(expected) == 240
+    assert plan.next_undecided(queue, none, 700).count() == 900
+
+
+def test_ties_in_the_log(spark):
+    from sievecraft.sources import readers
+
+    rows = [("a", "test", True, 5), ("a", "test", False, 5), ("a", "validation", True, 4), ("b", "test", True, 1), ("b", "validation", True, 1)]
+    log = spark.createDataFrame(rows, "id string, split string, approved boolean, seq long")
+    found = {r["id"]: (r["split"], r["approved"]) for r in readers.latest_decisions(log).collect()}
+    assert found == {"a": ("test", False), "b": ("test", True)}
+
+
+def test_life_of_the_log(spark, tmp_path):
+    from sievecraft.plans import review as plan
+    from sievecraft.sources import readers, writers
+
+    log, compact = str(tmp_path / "log"), str(tmp_path / "compact")
+    queue = spark.createDataFrame([("a", "test"), ("b", "validation")], "id string, split string")
+    for seq, (row_id, approved) in enumerate([("a", True), ("a", False), ("b", True), ("gone", True)]):
+        row = spark.createDataFrame([(row_id, "test", approved, seq)], "id string, split string, approved boolean, seq long")
+        writers.append_decisions(row, log)
+    assert plan.compact_decisions(spark, log, compact, queue) == 2
+    found = {r["id"]: (r["split"], r["approved"]) for r in readers.read_decisions(spark, compact).collect()}
+    assert found == {"a": ("test", False), "b": ("validation", True)}
+    assert plan.retire_decisions(spark, log) and not plan.retire_decisions(spark, log)
+    assert readers.read_decisions(spark, log).count() == 0

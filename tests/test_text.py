@@ -201,3 +201,9 @@ def test_date_window(spark):
     assert days(None, until) == [1, 2, 3]
     assert days(None, until + dt.timedelta(microseconds=1)) == [1, 2, 3, 4]
     assert days() == [1, 2, 3, 4, 5]
+
+
+def test_language_of_a_name_with_blanks(apply):
+    names = ["docs/my file.py\t", "my notes.md\t", "a.py\t\t", "x.py"]
+    got = apply(text.guess_language, names)
+    assert got[0] == got[3] != "unknown" and got[1] != "unknown" and got[2] == "unknown"

@@ -23,6 +23,7 @@ SINCE = dt.datetime(2020, 1, 1, 12, tzinfo=dt.UTC)
 UNTIL = dt.datetime(2020, 3, 1, 0, 0, 0, 500_000, tzinfo=dt.UTC)
 UNTIL_SQL = "2020-03-01T00:00:01Z"
 QUEUE_ROWS = 20
+QUOTA = 10_000_000
 CONTRACT_FORMS = ("%s", "# %s", '"%s"', "Sure: %s", "Fix `%s`", "**%s**", "%s\n")
 
 # Fixed values, as DuckDB's regex syntax writes them: white space and line breaks.
@@ -42,6 +43,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_SHOWN_SQL = """shown AS (
+           SELECT * REPLACE ('+++ b/src/' || id || '.py' || chr(10) || '+' || split_part(diff, chr(10), 1)
+             || chr(10) || '+++ b/my notes.md' || chr(9) || chr(10) AS diff) FROM splits)"""
+
+
 # --- scalar functions -------------------------------------------------------------------------
 
 
@@ -410,12 +416,6 @@ def patch_text(spark, sf_dir):
     )
 
 
-@query("source_digest")
-def source_digest(spark, sf_dir):
-    """No SQL: the result depends on the bytes of the files."""
-    return readers.source_digest(spark, sf_dir, "*.parquet")
-
-
 # --- filters and cascades ---------------------------------------------------------------------
 
 
@@ -469,14 +469,16 @@ def output_contract(spark, sf_dir):
 @query(
     "repository_status",
     rf"""WITH {views.PAGE_REPOSITORIES}, slugs AS (
-           SELECT *, lower(rtrim(regexp_extract(rtrim(url, '/'), '^[a-z]+://([^?#]*)', 1), '/'))
-             AS slug FROM page_repositories
+           SELECT *, list_transform(urls, lambda url:
+               lower(rtrim(regexp_extract(rtrim(url, '/'), '^[a-z]+://([^?#]*)', 1), '/')))
+             AS slugs FROM page_repositories
          ), marked AS (
            SELECT path, shallow,
              CASE WHEN regexp_matches(lower(path), '^/srv/blog\..*/en/.*$')
                     OR regexp_matches(lower(split_part(path, '/', -1)), '^[89]..$')
                   THEN 'ignored_path'
-                  WHEN regexp_matches(slug, '^.*\.example\.net/.*$') THEN 'ignored_remote'
+                  WHEN len(list_filter(slugs, lambda slug:
+                         regexp_matches(slug, '^.*\.example\.net/.*$'))) > 0 THEN 'ignored_remote'
                   ELSE 'included' END AS status FROM slugs)
          SELECT path, status, shallow AND status = 'included' AS shallow
          FROM marked""",
@@ -620,32 +622,34 @@ def lineage_integrity(spark, sf_dir):
 @query(
     "identity_leaks",
     f"""WITH {views.DECIDED}
-        SELECT count(*) FILTER (contains(subject || diff, author_email)) AS author_email_count,
+        SELECT count(*) FILTER (contains(lower(subject || diff), author)) AS author_email_count,
                count(*) FILTER (contains(subject || diff, repository_path))
                  AS repository_path_count,
-               count(*) FILTER (contains(subject || diff, commit_sha)) AS commit_sha_count
+               count(*) FILTER (contains(subject || diff, commit_sha)) AS commit_sha_count,
+               count(*) FILTER (contains(subject || diff, 'git@Git.Example.com:Org/'
+                 || split_part(repository_path, '/', -1) || '.git')) AS remote_url_count
         FROM decided WHERE reason IS NULL""",
 )
 def identity_leaks(spark, sf_dir):
-    built = _build(spark, sf_dir)
-    return guards.identity_leaks(built.candidates, built.provenance)
+    return _build(spark, sf_dir).leaks
 
 
 # --- scan -------------------------------------------------------------------------------------
 
 _SCANNED = f"""{views.COMMITS}, marked AS (
-  SELECT DISTINCT '/srv/repos/' || n_name AS path,
+  SELECT DISTINCT '/srv/repos/' || n_name AS path, n_nationkey % 4 = 0 AS at_depth,
          CASE WHEN regexp_matches(lower(n_name), '^nation_(1.|2)$') THEN 'ignored_path'
               WHEN regexp_matches(lower(n_name), '^nation_2[0-2]$') THEN 'ignored_remote'
               ELSE 'included' END AS status FROM nation
 ), counted AS (
-  SELECT path, status, count(author) AS commits, count(DISTINCT author) AS authors
+  SELECT path, status, at_depth AND status = 'included' AS shallow, count(author) AS commits,
+         count(DISTINCT author) AS authors
   FROM marked LEFT JOIN commits ON path = repository_path AND status = 'included' GROUP BY ALL)"""
 
 
 def _scan(spark, sf_dir) -> scan.Scan:
     return scan.scan_history(
-        views.repositories(spark, sf_dir),
+        views.repositories(spark, sf_dir, shallow=True),
         views.commits(spark, sf_dir),
         views.ROOTS,
         views.IGNORE_PATHS,
@@ -657,7 +661,7 @@ def _scan(spark, sf_dir) -> scan.Scan:
     "scan_repositories",
     f"""WITH {_SCANNED}
         SELECT path, status, commits AS commit_count, authors AS author_email_count,
-               false AS shallow FROM counted""",
+               shallow FROM counted""",
 )
 def scan_repositories(spark, sf_dir):
     return _scan(spark, sf_dir).repositories.drop("remotes")
@@ -669,7 +673,7 @@ def scan_repositories(spark, sf_dir):
         SELECT count(*) AS discovered_repository_count,
                count(*) FILTER (status = 'included') AS included_repository_count,
                count(*) FILTER (status <> 'included') AS ignored_repository_count,
-               CAST(0 AS BIGINT) AS shallow_repository_count,
+               count(*) FILTER (shallow) AS shallow_repository_count,
                CAST(sum(commits) AS BIGINT) AS commit_count,
                (SELECT count(DISTINCT author) FROM marked JOIN commits ON path = repository_path
                 WHERE status = 'included') AS author_email_count FROM counted""",
@@ -775,6 +779,15 @@ def dataset_fingerprint(spark, sf_dir):
     )
 
 
+@query(
+    "source_digest",
+    f"""WITH {views.CANDIDATES}, {_FINGERPRINT.replace("FROM kept", "FROM candidates") % ""}
+        SELECT fingerprint AS digest FROM fingerprints""",
+)
+def source_digest(spark, sf_dir):
+    return readers.rows_digest(views.candidates(spark, sf_dir))
+
+
 _BOUNDS = f'{{"since":"{SINCE.isoformat()}","until":"{UNTIL.isoformat()}"}}'
 
 
@@ -829,6 +842,43 @@ def split_summary(spark, sf_dir):
     )
 
 
+@query(
+    "summarise_splits",
+    rf"""WITH {views.SPLITS}, languages(ending, language) AS (VALUES {_LANGUAGE_ROWS}),
+         {_SHOWN_SQL}, files AS (
+           SELECT split, unnest(
+             regexp_extract_all(diff, '(?:^|[{_LB}])\+\+\+ b/([^{_LB}]*)', 1)) AS file FROM shown
+         ), counted AS (
+           SELECT split, coalesce(language, 'unknown') AS language, count(*) AS n
+           FROM files LEFT JOIN languages ON lower(regexp_extract(file, '([^./]*?)\t?$', 1)) = ending
+           GROUP BY ALL)
+         SELECT split, count(*) AS rows, min(length(subject)) AS min_subject,
+                max(length(diff)) AS max_diff, min(committed_at_utc) AS first_date,
+                max(committed_at_utc) AS last_date,
+                count(DISTINCT repository_group_id) AS repository_groups,
+                any_value((SELECT string_agg(language || ':' || n, ' ' ORDER BY language)
+                           FROM counted c WHERE c.split = shown.split)) AS languages
+         FROM shown GROUP BY split""",
+)
+def summarise_splits(spark, sf_dir):
+    """The splits with diffs of two files each, one name with a blank and hence a tab."""
+    head = F.split_part("diff", F.lit("\n"), F.lit(1))
+    diff = F.concat(F.lit("+++ b/src/"), F.col("id"), F.lit(".py\n+"), head, F.lit("\n+++ b/my notes.md\t\n"))
+    found = review.summarise_splits(_splits(spark, sf_dir).withColumn("diff", diff))
+    pairs = F.transform(
+        F.array_sort(F.map_entries("languages")),
+        lambda x: F.concat(x["key"], F.lit(":"), x["value"].cast("string")),
+    )
+    return found.select(
+        "split", "rows", "repository_groups",
+        F.col("subject_length.min").alias("min_subject"),
+        F.col("diff_length.max").alias("max_diff"),
+        F.col("date_range.first").alias("first_date"),
+        F.col("date_range.last").alias("last_date"),
+        F.array_join(pairs, " ").alias("languages"),
+    )
+
+
 @query(
     "audit_queue",
     f"""WITH {views.SPLITS}
@@ -871,6 +921,26 @@ def review_queue(spark, sf_dir):
     return review.next_undecided(*_queue_and_decisions(spark, sf_dir), QUEUE_ROWS)
 
 
+@query(
+    "review_batch",
+    f"""WITH {views.SPLITS}, {views.DECISIONS}, approvals AS (
+          SELECT s.split, count(*) FILTER (approved) AS n
+          FROM splits s LEFT JOIN decisions d ON s.id = d.id WHERE s.split <> 'train' GROUP BY s.split
+        ), active AS (
+          SELECT split FROM approvals WHERE n < {QUOTA} ORDER BY split = 'test' LIMIT 1
+        ), ranked AS (
+          SELECT split, id, subject, diff, CAST(row_number() OVER (
+                   ORDER BY committed_at_utc, id) AS INTEGER) AS position
+          FROM splits SEMI JOIN active USING (split) WHERE id NOT IN (SELECT id FROM decisions))
+        SELECT * FROM ranked WHERE position <= {QUEUE_ROWS}""",
+)
+def review_batch(spark, sf_dir):
+    """Validation first, and test once validation has its approvals."""
+    splits = _splits(spark, sf_dir)
+    log = views.decisions(spark, sf_dir)
+    return review.review_batch(review.audit_queue(splits), log, required=QUOTA, k=QUEUE_ROWS)
+
+
 @query(
     "approval_counts",
     f"""WITH {views.SPLITS}, {views.DECISIONS}

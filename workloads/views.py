@@ -143,15 +143,15 @@ PATCHES = f"""patches AS (
   FROM documents)"""
 
 
-def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as repositories, each reached twice."""
+def repositories(spark: SparkSession, sf_dir: str, shallow: bool = False) -> DataFrame:
+    """Nations as repositories, each reached twice; every fourth is shallow if asked for."""
     name = F.col("n_name")
     once = table(spark, sf_dir, "nation").select(
         _line("/srv/repos/", name).alias("path"),
         F.array(_line("git@Git.Example.com:Org/", name, ".git"), F.lit("")).alias("remotes"),
-        F.lit(False).alias("shallow"),
+        (F.lit(shallow) & (F.col("n_nationkey") % 4 == 0)).alias("shallow"),
     )
-    return once.unionByName(once)
+    return once.unionByName(once.withColumn("shallow", F.lit(False)))
 
 
 def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,6 +166,14 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     committed = F.timestamp_add("SECOND", key % 86400, F.col("o_orderdate"))
     cents = F.round(F.col("o_totalprice") * 100).cast("long").cast("string")
+    # Some diffs show private data.
+    private = (
+        F.when(key % 11 == 0, _line("\nby ", F.upper("c_mktsegment"), "@EXAMPLE.com"))
+        .when(key % 13 == 0, _line("\nin /srv/repos/", F.col("n_name")))
+        .when(key % 17 == 0, _line("\nof ", F.sha1(key.cast("string"))))
+        .when(key % 19 == 0, _line("\nat git@Git.Example.com:Org/", F.col("n_name"), ".git"))
+        .otherwise("")
+    )
     return placed.select(
         _line("/srv/repos/", F.col("n_name")).alias("repository_path"),
         F.sha1(key.cast("string")).alias("commit_sha"),
@@ -186,7 +194,7 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
             _file_section(
                 _line("customers/", F.col("c_mktsegment"), ".md"),
                 "-7 +7",
-                _line(F.col("o_orderpriority"), "  \r\ncafe\u0301"),
+                _line(F.col("o_orderpriority"), "  \r\ncafe\u0301", private),
             ),
         ).alias("diff"),
     )
@@ -208,9 +216,14 @@ COMMITS = f"""commits AS (
          {_file_section_sql("('orders/' || o_orderstatus || '.csv')", "-1 +1",
                             "CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR)")} ||
          {_file_section_sql("('customers/' || c_mktsegment || '.md')", "-7 +7",
-                            "(o_orderpriority || '  ' || chr(13) || chr(10) || 'cafe' || chr(769))")}
+                            "(o_orderpriority || '  ' || chr(13) || chr(10) || 'cafe' || chr(769) || private)")}
            AS diff
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+  FROM (SELECT *, CASE WHEN o_orderkey % 11 = 0 THEN chr(10) || 'by ' || upper(c_mktsegment) || '@EXAMPLE.com'
+                       WHEN o_orderkey % 13 = 0 THEN chr(10) || 'in /srv/repos/' || n_name
+                       WHEN o_orderkey % 17 = 0 THEN chr(10) || 'of ' || sha1(CAST(o_orderkey AS VARCHAR))
+                       WHEN o_orderkey % 19 = 0 THEN chr(10) || 'at git@Git.Example.com:Org/' || n_name || '.git'
+                       ELSE '' END AS private
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey))"""
 
 
 def _item_path() -> Column:
@@ -292,7 +305,5 @@ def page_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAGE_REPOSITORIES = """page_repositories AS (
-  SELECT path, url, shallow FROM (
-    SELECT *, row_number() OVER (PARTITION BY path ORDER BY shallow DESC, url) AS place FROM (
-      SELECT '/srv/' || regexp_extract(url, '^[a-z]+://([^?#]*)', 1) AS path, url,
-             page_id % 10 = 0 AS shallow FROM pages)) WHERE place = 1)"""
+  SELECT '/srv/' || regexp_extract(url, '^[a-z]+://([^?#]*)', 1) AS path, list(DISTINCT url) AS urls,
+         bool_or(page_id % 10 = 0) AS shallow FROM pages GROUP BY path)"""

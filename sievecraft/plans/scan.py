@@ -58,7 +58,10 @@ def scan_history(
     if not roots:
         raise ValueError("at least one root is needed")
     ranked = with_status(repositories, roots, ignore_paths, ignore_remotes)
-    pairs = author_pairs(commits)
+    names = only_included(ranked).select(F.col("path").alias("repository_path"))
+    pairs = lookup_join(
+        author_pairs(commits), names, "repository_path", ["author"], "inner"
+    )
     included = F.col("status") == "included"
 
     def counted(name: str):
@@ -70,8 +73,7 @@ def scan_history(
         counted("commit_count"), counted("author_email_count"),
     )
 
-    names = only_included(ranked).select(F.col("path").alias("repository_path"))
-    authors = distinct_authors(lookup_join(pairs, names, "repository_path", ["author"], "inner"))
+    authors = distinct_authors(pairs)
     totals = scans.agg(
         F.coalesce(F.sum("commit_count"), F.lit(0)).alias("commit_count"),
         F.count("*").alias("discovered_repository_count"),

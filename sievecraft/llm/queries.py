@@ -111,7 +111,25 @@ def op7_exact_top_k(spark, sf_dir):
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-@query("op1_suffix_dedup")
+@query(
+    "op1_suffix_dedup",
+    """WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+         win AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 400)) AS k
+                 FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS p FROM doc WHERE len(h) >= 400)),
+         again AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+         hit AS (SELECT doc_id, p, p - lag(p, 1, p - 201) OVER (PARTITION BY doc_id ORDER BY p) > 200 AS first
+                 FROM win SEMI JOIN again USING (k)),
+         run AS (SELECT doc_id, min(p) AS s, max(p) + 200 AS e FROM (
+                   SELECT doc_id, p, sum(first::INTEGER) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM hit) GROUP BY doc_id, g),
+         gap AS (SELECT doc_id, s, e, lead(s) OVER (PARTITION BY doc_id ORDER BY s) AS next FROM run),
+         kept AS (SELECT doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans,
+                         substr(any_value(h), 1, 2 * min(s)) ||
+                         string_agg(substr(h, 2 * e + 1, 2 * (coalesce(next, len(h) // 2) - e)), '' ORDER BY s) AS left_
+                  FROM gap JOIN doc USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+           coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(left_, h))) AS kept_sha256
+    FROM doc LEFT JOIN kept USING (doc_id)""",
+)
 def op1_suffix_dedup(spark, sf_dir):
     found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), digest=True)
     return found.select(
@@ -178,9 +196,43 @@ def op6_suffix_tree(spark, sf_dir):
 
 
 WEIGHTS = {f"src{k}": 8 if k == 0 else 3 for k in range(20)}
+_WEIGHT_ROWS = ", ".join(f"({k + 1}, '{name}', {w})" for k, (name, w) in enumerate([*WEIGHTS.items(), ("", 1)]))
 
 
-@query("op5_mixing")
+@query(
+    "op5_mixing",
+    f"""WITH RECURSIVE weight(i, name, w) AS (VALUES {_WEIGHT_ROWS}),
+         doc AS (SELECT doc_id, source, coalesce(i, {len(WEIGHTS) + 1}) AS i, row_number() OVER (
+                   PARTITION BY coalesce(i, {len(WEIGHTS) + 1})
+                   ORDER BY md5('0|' || doc_id || '|' || coalesce(text, ''))) - 1 AS place
+                 FROM documents LEFT JOIN weight ON source = name),
+         last AS (SELECT i, w, ceil(ceil(count(doc_id) / {mixing.BLOCK}) / w)::BIGINT AS periods
+                  FROM weight LEFT JOIN doc USING (i) GROUP BY i, w),
+         start AS (SELECT DISTINCT s FROM (SELECT 0 AS s UNION ALL SELECT periods FROM last)
+                   WHERE s < (SELECT max(periods) FROM last)),
+         phase AS (SELECT s, lead(s, 1, (SELECT max(periods) FROM last)) OVER (ORDER BY s) AS upto,
+                          list(CASE WHEN periods > s THEN w ELSE 0 END ORDER BY i) AS w,
+                          sum(CASE WHEN periods > s THEN w ELSE 0 END)::BIGINT AS total
+                   FROM start, last GROUP BY s),
+         based AS (SELECT *, coalesce(sum((upto - s) * total * {mixing.BLOCK}) OVER (
+                     ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM phase),
+         step(s, slot, w, total, done, pick) AS (
+           SELECT s, -1::BIGINT, w, total, list_transform(w, lambda x: 0::BIGINT), NULL::BIGINT FROM phase
+           UNION ALL
+           SELECT s, slot + 1, w, total,
+                  list_transform(done, lambda d, k: CASE WHEN k = best.i THEN d + 1 ELSE d END), best.i
+           FROM (SELECT *, list_min(list_filter(list_transform(range(1, len(w) + 1), lambda k:
+                     CASE WHEN done[k] < w[k] AND done[k] * total // w[k] <= slot + 1
+                          THEN {{'due': ((done[k] + 1) * total + w[k] - 1) // w[k], 'i': k}} END),
+                   lambda x: x IS NOT NULL)) AS best FROM step WHERE slot + 1 < total)),
+         schedule AS (SELECT s, slot, pick AS i, done[pick] - 1 AS turn FROM step WHERE slot >= 0),
+         placed AS (SELECT doc.*, w, place // {mixing.BLOCK} AS block FROM doc JOIN weight USING (i)),
+         timed AS (SELECT doc_id, source, i, place, block // w AS period, block % w AS turn FROM placed)
+    SELECT doc_id, source, period::BIGINT AS mix_period, slot::INTEGER AS mix_slot,
+           (place % {mixing.BLOCK})::INTEGER AS mix_row,
+           (base + ((period - s) * total + slot) * {mixing.BLOCK} + place % {mixing.BLOCK})::BIGINT AS mix_position
+    FROM timed JOIN based ON period >= s AND period < upto JOIN schedule USING (s, i, turn)""",
+)
 def op5_mixing(spark, sf_dir):
     return mixing.mixed(table(spark, sf_dir, "documents"), WEIGHTS).select(
         "doc_id", "source", "mix_period", "mix_slot", "mix_row", "mix_position"

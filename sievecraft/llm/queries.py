@@ -114,8 +114,10 @@ def op7_exact_top_k(spark, sf_dir):
 @query(
     "op1_suffix_dedup",
     """WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-         win AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 400)) AS k
-                 FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS p FROM doc WHERE len(h) >= 400)),
+         part AS (SELECT doc_id, len(h) // 2 - 199 AS n, c, substr(h, 2 * c + 1, 1000) AS piece
+                  FROM (SELECT *, unnest(range(0, len(h) // 2 - 199, 300)) AS c FROM doc WHERE len(h) >= 400)),
+         win AS (SELECT doc_id, c + q AS p, md5(substr(piece, 2 * q + 1, 400)) AS k
+                 FROM (SELECT *, unnest(range(0, least(300, n - c))) AS q FROM part)),
          again AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
          hit AS (SELECT doc_id, p, p - lag(p, 1, p - 201) OVER (PARTITION BY doc_id ORDER BY p) > 200 AS first
                  FROM win SEMI JOIN again USING (k)),

@@ -209,10 +209,15 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
         F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")
     ).filter((F.col("low") < F.col("high")) & (F.col("size") <= SMALL))
     placed = saved(placed.join(saved(mixed.select("key")), "key", "left_semi"))
-    other = placed.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("c").alias("e"))
+    own = placed.groupBy("rep").agg(F.collect_set("key").alias("keys"))
+    placed = placed.join(own, "rep")
+    other = placed.select(
+        "key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("c").alias("e"), F.col("keys").alias("others")
+    )
+    once = F.col("key") == F.array_min(F.array_intersect("keys", "others"))  # of all buckets that a pair shares, one
     across = (
         placed.join(other, "key")
-        .filter((F.col("c") < F.col("e")) & _similar_size(percent))
+        .filter((F.col("c") < F.col("e")) & _similar_size(percent) & once)
         .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b"))
         .distinct()
     )

@@ -84,25 +84,30 @@ def _ids(column: pa.Array, content: bytes) -> list[np.ndarray]:
     return [np.array([*encode(x), END], np.uint16) if x else np.zeros(0, np.uint16) for x in column.to_pylist()]
 
 
-def with_positions(docs: DataFrame) -> DataFrame:
-    """Columns position (0, 1, ... in the order of files and of rows in them) and text. Other than file tables are saved first."""
-    names = ["_metadata.file_name", "_metadata.row_index"]
+_AT = ["file_name", "row_index"]
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """Texts with their file and place in it. Other than file tables are saved first."""
+    names = [F.col(f"_metadata.{name}") for name in _AT]
     try:
-        rows = docs.select(*names, F.col("text").cast("string").alias("text"))
+        return docs.select(*names, F.col("text").cast("string").alias("text"))
     except AnalysisException:
-        rows = saved(docs.select("text")).select(*names, F.col("text").cast("string").alias("text"))
-    before = F.sum("n").over(Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
-    files = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).select("file_name", F.coalesce(before, F.lit(0)).alias("first"))
-    return rows.join(files, "file_name").select((F.col("first") + F.col("row_index")).alias("position"), "text")
+        return saved(docs.select("text")).select(*names, F.col("text").cast("string").alias("text"))
+
+
+def _running(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Columns key and `first`: the sum of the values before it. For tables of one row a file or span."""
+    before = F.sum(value).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
+    return rows.select(key, F.coalesce(before, F.lit(0)).alias("first"))
 
 
 def _lengths(content):
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.slices(batches):
             sizes = [len(x) for x in _ids(batch.column("text"), content.value)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("position"), pa.array(sizes, pa.int64())], names=["position", "size"]
-            )
+            columns = [*(batch.column(x) for x in _AT), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*_AT, "size"])
 
     return lengths
 
@@ -188,23 +193,22 @@ def token_shards(
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary() if content is None else content)
-    rows = with_positions(docs)
-    sizes = saved(rows.mapInArrow(_lengths(shared), "position long, size long"))
-    span = F.floor(F.col("position") / SPAN)
-    spans = sizes.groupBy(span.alias("span")).agg(F.sum("size").alias("n"))
-    tokens = spans.agg(F.sum("n")).first()[0] or 0
+    rows = _rows(docs)
+    sizes = saved(rows.mapInArrow(_lengths(shared), "file_name string, row_index long, size long"))
+    files = _running(sizes.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")), "file_name", "n")
+    placed = sizes.join(files, "file_name").select(*_AT, "size", (F.col("first") + F.col("row_index")).alias("position"))
+    placed = placed.withColumn("span", F.floor(F.col("position") / SPAN))
+    sums = placed.groupBy("span").agg(F.sum("size").alias("n"))
+    tokens = sizes.agg(F.sum("size")).first()[0] or 0
     sequences = -(-tokens // length)
-    before = F.sum("n").over(Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1))  # one row a span
-    spans = spans.select("span", F.coalesce(before, F.lit(0)).alias("first"))
     inside = F.sum("size").over(Window.partitionBy("span").orderBy("position").rowsBetween(Window.unboundedPreceding, -1))
     starts = (
-        sizes.filter("size > 0")
-        .withColumn("span", span)
-        .withColumn("inside", F.coalesce(inside, F.lit(0)))
-        .join(spans, "span")
-        .select("position", (F.col("first") + F.col("inside")).alias("at"))
+        placed.withColumn("inside", F.coalesce(inside, F.lit(0)))
+        .filter("size > 0")
+        .join(_running(sums, "span", "n"), "span")
+        .select(*_AT, (F.col("first") + F.col("inside")).alias("at"))
     )
-    parts = rows.join(starts.hint("shuffle_hash"), "position").select("at", "text")
+    parts = rows.join(starts.hint("shuffle_hash"), _AT).select("at", "text")
     cut = parts.mapInArrow(_cut(shared, length, max(sequences, 1), key), _PARTS)
     shards = max(-(-sequences // per_shard), 1)
     ranges = cut.repartitionById(int(shards), F.floor(F.col("slot") / per_shard).cast("int"))

@@ -9,6 +9,7 @@ of fixed-stride records in slot order, so a reader can go through them in sequen
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,10 +79,13 @@ def encoder(content: bytes):
     return known
 
 
+_NONE = np.zeros(0, np.uint16)
+
+
 def _ids(column: pa.Array, content: bytes) -> list[np.ndarray]:
     """Tokens of each text and an end; nothing for a null or empty text."""
     encode = encoder(content).encode_ordinary
-    return [np.array([*encode(x), END], np.uint16) if x else np.zeros(0, np.uint16) for x in column.to_pylist()]
+    return [np.frombuffer(array("H", [*encode(x), END]), np.uint16) if x else _NONE for x in column.to_pylist()]
 
 
 _AT = ["file_name", "row_index"]
@@ -105,7 +109,8 @@ def _running(rows: DataFrame, key: str, value: str) -> DataFrame:
 def _lengths(content):
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.slices(batches):
-            sizes = [len(x) for x in _ids(batch.column("text"), content.value)]
+            encode = encoder(content.value).encode_ordinary
+            sizes = [len(encode(x)) + 1 if x else 0 for x in batch.column("text").to_pylist()]
             columns = [*(batch.column(x) for x in _AT), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*_AT, "size"])
 

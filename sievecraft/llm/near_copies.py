@@ -7,7 +7,8 @@
    only (a star), and the pairs are confirmed on the full sets. The centre is the member that meets most others over all
    its buckets: of copies that differ more from each other than from their original, the original.
 4. Buckets whose members are then still in different components get the pairs between those components, so no link is
-   lost because it does not touch the star's centre.
+   lost because it does not touch the star's centre. In buckets of more than SMALL members these are not made one by
+   one: members are dealt into blocks, and a task counts what the sets of two blocks share by products of matrices.
 
 A pair with similarity s shares a bucket with probability 1 - (1 - s^ROWS)^BANDS; at 0.8 it misses all with 5e-6.
 """
@@ -25,7 +26,9 @@ from sievecraft.llm.common import NO_ID, saved
 
 ROWS, BANDS = 6, 40
 BINS = ROWS * BANDS
-SMALL = 128  # members of a bucket up to which all of them are compared where stars leave them apart
+SMALL = 128  # members of a bucket up to which pairs that stars leave apart are joined; more are compared by blocks
+BLOCK, HEAVY = 1024, 2 << 20  # members of a block and shingles of all of them, about
+WIDE = 4096  # shingles compared at a time
 
 _ORDER = np.argsort(
     texts.mix(np.arange(BINS * BINS, dtype=np.uint64)).reshape(BINS, BINS), axis=1
@@ -145,6 +148,104 @@ def _confirm(percent: int):
     return confirm
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each set on the left has in common with each on the right."""
+    values = [np.concatenate(side) for side in (left, right)]
+    both = np.intersect1d(*values)
+    out = np.zeros((len(left), len(right)), np.int64)
+    if not len(both):
+        return out
+    places = []
+    for side, flat in zip((left, right), values):
+        own = np.repeat(np.arange(len(side)), [len(x) for x in side])
+        at = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        held = both[at] == flat
+        own, at = own[held], at[held]
+        order = np.argsort(at, kind="stable")
+        places.append((own[order], at[order]))
+    for low in range(0, len(both), WIDE):
+        cells = []
+        for side, (own, at) in zip((left, right), places):
+            part = slice(*np.searchsorted(at, (low, low + WIDE)))
+            cells.append(np.zeros((len(side), min(WIDE, len(both) - low)), np.float32))
+            cells[-1][own[part], at[part] - low] = 1
+        out += (cells[0] @ cells[1].T).astype(np.int64)
+    return out
+
+
+def _forest(hit: np.ndarray) -> list[tuple[int, int]]:
+    """Row and column of cells that hold the same rows and columns together as all true cells do."""
+    new = [np.ones(n, bool) for n in hit.shape]
+    out = []
+    for start in np.flatnonzero(hit.any(axis=1)).tolist():
+        todo = [(0, start)] if new[0][start] else []
+        new[0][start] = False
+        while todo:
+            side, k = todo.pop()
+            found = np.flatnonzero((hit[:, k] if side else hit[k]) & new[1 - side]).tolist()
+            new[1 - side][found] = False
+            out += [(x, k) if side else (k, x) for x in found]
+            todo += [(1 - side, x) for x in found]
+    return out
+
+
+def _between(percent: int):
+    """Links between two blocks, or within one: as many as hold together what all of them do."""
+
+    def between(group: pa.Table) -> pa.Table:
+        rep, component, block, i, j = (group.column(x).to_numpy() for x in ("rep", "c", "block", "i", "j"))
+        sets = [np.frombuffer(v.as_py(), np.uint64) for v in group.column("members")]
+        count = np.array([len(x) for x in sets])
+        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        links = []
+        if len(x) and len(y):
+            both = _shared([sets[k] for k in x], [sets[k] for k in y])
+            hit = 100 * both >= percent * (count[x][:, None] + count[y][None] - both)
+            hit &= component[x][:, None] != component[y][None]
+            links = [sorted((int(rep[x[a]]), int(rep[y[b]]))) for a, b in _forest(hit)]
+        return pa.table({name: pa.array([link[k] for link in links], pa.int64()) for k, name in enumerate("ab")})
+
+    return between
+
+
+def _linked_blocks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members (key, rep, n, c) of a bucket that are in different components c.
+
+    A component of more than a block is dealt into blocks of its own, the others share blocks.
+    """
+    parts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("heavy"))
+
+    def cuts():
+        return F.ceil(F.greatest(F.col("many") / BLOCK, F.col("heavy") / HEAVY))
+
+    parts = saved(parts.withColumn("own", cuts()))
+    rest = parts.filter("own = 1").groupBy("key").agg(F.sum("many").alias("many"), F.sum("heavy").alias("heavy"))
+    parts = parts.join(rest.select("key", cuts().alias("together")), "key", "left")
+    alone = F.col("own") > 1
+    block = F.xxhash64(
+        F.when(alone, F.col("c")).otherwise(NO_ID),
+        F.when(alone, F.pmod(F.xxhash64("rep"), "own")).otherwise(F.pmod(F.xxhash64("c"), "together")),
+    )
+    dealt = saved(
+        placed.join(parts.select("key", "c", "own", "together"), ["key", "c"])
+        .select("key", block.alias("block"), "rep", "n", "c")
+    )
+    cells = saved(
+        dealt.groupBy("key", "block").agg(
+            F.min("c").alias("low"), F.max("c").alias("high"), F.min("n").alias("n"), F.max("n").alias("most")
+        )
+    )
+    x = cells.toDF("key", "i", "low", "high", "n", "most")
+    y = cells.toDF("key", "j", "low_", "high_", "n_", "most_")
+    apart = F.least("low", "low_") < F.greatest("high", "high_")
+    near = (F.col("most") * 100 >= F.col("n_") * percent) & (F.col("most_") * 100 >= F.col("n") * percent)
+    pairs = x.join(y, "key").filter((F.col("i") <= F.col("j")) & apart & near)
+    sent = pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    rows = sent.join(dealt.select("key", "block", "rep", "c").distinct(), ["key", "block"])
+    rows = rows.join(sets.withColumnRenamed("v", "rep"), "rep")
+    return saved(rows.groupBy("key", "i", "j").applyInArrow(_between(percent), "a long, b long"))
+
+
 def _similar_size(percent: int):
     return F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
 
@@ -207,8 +308,10 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     )
     mixed = placed.groupBy("key").agg(
         F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")
-    ).filter((F.col("low") < F.col("high")) & (F.col("size") <= SMALL))
-    placed = saved(placed.join(saved(mixed.select("key")), "key", "left_semi"))
+    ).filter("low < high")
+    placed = saved(placed.join(saved(mixed.select("key", "size")), "key"))
+    blocks = _linked_blocks(placed.filter(F.col("size") > SMALL).drop("size"), sets, percent)
+    placed = placed.filter(F.col("size") <= SMALL).drop("size")
     own = placed.groupBy("rep").agg(F.collect_set("key").alias("keys"))
     placed = placed.join(own, "rep")
     other = placed.select(
@@ -222,7 +325,7 @@ def near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
         .distinct()
     )
     rest = saved(across.join(stars, ["a", "b"], "left_anti"))
-    found = common.components(saved(links.union(confirmed(rest)).distinct()))
+    found = common.components(saved(links.union(confirmed(rest)).union(blocks).distinct()))
     return members.join(found.withColumnRenamed("v", "rep"), "rep", "left").select(
         "d", "t", "n", F.coalesce("l", "rep", "d").alias("component")
     )

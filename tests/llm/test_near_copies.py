@@ -66,6 +66,22 @@ def test_star_around_the_original(documents):
     assert {row[2] for row in found} == {0}
 
 
+def test_links_that_miss_the_centre(documents, monkeypatch):
+    """Hundreds of variants of one template, of which a few happen to be near each other; blocks of any size."""
+    random_ = random.Random(5)
+    base = words(100, 6).split()
+    docs = []
+    for k in range(400):
+        changed = {p: f"x{p}" for p in range(0, 96, 4) if random_.random() < 0.5}
+        docs.append((k, " ".join(changed.get(p, w) for p, w in enumerate(base))))
+    want = brute(docs, 2, 80)
+    assert 10 < len({row[2] for row in want}) < 400
+    monkeypatch.setattr(near_copies, "SMALL", 16)
+    for block in (1024, 30):
+        monkeypatch.setattr(near_copies, "BLOCK", block)
+        assert run(documents(docs))[0] == want
+
+
 def test_one_stays(documents):
     base = words(50, 2)
     docs = documents([(4, base), (3, base + " end"), (9, words(50, 3)), (None, base), (1, None)])

@@ -31,10 +31,16 @@ FRAME, CONTENT, OTHER = range(3)
 # Elements by their role in a page.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong"
-    " sub sup time tt u var wbr br img input".split()
+    " sub sup time tt u var wbr br img input"
+    " math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover"
+    " munderover mmultiscripts mprescripts mtable mtr mtd maction menclose mspace semantics annotation annotation-xml".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = "script|style|noscript|template|iframe|object|svg|textarea|title|select|button|canvas|math"
+RAW = "script|style|noscript|iframe|textarea|title"  # no elements in them; without an end tag they take the rest of the page
+UNSEEN = frozenset("template object svg select button canvas".split())  # if they have an end
+FOREIGN = frozenset("svg math".split())
+ENDS_ITSELF = frozenset("button select".split())  # a second start tag ends the first element
+IN_HEAD = frozenset("head base link meta noscript script style template title".split())
 CLOSED_BY_BLOCKS = frozenset("p".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LISTS = frozenset("ul ol dl table tbody thead tfoot div section article main body".split())
@@ -68,14 +74,18 @@ SURE, PLAIN, TEXT_WEIGHT = 9.0, 3.5, 0.4
 PAIRS = np.array([[0.6, 0.1, 0.3], [0.001, 0.899, 0.1], [0.001, 0.001, 0.998]])  # parent, child
 
 _OUT_TAGS = {x[4:] for x in OUTSIDE if x.startswith("tag ")}
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<({UNSEEN})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-    r"|</?[a-zA-Z][^>]*>"
-    r"|<[!?/][^>]*>",
-    re.S | re.I,
-)
+def _token(raw_end: str) -> re.Pattern[str]:
+    return re.compile(
+        r"<!--.*?(?:-->|\Z)"
+        rf"|<({RAW})(?=[\s/>])[^>]*{raw_end}>.*?(?:</\1\s*>|\Z)"
+        r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
+        r"|</?[a-zA-Z][^>]*>"
+        r"|<[!?/][^>]*>",
+        re.S | re.I,
+    )
+
+
+_TOKEN, _FOREIGN_TOKEN = _token(""), _token("(?<!/)")  # in drawings and formulas, all elements may be closed by `/>`
 _CLASS = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -114,8 +124,61 @@ def _seen_in_text(text: str, linked: int) -> list[str]:
     return ["tag #text", f"length {length}", f"links {links}", f"points {points}"]
 
 
+@dataclass
+class Token:
+    """A tag, comment or raw-text element at page[start:end]. No name: left out; an empty one: left out, and parts words."""
+
+    start: int
+    end: int
+    name: str | None = None
+    closing: bool = False
+    attributes: str = ""
+    last: int | None = None  # of an unseen element that has an end: the token that ends it
+
+
+def _tokens(page: str) -> list[Token]:
+    """All tokens. Start tags of unseen elements know their end tags; one that a parent's end comes before has none."""
+    out: list[Token] = []
+    open_: list[tuple[str, int]] = []
+    number: Counter = Counter()
+    foreign, at = 0, 0
+    while found := (_FOREIGN_TOKEN if foreign else _TOKEN).search(page, at):
+        at = found.end()
+        token = Token(found.start(), at, "" if found[1] else None)
+        out.append(token)
+        if found[3] is None:
+            continue
+        name = token.name = found[3].lower()
+        token.closing, token.attributes = bool(found[2]), found[4] or ""
+        if (foreign or name in FOREIGN) and name not in VOID and token.attributes.endswith("/"):
+            token.name = ""
+            continue
+        if name in FOREIGN:
+            foreign = max(foreign + (-1 if token.closing else 1), 0)
+        if name in INLINE or name in VOID:
+            continue
+        if token.closing:
+            while number[name]:
+                top, k = open_.pop()
+                number[top] -= 1
+                if top == name:
+                    if name in UNSEEN:
+                        out[k].last = len(out) - 1
+                    break
+            continue
+        if name in ENDS_ITSELF and number[name]:
+            k = max(k for k, (other, _) in enumerate(open_) if other == name)
+            del open_[k]
+            number[name] -= 1
+        open_.append((name, len(out) - 1))
+        number[name] += 1
+    return out
+
+
 def parsed(page: str) -> Tree:
-    """The tree of a page. Unclosed and stray tags are put up with; scripts, styles, comments and form controls are left out."""
+    """The tree of a page. Unclosed and stray tags are put up with; scripts, styles, comments, form controls, drawings and
+    embedded objects are left out. Of these, an element without an end is no element, and its text is kept; only raw text
+    (RAW) goes on to the end of the page. A head ends where something begins that cannot be in it."""
     tree = Tree()
     open_: list[tuple[str, int]] = [("#page", tree.add(-1, ["tag #page"], "#page"))]
     parts: list[str] = []
@@ -131,22 +194,29 @@ def parsed(page: str) -> Tree:
         linked, in_link = 0, False
 
     def words(raw: str) -> None:
-        nonlocal linked
+        nonlocal linked, unseen_head
+        if unseen_head and raw.strip():
+            unseen_head = False
         if raw and not unseen_head:
             raw = html.unescape(raw) if "&" in raw else raw
             parts.append(raw)
             if in_link:
                 linked += len(raw.strip())
 
-    for token in _TOKEN.finditer(page):
-        words(page[at : token.start()])
-        at = token.end()
-        name = token[3]
-        if name is None:
-            if token[1]:
+    tokens, next_ = _tokens(page), 0
+    while next_ < len(tokens):
+        token = tokens[next_]
+        next_ += 1
+        words(page[at : token.start])
+        at, name, closing = token.end, token.name, token.closing
+        if not name or name in UNSEEN:
+            if name is not None and not closing:
                 parts.append(" ")
+            if token.last is not None:
+                next_, at = token.last + 1, tokens[token.last].end
             continue
-        name, closing = name.lower(), bool(token[2])
+        if name not in IN_HEAD and not closing:
+            unseen_head = False
         if name in INLINE:
             if name == "br":
                 parts.append(" ")
@@ -156,8 +226,6 @@ def parsed(page: str) -> Tree:
         if name == "head":
             unseen_head = not closing
             continue
-        if name == "body":
-            unseen_head = False
         flush()
         if closing:
             for k in range(len(open_) - 1, 0, -1):
@@ -175,7 +243,7 @@ def parsed(page: str) -> Tree:
                 break
             if open_[k][0] in LISTS:
                 break
-        seen = [f"tag {name}", *sorted(f"hint {x}" for x in _hints(token[4] or ""))]
+        seen = [f"tag {name}", *sorted(f"hint {x}" for x in _hints(token.attributes))]
         open_.append((name, tree.add(open_[-1][1], seen, name)))
     words(page[at:])
     flush()

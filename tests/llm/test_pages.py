@@ -74,3 +74,24 @@ def test_marginals_like_brute_force():
             for k, s in enumerate(states):
                 share[k, s] += weight
         assert np.allclose(pages.marginals(parent, depth, node, pair), share / total)
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ('<p>one <svg class="i"/> two</p><p>three</p>', ["one two", "three"]),
+        ('<p>one <svg><title/><path d="x"/><text>no</text></svg> two</p>', ["one two"]),
+        ("<div><p>one <button>go <p>two</p></div><p>three</p>", ["one go", "two", "three"]),
+        ("<div><button>a <p>two</p></div><div><button>no</button> three</div>", ["a", "two", "three"]),
+        ("<p>one <button>x <button>no</button> two</p>", ["one x two"]),
+        ("<p>one <select><option>no<option>no</select> two <canvas>no <b>no</b></canvas></p>", ["one two"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds <math/> here</p>", ["so x=1 holds here"]),
+        ("<head><title>no</title><meta charset=x><style>no</style><p>one</p><p>two", ["one", "two"]),
+        ("<head><title>no</title> one <b>two</b><p>three", ["one two", "three"]),
+        ("<head><title>no</title><img src=x> one</p>", ["one"]),
+        ("<p>one</p><script>no <p>no</p>", ["one"]),
+        ("<p>one</p><div><svg><g>two</div><p>three</p>", ["one", "two", "three"]),
+    ],
+)
+def test_nothing_else_is_left_out(html, want):
+    assert [x for x in pages.parsed(html).text if x is not None] == want

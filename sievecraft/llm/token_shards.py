@@ -88,7 +88,7 @@ def _ids(column: pa.Array, content: bytes) -> list[np.ndarray]:
     return [np.frombuffer(array("H", [*encode(x), END]), np.uint16) if x else _NONE for x in column.to_pylist()]
 
 
-_AT = ["file_name", "row_index"]
+_AT = ["file_path", "row_index"]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -192,16 +192,16 @@ def token_shards(
 ) -> DataFrame:
     """Rows (shard, slot, byte_offset, sequence, n_tokens, ids), one for each sequence; each partition is one shard in slot order.
 
-    The order of the stream is that of files and rows in them. ids: `length` little-endian 16-bit tokens; the last sequence
+    The order of the stream is that of the paths of files and of rows in them. ids: `length` little-endian 16-bit tokens; the last sequence
     of the stream is filled up with end tokens, which n_tokens does not count. Null and empty texts have no tokens. Only
     the text is read.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary() if content is None else content)
     rows = _rows(docs)
-    sizes = saved(rows.mapInArrow(_lengths(shared), "file_name string, row_index long, size long"))
-    files = _running(sizes.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")), "file_name", "n")
-    placed = sizes.join(files, "file_name").select(*_AT, "size", (F.col("first") + F.col("row_index")).alias("position"))
+    sizes = saved(rows.mapInArrow(_lengths(shared), "file_path string, row_index long, size long"))
+    files = _running(sizes.groupBy("file_path").agg(F.count(F.lit(1)).alias("n")), "file_path", "n")
+    placed = sizes.join(files, "file_path").select(*_AT, "size", (F.col("first") + F.col("row_index")).alias("position"))
     placed = placed.withColumn("span", F.floor(F.col("position") / SPAN))
     sums = placed.groupBy("span").agg(F.sum("size").alias("n"))
     tokens = sizes.agg(F.sum("size")).first()[0] or 0

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from sievecraft.llm import token_shards
@@ -54,3 +56,17 @@ def test_shards_are_in_order(documents):
     slots = found.rdd.mapPartitions(lambda rows: [[r["slot"] for r in rows]]).collect()
     assert all(part == sorted(part) for part in slots)
     assert all(len({s // 10 for s in part}) <= 1 for part in slots)
+
+
+def test_files_of_one_name(spark, tmp_path):
+    """Files of one name in several folders are several files."""
+    want = []
+    for folder in range(2):
+        texts = [f"folder {folder} text {k} " * (k + 1 + folder) for k in range(5)]
+        (tmp_path / f"part={folder}").mkdir()
+        pq.write_table(pa.table({"text": texts}), tmp_path / f"part={folder}" / "part-0.parquet")
+        encode = token_shards.encoder(token_shards.vocabulary()).encode_ordinary
+        want += [t for x in texts for t in [*encode(x), token_shards.END]]
+    rows = token_shards.token_shards(spark.read.parquet(str(tmp_path)), length=8).collect()
+    rows.sort(key=lambda r: r["sequence"])
+    assert np.concatenate([np.frombuffer(r["ids"], np.uint16)[: r["n_tokens"]] for r in rows]).tolist() == want

@@ -1,7 +1,7 @@
 """Language prediction with bit-sliced Bloom filters of n-grams.
 
-One table of bit masks serves all languages: bit l of the mask at a position belongs to the Bloom filter of language l, so
-a few lookups return the set of all languages that hold an n-gram. A text's n-grams are counted for each language, the
+One table of bit masks serves WORD languages: bit l of the mask at a position belongs to the Bloom filter of language l, so
+a few lookups return the set of all languages that hold an n-gram. There are as many tables as the languages need. A text's n-grams are counted for each language, the
 counts are corrected for false positives, and the largest share decides.
 """
 
@@ -20,7 +20,7 @@ from sievecraft.llm.common import id_key, keyed_texts
 GRAM = 4  # bytes of an n-gram
 SAMPLE = 4000  # training texts of a language, about; taken by a hash of the id
 GRAMS = 20_000  # most frequent n-grams of a language that enter its filter
-LANGUAGES = 64  # languages at most; one bit each
+WORD = 64  # languages of a table; one bit each
 LEAST = 0.01  # share of a language's training texts that must hold an n-gram
 BITS, PROBES = 20, 3
 
@@ -30,7 +30,7 @@ NONE = "und"
 @dataclass
 class Filters:
     names: list[str]
-    masks: np.ndarray  # 2^BITS masks, bit l for language l
+    masks: np.ndarray  # for each WORD languages a row of 2^BITS masks, bit l % WORD of row l // WORD for language l
     false: np.ndarray  # false-positive rate of each language
 
 
@@ -83,9 +83,7 @@ def learned(labelled: DataFrame, id_column: str = "doc_id") -> Filters:
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(sizes)
-    if len(names) > LANGUAGES:
-        raise ValueError(f"{len(names)} languages; at most {LANGUAGES}")
-    masks = np.zeros(1 << BITS, np.uint64)
+    masks = np.zeros((-(-len(names) // WORD), 1 << BITS), np.uint64)
     if not names:
         return Filters(names, masks, np.zeros(0))
     share = F.create_map(*(F.lit(x) for name in names for x in (name, SAMPLE / sizes[name])))
@@ -104,21 +102,23 @@ def learned(labelled: DataFrame, id_column: str = "doc_id") -> Filters:
         grams[k] = np.array([row["gram"] for row in top.collect()], np.uint64)
     for k, own in grams.items():
         for at in _probes(own):
-            masks[at] |= np.uint64(1 << k)
-    ones = np.array([np.count_nonzero(masks >> np.uint64(k) & np.uint64(1)) for k in range(len(names))])
-    return Filters(names, masks, (ones / len(masks)) ** PROBES)
+            masks[k // WORD, at] |= np.uint64(1 << k % WORD)
+    ones = np.array([np.count_nonzero(masks[k // WORD] >> np.uint64(k % WORD) & np.uint64(1)) for k in range(len(names))])
+    return Filters(names, masks, (ones / masks.shape[1]) ** PROBES)
 
 
 def shares(column: pa.Array, filters: Filters) -> np.ndarray:
     """For each text and language, the share of the text's n-grams that the language holds, corrected."""
     grams, owner = _grams(column)
-    held = filters.masks[(probes := _probes(grams))[0]]
-    for at in probes[1:]:
-        held &= filters.masks[at]
+    probes = _probes(grams)
     total = np.bincount(owner, minlength=len(column))
     out = np.zeros((len(column), len(filters.names)))
     for k in range(len(filters.names)):
-        hit = np.bincount(owner[(held >> np.uint64(k) & np.uint64(1)).astype(bool)], minlength=len(column))
+        if k % WORD == 0:
+            held = filters.masks[k // WORD, probes[0]]
+            for at in probes[1:]:
+                held &= filters.masks[k // WORD, at]
+        hit = np.bincount(owner[(held >> np.uint64(k % WORD) & np.uint64(1)).astype(bool)], minlength=len(column))
         raw = hit / np.maximum(total, 1)
         out[:, k] = np.maximum((raw - filters.false[k]) / (1 - filters.false[k]), 0) if filters.false[k] < 1 else 0
     return out

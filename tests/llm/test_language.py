@@ -51,6 +51,15 @@ def test_filters_like_brute_force(documents):
     assert np.allclose(found, want, atol=0.02)
 
 
+def test_more_languages_than_bits_of_a_mask(documents):
+    names = [f"l{k:02}" for k in range(67)]
+    bodies = [" ".join(f"{chr(0x4E00 + 9 * k + i)}{chr(0x4E00 + 9 * k + j)}" for i in range(9) for j in range(9)) for k in range(67)]
+    filters = language.learned(documents([(k, body, name) for k, (body, name) in enumerate(zip(bodies, names))]))
+    assert filters.names == names
+    rows = {r["d"]: r for r in language.predicted(documents([(k, body) for k, body in enumerate(bodies)]), filters).collect()}
+    assert [rows[k]["lang_pred"] for k in range(67)] == names and all(r["score"] > 0.9 for r in rows.values())
+
+
 def test_nothing_learned_and_empty_table(documents):
     filters = language.learned(documents([]))
     rows = language.predicted(documents([(1, "abc")]), filters).collect()

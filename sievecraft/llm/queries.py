@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievecraft.llm import (
-    common, contamination, language, mixing, near_copies, pages, recompression, suffix_dedup, suffix_tree, token_shards, vectors,
+    alignment, common, contamination, forest, language, mixing, near_copies, pages, periods, recompression, suffix_dedup,
+    suffix_tree, token_shards, vectors,
 )
 from sievecraft.llm.common import table
 
@@ -244,3 +245,33 @@ def op5_mixing(spark, sf_dir):
 @query("op2_token_shards")
 def op2_token_shards(spark, sf_dir):
     return token_shards.token_shards(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hash_forest")
+def op11_hash_forest(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    found = forest.nearest(rows, rows.filter("vec_id % 20 = 0"), 20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    planted = periods.with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periods.periodic_runs(planted, digest=True).select(
+        real_id().alias("doc_id"),
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.sha2(F.col("runs").cast("binary"), 256).alias("runs_sha256"),
+        F.lower(F.hex("kept")).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark, sf_dir):
+    found = alignment.aligned(table(spark, sf_dir, "documents"))
+    return found.select(
+        real_id().alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )

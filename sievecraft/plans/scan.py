@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from sievecraft.functions.paths import path_candidates, remote_slugs
+from sievecraft.functions.paths import any_glob_match, path_candidates, remote_slugs
 from sievecraft.operators.aggregates import author_pairs, distinct_authors, group_counts
-from sievecraft.operators.filters import only_included, scan_status
+from sievecraft.operators.filters import first_match, only_included, scan_status
 from sievecraft.operators.joins import lookup_join
+from sievecraft.operators.patterns import with_match_flag
 from sievecraft.sources.readers import distinct_repositories
 
 
@@ -27,29 +28,39 @@ class Scan:
 def with_status(
     repositories: DataFrame,
     roots: Sequence[str] = (),
-    ignore_paths: Sequence[str] = (),
-    ignore_remotes: Sequence[str] = (),
+    ignore_paths: Sequence[str] | DataFrame = (),
+    ignore_remotes: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
-    """Distinct repositories with their status. An ignored one never counts as shallow."""
-    status = scan_status(
-        path_candidates(F.col("path"), roots),
-        remote_slugs(F.col("remotes")),
-        ignore_paths,
-        ignore_remotes,
-    )
-    return (
-        distinct_repositories(repositories)
-        .withColumn("status", status)
-        .withColumn("shallow", F.col("shallow") & (F.col("status") == "included"))
+    """Distinct repositories with their status. An ignored one never counts as shallow.
+
+    Ignore lists are a few globs, or tables with the column `pattern` of any size.
+    """
+    rows = distinct_repositories(repositories)
+    options = path_candidates(F.col("path"), roots)
+    slugs = remote_slugs(F.col("remotes"))
+    if isinstance(ignore_paths, DataFrame) or isinstance(ignore_remotes, DataFrame):
+        marks = []
+        for values, globs, name in ((options, ignore_paths, "ignored_path"), (slugs, ignore_remotes, "ignored_remote")):
+            if isinstance(globs, DataFrame):
+                rows = with_match_flag(rows, "path", values, globs, f"_{name}")
+                marks.append((F.col(f"_{name}"), name))
+            else:
+                marks.append((any_glob_match(values, globs), name))
+        status = F.coalesce(first_match(marks), F.lit("included"))
+    else:
+        status = scan_status(options, slugs, ignore_paths, ignore_remotes)
+    marked = rows.withColumn("status", status).withColumn(
+        "shallow", F.col("shallow") & (F.col("status") == "included")
     )
+    return marked.drop("_ignored_path", "_ignored_remote")
 
 
 def scan_history(
     repositories: DataFrame,
     commits: DataFrame,
     roots: Sequence[str],
-    ignore_paths: Sequence[str] = (),
-    ignore_remotes: Sequence[str] = (),
+    ignore_paths: Sequence[str] | DataFrame = (),
+    ignore_remotes: Sequence[str] | DataFrame = (),
 ) -> Scan:
     """Scan `repositories(path, remotes, shallow)` and `commits(repository_path, author_email, …)`.
 

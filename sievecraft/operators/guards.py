@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sievecraft.errors import DataQualityError
 from sievecraft.functions.text import casefold, identity_key
+from sievecraft.operators.joins import lookup_join
+from sievecraft.operators.search import found_needles
 
 
 def select_required(df: DataFrame, columns: Sequence[str], label: str = "table") -> DataFrame:
@@ -85,6 +87,56 @@ def identity_leaks(candidates: DataFrame, provenance: DataFrame) -> DataFrame:
     return leak_counts(candidates.join(provenance.select(*names).hint("shuffle_hash"), "id"))
 
 
+def identity_needles(provenance: DataFrame) -> DataFrame:
+    """Distinct rows (id, kind, needle): what must not show of each row's lineage. E-mails are stripped and case-folded;
+    blank and null values are left out."""
+    kinds = F.array(
+        *[
+            F.struct(F.lit(kind).alias("kind"), needle.alias("needle"))
+            for kind, needle in (
+                ("author_email", identity_key(F.col("author_email"))),
+                ("repository_path", F.col("repository_path")),
+                ("commit_sha", F.col("commit_sha")),
+            )
+        ]
+    )
+    remotes = F.transform(
+        F.coalesce("remote_urls", F.array().cast("array<string>")),
+        lambda url: F.struct(F.lit("remote_url").alias("kind"), url.alias("needle")),
+    )
+    rows = provenance.select("id", F.explode(F.concat(kinds, remotes)).alias("_n")).select("id", "_n.*")
+    return rows.filter(F.col("needle") != "").distinct()
+
+
+def shown_identities(candidates: DataFrame, provenance: DataFrame) -> DataFrame:
+    """Rows (id, kind, needle, own): every private value of any lineage row that shows in a candidate's subject or diff.
+
+    `own`: whether it belongs to the row's own lineage. E-mails are found in any letter case. All values are looked for in
+    all texts; texts are not shuffled.
+    """
+    needles = identity_needles(provenance)
+    text = F.concat_ws("\n", "subject", "diff")
+    is_email = F.col("kind") == "author_email"
+    kinds = needles.select("kind", "needle").distinct()
+    found = None
+    for text_, which in ((casefold(text), is_email), (text, ~is_email)):
+        some = kinds.filter(which)
+        pairs = found_needles(candidates.select("id", text_.alias("text")), some)
+        named = lookup_join(pairs, some, "needle", ["id"], "inner")
+        found = named if found is None else found.unionByName(named)
+    own = needles.withColumn("own", F.lit(True))
+    marked = found.join(own, ["id", "kind", "needle"], "left")
+    return marked.select("id", "kind", "needle", F.coalesce("own", F.lit(False)).alias("own"))
+
+
+def shown_identity_counts(shown: DataFrame) -> DataFrame:
+    """Per kind: rows that show any private value, rows that show one of another lineage, and distinct values shown."""
+    per_row = shown.groupBy("kind", "id").agg(F.bool_or(~F.col("own")).alias("foreign"))
+    rows = per_row.groupBy("kind").agg(F.count("*").alias("rows"), F.count_if("foreign").alias("foreign_rows"))
+    values = shown.groupBy("kind").agg(F.count_distinct("needle").alias("needles"))
+    return rows.join(values, "kind")
+
+
 def lineage_integrity(candidates: DataFrame, provenance: DataFrame) -> DataFrame:
     """One row: ids on each side, ids without a partner and repeated ids. The pair is sound if
     the last three are zero."""

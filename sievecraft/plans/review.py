@@ -11,10 +11,11 @@ from sievecraft.errors import DataQualityError
 from sievecraft.operators.aggregates import split_summary_with_languages
 from sievecraft.operators.guards import require_minimum, require_none, select_required
 from sievecraft.operators.joins import BROADCAST_ROWS, small_row_count
-from sievecraft.operators.ordering import chronological_key, key_at
+from sievecraft.operators.ordering import chronological_key, keys_at
 from sievecraft.schemas import HELD_OUT, QUEUE_COLUMNS, REFERENCE_COLUMNS
-from sievecraft.sources.readers import latest_decisions, read_decisions
-from sievecraft.sources.writers import append_decisions, delete_path, write_reviewed
+from sievecraft.sources.decision_log import DecisionLog
+from sievecraft.sources.readers import latest_decisions
+from sievecraft.sources.writers import delete_path, write_reviewed
 
 REQUIRED_APPROVALS = 50
 # Rows per group up to which Spark limits ranks in each task (its default for such limits).
@@ -74,7 +75,7 @@ def _before_cuts(narrow: DataFrame, k: int) -> DataFrame:
         for name, size in sizes.items():
             here = F.col("split") == F.lit(name)
             if size > k:
-                cut = key_at(keyed.filter(here).select("key"), k, size)
+                (cut,) = keys_at(keyed.filter(here).select("key"), [k], size)
                 here = here & (chronological_key() < F.lit(cut))
             early = early | here
     finally:
@@ -170,13 +171,9 @@ def materialise_review(
     return written
 
 
-def compact_decisions(spark: SparkSession, path: str, compact_path: str, queue: DataFrame) -> int:
-    """Write the current decisions on the queue's ids as a new log; returns its rows.
-
-    The old log stays until the new one is complete; `retire_decisions` removes it.
-    """
-    append_decisions(current_decisions(read_decisions(spark, path), queue), compact_path)
-    return spark.read.parquet(compact_path).count()
+def compact_decisions(spark: SparkSession, path: str, queue: DataFrame) -> int:
+    """Replace a log by the current decisions on the queue's ids, in one step; returns their number."""
+    return DecisionLog(spark, path).compact(queue)
 
 
 def retire_decisions(spark: SparkSession, path: str) -> bool:

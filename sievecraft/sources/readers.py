@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sievecraft.functions.text import canonical_json, parents
-from sievecraft.operators.aggregates import set_digest
+from sievecraft.operators.aggregates import hash_sums, row_hashes, set_digest
 from sievecraft.operators.guards import select_required
-from sievecraft.schemas import CANDIDATES, DECISIONS, HELD_OUT
+from sievecraft.schemas import CANDIDATES, HELD_OUT
 
 _METADATA = ("parents", "subject", "author_name", "author_email", "committed_at")
 
@@ -47,6 +46,50 @@ def read_commit_log(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+_EXPORT_FIELDS = 2 + len(_METADATA)
+
+
+def read_commit_export(spark: SparkSession, path: str) -> DataFrame:
+    """Export without line ends: repository path, commit hash and the five metadata fields of each commit, every field
+    ended by NUL, so that a field may hold any other character.
+
+    Files are read in splits. A field's number in its file is that in its split plus the fields of the splits before,
+    which come from one count for each split; numbers give record and place, and fields meet their record by a shuffle.
+    A file whose fields are no multiple of seven is an error.
+    """
+    raw = (
+        spark.read.option("lineSep", "\u0000")
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),  # consecutive within a split
+            "value",
+        )
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = raw.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    # A row for each split; the sum over a file's splits is its number of fields.
+    placed = blocks.select(
+        "file",
+        "block",
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"),
+        F.sum("n").over(Window.partitionBy("file")).alias("fields"),
+    )
+    number = F.when(F.col("fields") % _EXPORT_FIELDS == 0, F.col("row") + F.col("shift")).otherwise(
+        F.raise_error(F.concat(F.lit("fields are missing in "), F.col("file")))
+    )
+    numbered = raw.join(placed, ["file", "block"]).select("file", number.alias("number"), "value")
+    place = F.col("number") % _EXPORT_FIELDS
+    names = ("repository_path", "commit_sha", *_METADATA)
+    columns = [F.max(F.when(place == k, F.col("value"))).alias(name) for k, name in enumerate(names)]
+    record = F.floor(F.col("number") / _EXPORT_FIELDS)
+    rows = numbered.groupBy("file", record.alias("record")).agg(*columns).drop("file", "record")
+    return rows.withColumn("parents", parents(F.col("parents"))).withColumn(
+        "committed_at", F.rtrim("committed_at", F.lit("\n"))
+    )
+
+
 def patch_text(raw: Column) -> Column:
     """Patch bytes as text: invalid UTF-8 becomes U+FFFD, nothing is trimmed."""
     return F.make_valid_utf8(raw.cast("string"))
@@ -83,17 +126,6 @@ def latest_decisions(decisions: DataFrame) -> DataFrame:
     )
 
 
-def read_decisions(spark: SparkSession, path: str) -> DataFrame:
-    """The decision log, or an empty one if there is none yet; the last decision on an id counts."""
-    try:
-        log = spark.read.schema(DECISIONS).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        log = spark.createDataFrame([], DECISIONS)
-    return latest_decisions(log)
-
-
 def distinct_repositories(repositories: DataFrame) -> DataFrame:
     """One row per work tree, however many roots it was reached from: all its remotes in order, and
     shallow if any row says so."""
@@ -125,5 +157,15 @@ def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def rows_digest(rows: DataFrame) -> DataFrame:
     """One row with `digest` over the canonical JSON of all rows, whatever files they lie in."""
-    row_hash = F.sha2(canonical_json(*rows.columns), 256)
-    return set_digest(rows.select(row_hash.alias("row_hash")), "")
+    return set_digest(row_hashes(rows), "")
+
+
+def source_sums(rows: DataFrame) -> DataFrame:
+    """Rows (file, rows, sums) of a file table: the part of `rows_digest` that each file contributes.
+
+    Kept with the data, they give the digest of the source after files were added without reading the old ones again:
+    `merged_sums` of old and new, then `sums_digest("")`.
+    """
+    named = rows.select("*", F.col("_metadata.file_path").alias("_file"))
+    hashed = named.select("_file", F.sha2(canonical_json(*rows.columns), 256).alias("row_hash"))
+    return hash_sums(hashed, "_file").withColumnRenamed("_file", "file")

@@ -17,7 +17,7 @@ from sievecraft import (
 )
 from sievecraft.plans.review import audit_queue
 from sievecraft.schemas import DECISIONS
-from sievecraft.sources import readers, writers
+from sievecraft.sources import decision_log, readers, writers
 
 COMMITS = 700
 
@@ -80,13 +80,13 @@ def test_from_commits_to_reviewed_rows(spark, tmp_path):
 
     queue, log = audit_queue(held_out), f"{out}/decisions"
     for expected in ("validation", "test"):
-        batch = review_batch(queue, readers.read_decisions(spark, log), required=50, k=55)
+        batch = review_batch(queue, decision_log.read_decisions(spark, log), required=50, k=55)
         assert {row["split"] for row in batch.collect()} == {expected}
         decided = batch.select(
             "id", "split", (F.col("position") > 5).alias("approved"), F.col("position").alias("seq")
         )
-        writers.append_decisions(spark.createDataFrame(decided.collect(), DECISIONS), log)
-    decisions = readers.read_decisions(spark, log)
+        decision_log.append_decisions(spark.createDataFrame(decided.collect(), DECISIONS), log)
+    decisions = decision_log.read_decisions(spark, log)
     assert review_batch(queue, decisions, required=50).isEmpty()
     written = materialise_review(held_out, decisions, f"{out}/reviewed", required=50)
     assert written == {"validation": 50, "test": 50}

@@ -63,19 +63,63 @@ def test_cuts(total, sizes):
     assert tuple(found.values()) == sizes
 
 
-@pytest.mark.parametrize("sorted_at_once", [100_000, 300, 7, 1])
-def test_key_at_every_kind_of_rank(spark, sorted_at_once):
+@pytest.mark.parametrize("sorted_at_once", [100_000, 1])
+def test_keys_at_every_kind_of_rank(spark, sorted_at_once):
     rows = make_rows(900)
     keys = sorted(row[4] + row[0] for row in rows)
     df = spark.createDataFrame([(key,) for key in keys], "key string").repartition(5).cache()
-    for rank in (0, 1, 299, 450, 720, 899):
-        assert ordering.key_at(df, rank, 900, sorted_at_once=sorted_at_once) == keys[rank]
+    ranks = [899, 0, 1, 299, 450, 451, 720]
+    assert ordering.keys_at(df, ranks, 900, sorted_at_once) == [keys[rank] for rank in ranks]
+    assert ordering.keys_at(df, [], 900, sorted_at_once) == []
 
 
-def test_key_at_with_equal_keys(spark):
+def test_keys_at_with_equal_keys(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 5, "key string")
-    assert ordering.key_at(df, 3, 10, (), sorted_at_once=2) == "a"
-    assert ordering.key_at(df, 7, 10, (), sorted_at_once=2) == "b"
+    assert ordering.keys_at(df, [3, 7], 10, sorted_at_once=2) == ["a", "b"]
+
+
+SHAPES = {
+    "even": lambda k: f"{k * 7919 % 60_000:08d}",
+    "one key holds half": lambda k: "m" if k % 2 else f"{k:08d}",
+    "long common start": lambda k: "2020-01-01T00:00:00Zcandidate_" + f"{k * 31 % 60_000:08d}",
+    "few keys": lambda k: "ä漢🎉"[k % 3] * (k % 5),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("size", [16, 200])
+def test_two_passes_settle_all_cuts(spark, monkeypatch, shape, size):
+    """With summaries so small that they are coarse; each key is read twice whatever the keys look like."""
+    monkeypatch.setattr(ordering.rank_summary, "__defaults__", (size,))
+    n, make = 60_000, SHAPES[shape]
+    keys = [make(k) for k in range(n)]
+    df = spark.createDataFrame([(key,) for key in keys], "key string").repartition(7)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    ranks = [n * 8 // 10, n * 9 // 10, 0, n - 1, n // 3]
+    found = ordering.keys_at(df.mapInArrow(counted, "key string"), ranks, n, sorted_at_once=10)
+    in_order = sorted(keys)
+    assert found == [in_order[rank] for rank in ranks]
+    assert read.value == 2 * n
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 9])
+def test_summaries_keep_their_promise(spark, partitions):
+    keys = [f"{k * 48_271 % 65_537:06d}" for k in range(50_000)]
+    df = spark.createDataFrame([(key,) for key in keys], "key string").repartition(partitions)
+    summary = ordering.rank_summary(df, 64)
+    in_order = sorted(keys)
+    place = {key: k for k, key in enumerate(in_order)}
+    assert all(abs(place[key] - before) <= summary.error for key, before in zip(summary.keys, summary.before))
+    assert len(summary.keys) < 2_000 and summary.error < 25_000
+    for rank in range(0, 50_000, 997):
+        low, high = summary.around(rank)
+        assert (low is None or low <= in_order[rank]) and (high is None or in_order[rank] < high)
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 17])
@@ -185,17 +229,51 @@ def test_fingerprint(spark):
     changed = [(*rows[0][:2], rows[0][2] + " ", *rows[0][3:]), *rows[1:]]
     assert digest(changed) != base
 
-    hashes = sorted(
-        hashlib.sha256(
-            json.dumps(dict(zip(CANDIDATES.names, row)), sort_keys=True, separators=(",", ":")).encode()
-        ).hexdigest()
+    total = sum(
+        int(
+            hashlib.sha256(
+                json.dumps(dict(zip(CANDIDATES.names, row)), sort_keys=True, separators=(",", ":")).encode()
+            ).hexdigest(),
+            16,
+        )
         for row in rows
     )
-    leaves = {}
-    for value in hashes:
-        leaves.setdefault(value[:4], []).append(value)
-    joined = "".join(hashlib.sha256("".join(group).encode()).hexdigest() for group in leaves.values())
-    assert base == hashlib.sha256(('{"since":null,"until":null}' + joined).encode()).hexdigest()
+    text = f'{{"since":null,"until":null}}{len(rows)}:{total % 2**256:064x}'
+    assert base == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_sums_carry_over_all_lanes(spark):
+    hashes = ["f" * 64] * 70_000 + ["0" * 63 + "1"] * 3
+    rows = spark.createDataFrame([(h,) for h in hashes], "row_hash string").repartition(4)
+    total = (70_000 * (2**256 - 1) + 3) % 2**256
+    want = hashlib.sha256(f"h{len(hashes)}:{total:064x}".encode()).hexdigest()
+    assert aggregates.set_digest(rows, "h").first()[0] == want
+    nothing = hashlib.sha256(f"h0:{0:064x}".encode()).hexdigest()
+    assert aggregates.set_digest(rows.limit(0), "h").first()[0] == nothing
+
+
+def test_sums_of_parts_merge(spark, tmp_path):
+    """The digest of a table that got more files follows from the sums of old and new files."""
+    rows, path = make_rows(90), str(tmp_path / "source")
+    frame(spark, rows[:50], 3).write.parquet(path)
+    old = readers.source_sums(spark.read.parquet(path))
+    kept = old.collect()
+    assert sum(r["rows"] for r in kept) == 50 and len(kept) == 3
+    frame(spark, rows[50:], 2).write.mode("append").parquet(path)
+    known = {r["file"] for r in kept}
+    added = readers.source_sums(spark.read.parquet(path)).filter(~F.col("file").isin(*known))
+    merged = aggregates.merged_sums(spark.createDataFrame(kept, old.schema).unionByName(added))
+    digest = merged.select(aggregates.sums_digest("")).first()[0]
+    assert digest == readers.rows_digest(spark.read.parquet(path)).first()[0]
+    by_group = aggregates.hash_sums(
+        aggregates.row_hashes(frame(spark, rows)).withColumn("part", F.substring("row_hash", 1, 1)), "part"
+    )
+    assert aggregates.merged_sums(by_group).select(aggregates.sums_digest("")).first()[0] == digest
+
+
+def test_digests_gather_nothing(spark):
+    plan = aggregates.dataset_fingerprint(frame(spark, make_rows(5)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Sort" not in plan
 
 
 def test_source_digest(spark, tmp_path):

@@ -7,7 +7,7 @@ import pytest
 from sievecraft import DataQualityError, materialise_review, review_batch, summarise_splits
 from sievecraft.plans import review
 from sievecraft.schemas import CANDIDATES, DECISIONS
-from sievecraft.sources import readers, writers
+from sievecraft.sources import decision_log, readers, writers
 
 SCHEMA = ", ".join(f"{name} string" for name in [*CANDIDATES.names, "split"])
 
@@ -77,10 +77,10 @@ def test_review_batch_walks_the_splits(spark, splits):
 
 def test_decision_log(spark, splits, tmp_path):
     path = str(tmp_path / "log")
-    assert readers.read_decisions(spark, path).count() == 0
-    writers.append_decisions(decide(spark, ("test0", "test", True, 1), ("gone", "test", True, 2)), path)
-    writers.append_decisions(decide(spark, ("test0", "test", False, 3)), path)
-    latest = readers.read_decisions(spark, path)
+    assert decision_log.read_decisions(spark, path).count() == 0
+    decision_log.append_decisions(decide(spark, ("test0", "test", True, 1), ("gone", "test", True, 2)), path)
+    decision_log.append_decisions(decide(spark, ("test0", "test", False, 3)), path)
+    latest = decision_log.read_decisions(spark, path)
     assert {(r["id"], r["approved"]) for r in latest.collect()} == {("test0", False), ("gone", True)}
     current = review.current_decisions(latest, review.audit_queue(splits))
     assert [tuple(row) for row in current.collect()] == [("test0", "test", False, 3)]
@@ -153,17 +153,92 @@ def test_ties_in_the_log(spark):
     assert found == {"a": ("test", False), "b": ("test", True)}
 
 
+def log_rows(spark, *rows):
+    return spark.createDataFrame(rows, "id string, split string, approved boolean, seq long")
+
+
 def test_life_of_the_log(spark, tmp_path):
     from sievecraft.plans import review as plan
-    from sievecraft.sources import readers, writers
 
-    log, compact = str(tmp_path / "log"), str(tmp_path / "compact")
+    log = str(tmp_path / "log")
     queue = spark.createDataFrame([("a", "test"), ("b", "validation")], "id string, split string")
     for seq, (row_id, approved) in enumerate([("a", True), ("a", False), ("b", True), ("gone", True)]):
-        row = spark.createDataFrame([(row_id, "test", approved, seq)], "id string, split string, approved boolean, seq long")
-        writers.append_decisions(row, log)
-    assert plan.compact_decisions(spark, log, compact, queue) == 2
-    found = {r["id"]: (r["split"], r["approved"]) for r in readers.read_decisions(spark, compact).collect()}
+        decision_log.append_decisions(log_rows(spark, (row_id, "test", approved, seq)), log)
+    before = decision_log.DecisionLog(spark, log).read()
+    assert before.count() == 4
+    assert plan.compact_decisions(spark, log, queue) == 2
+    found = {r["id"]: (r["split"], r["approved"]) for r in decision_log.read_decisions(spark, log).collect()}
     assert found == {"a": ("test", False), "b": ("validation", True)}
+    assert before.count() == 4  # a reader of the earlier snapshot still sees all of it
+    assert decision_log.DecisionLog(spark, log).vacuum(keep=1) == 4
+    assert decision_log.read_decisions(spark, log).count() == 2
+    decision_log.append_decisions(log_rows(spark, ("c", "test", True, 9)), log)
+    assert decision_log.read_decisions(spark, log).count() == 3
     assert plan.retire_decisions(spark, log) and not plan.retire_decisions(spark, log)
-    assert readers.read_decisions(spark, log).count() == 0
+    assert decision_log.read_decisions(spark, log).count() == 0
+
+
+def test_a_failure_between_the_steps_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    log = decision_log.DecisionLog(spark, path)
+    log.append(log_rows(spark, ("a", "test", True, 1), ("b", "test", True, 2)))
+    queue = spark.createDataFrame([("a", "test")], "id string, split string")
+
+    def fails(self, number, parts):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(decision_log.DecisionLog, "_commit", fails)
+        with pytest.raises(OSError):
+            log.append(log_rows(spark, ("c", "test", True, 3)))
+        with pytest.raises(OSError):
+            log.compact(queue)
+    assert {r["id"] for r in log.read().collect()} == {"a", "b"}
+    # A snapshot that was cut off while it was written is not there yet, and its number is not used again.
+    (tmp_path / "log" / "snapshots" / "0000000002.json").write_text('{"parts": [')
+    assert {r["id"] for r in log.read().collect()} == {"a", "b"}
+    assert log.compact(queue) == 1
+    assert [r["id"] for r in log.read().collect()] == ["a"]
+    assert log._numbers() == [1, 2, 3]
+
+
+def test_two_writers(spark, tmp_path, monkeypatch):
+    """Both decisions are kept if another writer takes the number first; a second compaction of the same log is an error."""
+    path = str(tmp_path / "log")
+    one, two = (decision_log.DecisionLog(spark, path) for _ in range(2))
+    one.append(log_rows(spark, ("a", "test", True, 1)))
+    plain, calls = decision_log.DecisionLog._commit, []
+
+    def late(self, number, parts):
+        if not calls:
+            calls.append(number)
+            two.append(log_rows(spark, ("b", "test", True, 2)))
+        return plain(self, number, parts)
+
+    monkeypatch.setattr(decision_log.DecisionLog, "_commit", late)
+    one.append(log_rows(spark, ("c", "test", True, 3)))
+    assert {r["id"] for r in one.read().collect()} == {"a", "b", "c"}
+    queue = spark.createDataFrame([("a", "test"), ("b", "test"), ("d", "test")], "id string, split string")
+    calls.clear()
+
+    def appended(self, number, parts):
+        if not calls:
+            calls.append(number)
+            two.append(log_rows(spark, ("d", "test", True, 4)))
+        return plain(self, number, parts)
+
+    monkeypatch.setattr(decision_log.DecisionLog, "_commit", appended)
+    assert one.compact(queue) == 2  # what was appended meanwhile stays beside them
+    assert {r["id"] for r in one.read().collect()} == {"a", "b", "d"}
+    calls.clear()
+
+    def compacted(self, number, parts):
+        if not calls:
+            calls.append(number)
+            two.compact(queue)
+        return plain(self, number, parts)
+
+    monkeypatch.setattr(decision_log.DecisionLog, "_commit", compacted)
+    with pytest.raises(RuntimeError):
+        one.compact(queue)
+    assert {r["id"] for r in one.read().collect()} == {"a", "b", "d"}

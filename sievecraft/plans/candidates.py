@@ -27,9 +27,12 @@ from sievecraft.operators.filters import (
 )
 from sievecraft.operators.guards import leak_counts, lineage_integrity, require_full_history
 from sievecraft.operators.joins import lookup_join, small_row_count
-from sievecraft.schemas import PROVENANCE
+from sievecraft.schemas import CANDIDATES, PROVENANCE
 from sievecraft.sources.writers import (
+    delete_path,
     require_distinct_paths,
+    staged,
+    staging_path,
     write_candidates,
     write_provenance,
 )
@@ -41,14 +44,14 @@ class Build:
     accepted) and `early_reason`, the part of it that needs no changed paths; the other tables
     derive from it. All are lazy, and whatever a consumer leaves out is not computed: counts and
     lineage never read the diffs. `texts` holds the diffs of commits that may be accepted; they
-    join the accepted ones by the commit key, whatever the size of the lookups."""
+    join the accepted ones by the commit key, whatever the size of the lookups. Subjects are still as they came here."""
 
     labelled: DataFrame
     texts: DataFrame
 
     @property
     def decided(self) -> DataFrame:
-        return self.labelled.drop("early_reason")
+        return _with_subjects(self.labelled.drop("early_reason"))
 
     @property
     def accepted(self) -> DataFrame:
@@ -73,22 +76,26 @@ class Build:
 
     @property
     def leaks(self) -> DataFrame:
-        return leak_counts(self.with_texts)
+        return leak_counts(_with_subjects(self.with_texts))
 
     @property
-    def candidates(self) -> DataFrame:
+    def rows(self) -> DataFrame:
+        """Accepted commits with the columns of both outputs."""
         accepted = self.with_texts
         known = F.col("patch_id") if "patch_id" in accepted.columns else F.lit(None)
         return accepted.select(
-            "id",
-            "repository_group_id",
-            "subject",
+            *PROVENANCE.names,
+            normalise_subject(F.col("subject")).alias("subject"),
             normalise_patch_text(F.col("diff")).alias("diff"),
             as_utc(F.col("committed_at")).alias("committed_at_utc"),
             # The raw diff, as the ready-made ids are made from it too.
             F.coalesce(known, patch_fingerprint(F.col("diff"))).alias("patch_id"),
         )
 
+    @property
+    def candidates(self) -> DataFrame:
+        return self.rows.select(*CANDIDATES.names)
+
     @property
     def provenance(self) -> DataFrame:
         return self.accepted.select(*PROVENANCE.names)
@@ -102,6 +109,11 @@ class Build:
         return build_totals(self.labelled)
 
 
+def _with_subjects(rows: DataFrame) -> DataFrame:
+    """Subjects in their final form: after all joins, as Spark forgets how rows are partitioned when Python has seen them."""
+    return rows.withColumn("subject", normalise_subject(F.col("subject")))
+
+
 def _author_keys(allowed: DataFrame) -> DataFrame:
     keys = (
         allowed.select(identity_key(F.col("author_email")).alias("author_key"))
@@ -183,7 +195,6 @@ def build_candidates(
     late = change_reason(F.col("path_count"), F.col("has_binary"), F.col("generated_only"))
     described = (
         placed.withColumn("early_reason", early)
-        .withColumn("subject", normalise_subject(F.col("subject")))
         .withColumn("id", candidate_id(F.col("repository_group_id"), F.col("commit_sha")))
     )
     labelled = (
@@ -199,14 +210,26 @@ def write_build(
 ) -> dict[str, int]:
     """Write lineage, then candidates; returns counts by reason, and `accepted`.
 
+    Without `partitions`, both come from one staging table beside the lineage, which is private too: the build is
+    computed once, and that write observes the sizes by which the outputs are laid out.
+
     Counted by an aggregate of its own rather than by metrics of the write: retried tasks would
     count twice there. What was written is read back and checked, so that a source that grows
     between the passes is noticed.
     """
     require_distinct_paths(candidates_path, provenance_path)
-    write_provenance(build.provenance, provenance_path, partitions)
-    write_candidates(build.candidates, candidates_path, partitions)
     spark = build.labelled.sparkSession
+    if partitions is not None:
+        write_provenance(build.provenance, provenance_path, partitions)
+        write_candidates(build.candidates, candidates_path, partitions)
+    else:
+        stage = staging_path(provenance_path)
+        try:
+            rows, counts = staged(build.rows, stage, {"candidates": CANDIDATES, "provenance": PROVENANCE})
+            write_provenance(rows.select(*PROVENANCE.names), provenance_path, counts["provenance"])
+            write_candidates(rows.select(*CANDIDATES.names), candidates_path, counts["candidates"])
+        finally:
+            delete_path(spark, stage)
     found = lineage_integrity(
         spark.read.parquet(candidates_path), spark.read.parquet(provenance_path)
     ).first()

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sievecraft.functions.text import casefold
 from sievecraft.operators.guards import enforce_schema
-from sievecraft.schemas import CANDIDATES, DECISIONS, PROVENANCE, SPLIT_ROWS
+from sievecraft.schemas import CANDIDATES, PROVENANCE, SPLIT_ROWS
 
 # `candidate_` comes before the hex digits of an id.
 _ID_DIGITS_AT = len("candidate_") + 1
@@ -20,18 +21,40 @@ FILE_BYTES = 256 * 1024 * 1024
 FILE_RECORDS = 5_000_000
 
 
-def _sorted_by_id(df: DataFrame, partitions: int | None) -> DataFrame:
+def _text_bytes(names: list[str]) -> Column:
+    texts = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in names]
+    return F.sum(sum(texts, F.lit(16)))
+
+
+def staged(df: DataFrame, path: str, tables: Mapping[str, T.StructType]) -> tuple[DataFrame, dict[str, int]]:
+    """The rows written once to a new folder at `path`, and how many files each of the tables made of them should have.
+
+    The bytes of text of each table are observed by the write itself, so nothing is computed twice to lay the tables out.
+    """
+    spark = df.sparkSession
+    sizes = Observation()
+    texts = {
+        name: _text_bytes([f.name for f in schema.fields if isinstance(f.dataType, T.StringType)])
+        for name, schema in tables.items()
+    }
+    rows = df.observe(sizes, *[size.alias(name) for name, size in texts.items()])
+    rows.write.option("compression", "zstd").parquet(path)
+    partitions = {name: 1 + (size or 0) // FILE_BYTES for name, size in sizes.get.items()}
+    return spark.read.schema(df.schema).parquet(path), partitions
+
+
+def staging_path(path: str) -> str:
+    """A folder beside an output, on the same file system."""
+    return f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+
+
+def _sorted_by_id(df: DataFrame, partitions: int) -> DataFrame:
     """Total order by id over all files.
 
     Ids are hashes, so equal shares of their value range are equal shares of the rows: the target
     partition follows from the leading digits, with no sampling run over the whole input. An id of
-    another form is an error. Without `partitions`, one pass measures the rows, and each partition
-    gets about FILE_BYTES of text.
+    another form is an error.
     """
-    if partitions is None:
-        texts = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
-        size = df.agg(F.sum(sum(texts, F.lit(16)))).first()[0] or 0
-        partitions = 1 + size // FILE_BYTES
     row_id = F.when(F.col("id").rlike(_ID_FORM), F.col("id")).otherwise(
         F.raise_error(F.concat(F.lit("not the form of an id: "), F.col("id")))
     )
@@ -40,6 +63,20 @@ def _sorted_by_id(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartitionById(partitions, target).sortWithinPartitions("id")
 
 
+def _write_sorted(df: DataFrame, schema: T.StructType, path: str, partitions: int | None, mode: str) -> None:
+    """Without `partitions`, the rows are staged first, and a file gets about FILE_BYTES of text."""
+    rows = enforce_schema(df, schema)
+    if partitions is not None:
+        _write(_sorted_by_id(rows, partitions), path, mode)
+        return
+    stage = staging_path(path)
+    try:
+        written, counts = staged(rows, stage, {"rows": schema})
+        _write(_sorted_by_id(enforce_schema(written, schema), counts["rows"]), path, mode)
+    finally:
+        delete_path(df.sparkSession, stage)
+
+
 def _write(rows: DataFrame, path: str, mode: str) -> None:
     options = {"compression": "zstd", "maxRecordsPerFile": FILE_RECORDS}
     rows.write.mode(mode).options(**options).parquet(path)
@@ -49,14 +86,14 @@ def write_candidates(
     df: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite"
 ) -> None:
     """Candidates as zstd Parquet in id order, in place of an earlier run's."""
-    _write(_sorted_by_id(enforce_schema(df, CANDIDATES), partitions), path, mode)
+    _write_sorted(df, CANDIDATES, path, partitions, mode)
 
 
 def write_provenance(
     df: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite"
 ) -> None:
     """The private lineage table, laid out like the candidates."""
-    _write(_sorted_by_id(enforce_schema(df, PROVENANCE), partitions), path, mode)
+    _write_sorted(df, PROVENANCE, path, partitions, mode)
 
 
 def require_distinct_paths(candidates_path: str, provenance_path: str) -> None:
@@ -121,12 +158,6 @@ def write_scan_report(
     _write_text(repositories.sparkSession, f"{directory}/totals.json", report_json(report))
 
 
-def append_decisions(df: DataFrame, path: str) -> None:
-    """Add decisions to the log; readers take the last one on each id."""
-    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in DECISIONS.fields])
-    rows.write.mode("append").option("compression", "zstd").parquet(path)
-
-
 def write_reviewed(reviewed: DataFrame, directory: str) -> dict[str, int]:
     """Reviewed splits as zstd Parquet; returns the rows written per split."""
     write_splits(reviewed, directory)

@@ -1,0 +1,215 @@
+"""Bucketed histories, groups kept between runs, sizes observed while staging, exports without line ends."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from sievecraft import build_candidates, write_build
+from sievecraft.operators import ordering
+from sievecraft.plans import candidates as plan, incremental
+from sievecraft.schemas import CANDIDATES, PROVENANCE
+from sievecraft.sources import buckets, readers, writers
+from tests.test_build import ME, _split_changes, commits, repositories  # noqa: F401
+from tests.test_prepare import HOT, expected_splits, frame, make_rows
+
+
+@pytest.fixture
+def table(spark):
+    """A name of a table, dropped after the test with what begins like it."""
+    name = f"t{uuid.uuid4().hex}"
+    yield name
+    for found in spark.catalog.listTables(pattern=f"{name}*"):
+        spark.sql(f"DROP TABLE {found.name}")
+
+
+def explained(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+# --- buckets ----------------------------------------------------------------------------------
+
+
+def test_a_bucketed_history_is_built_without_a_shuffle(spark, commits, repositories, table):  # noqa: F811
+    rest, changes = _split_changes(commits)
+    buckets.write_history(rest, changes, table, 4)
+    expected = build_candidates(repositories, commits, [ME])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # these tables are small, others are not
+    try:
+        build = build_candidates(repositories, *_from(spark, table))
+        for name in ("candidates", "provenance", "decided"):
+            got, want = getattr(build, name), getattr(expected, name)
+            assert "hashpartitioning(repository_path" not in explained(got)
+            assert sorted(map(str, got.select(sorted(got.columns)).collect())) == sorted(
+                map(str, want.select(sorted(want.columns)).collect())
+            )
+        plain = build_candidates(repositories, rest, [ME], changes)
+        assert "hashpartitioning(repository_path" in explained(plain.candidates)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _from(spark, table):
+    rest, changes = buckets.read_history(spark, table)
+    return rest, [ME], changes
+
+
+def test_buckets_can_be_replaced_and_added_to(spark, commits, table):  # noqa: F811
+    rest, changes = _split_changes(commits)
+    buckets.write_history(rest, changes, table, 3)
+    buckets.write_history(rest, changes, table, 3)
+    assert buckets.read_history(spark, table)[0].count() == rest.count()
+    buckets.write_history(rest.limit(0), changes.limit(0), table, 3, "append")
+    assert buckets.read_history(spark, table)[1].count() == changes.count()
+
+
+# --- groups kept between runs -----------------------------------------------------------------
+
+
+def winners(log):
+    return {tuple(row) for row in log.winners().select("group_key", "committed_at_utc", "id").collect()}
+
+
+def deduplicated(df):
+    rows = ordering.dedup_earliest(ordering.with_group_key(df))
+    return {tuple(row) for row in rows.select("group_key", "committed_at_utc", "id").collect()}
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_runs_equal_one_over_all_rows(spark, table, order):
+    rows = make_rows(400, copies=200)
+    log = incremental.GroupLog(spark, table, buckets=4)
+    assert winners(log) == set()
+    for part in [rows[k::3] for k in range(3)][::order]:
+        log.add(frame(spark, part))
+    assert winners(log) == deduplicated(frame(spark, rows))
+    kept = {row["id"] for row in log.winners().collect()}
+    assert kept == set(expected_splits(rows))
+    size = spark.table(table).count()
+    log.add(frame(spark, rows))  # a run that is repeated adds nothing
+    assert spark.table(table).count() == size
+    assert winners(incremental.GroupLog(spark, table)) == winners(log)
+
+
+def test_the_old_rows_are_not_shuffled(spark, table):
+    log = incremental.GroupLog(spark, table, buckets=4)
+    log.add(frame(spark, make_rows(50)))
+    assert "Exchange" not in explained(log.winners())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = explained(log.gained(frame(spark, make_rows(50, seed=2))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    indent = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines = text.splitlines()
+    at = next(k for k, line in enumerate(lines) if table in line)
+    depth, above = indent(lines[at]), []
+    for line in reversed(lines[:at]):
+        if indent(line) < depth:
+            depth = indent(line)
+            above.append(line)
+    assert "Exchange" in text and above and not any("Exchange" in line for line in above)
+
+
+def test_a_log_is_of_one_window(spark, table):
+    rows = make_rows(200, copies=60)
+    since = dt.datetime(2024, 2, 1, tzinfo=dt.UTC)
+    log = incremental.GroupLog(spark, table, since, buckets=2)
+    log.add(frame(spark, rows[::2]))
+    log.add(frame(spark, rows[1::2]))
+    inside = [row for row in rows if row[4] >= HOT]
+    assert 0 < len(inside) < len(rows)
+    assert winners(log) == deduplicated(frame(spark, inside))
+    with pytest.raises(ValueError, match="window"):
+        incremental.GroupLog(spark, table)
+
+
+# --- staging ----------------------------------------------------------------------------------
+
+
+def test_a_build_is_computed_once(spark, commits, repositories, tmp_path, monkeypatch):  # noqa: F811
+    """Every diff is fingerprinted once, though the sizes of the outputs were not known."""
+    calls = spark.sparkContext.accumulator(0)
+    plain = plan.patch_fingerprint
+
+    @F.udf("string")
+    def counted(diff):
+        calls.add(1)
+        return diff
+
+    monkeypatch.setattr(plan, "patch_fingerprint", lambda diff: plain(counted(diff)))
+    build = build_candidates(repositories, commits, [ME])
+    paths = [str(tmp_path / name) for name in ("candidates", "provenance")]
+    counts = write_build(build, *paths)
+    assert calls.value == counts["accepted"] == 3
+    assert sorted(file.name for file in tmp_path.iterdir()) == ["candidates", "provenance"]
+    assert set(spark.read.parquet(paths[0]).columns) == set(CANDIDATES.names)
+    assert set(spark.read.parquet(paths[1]).columns) == set(PROVENANCE.names)
+
+
+def test_observed_sizes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "FILE_BYTES", 1_000)
+    rows = frame(spark, make_rows(60))
+    _, parts = writers.staged(rows, str(tmp_path / "s"), {"rows": CANDIDATES})
+    size = sum(16 + sum(len(str(value).encode()) for value in row) for row in rows.collect())
+    assert parts == {"rows": 1 + size // 1_000}
+    _, none = writers.staged(rows.limit(0), str(tmp_path / "n"), {"rows": CANDIDATES})
+    assert none == {"rows": 1}
+
+
+# --- exports ----------------------------------------------------------------------------------
+
+
+def exported(rows):
+    return "".join("".join(f"{field}\0" for field in row) for row in rows).encode()
+
+
+EXPORT = [
+    ("/r/one\ntwo", "a1", "p1 p2", "line one\nline two", "A\r\nB", "a@x", "2024-01-01T00:00:00Z"),
+    ("/r/", "a2", "", "", "", "", ""),
+    ("/r/é", "a3", "p1", "x" * 5_000, "C", "c@x", "2024-01-01T00:00:00Z\n"),
+]
+
+
+@pytest.mark.parametrize("split", ["128m", "700"])
+def test_export_without_line_ends(spark, tmp_path, split):
+    """Fields may hold line ends, and records may lie across splits."""
+    rows = [(*row[:1], f"{row[1]}-{k}", *row[2:]) for k in range(40) for row in EXPORT]
+    folder = tmp_path / "export"
+    folder.mkdir()
+    (folder / "one").write_bytes(exported(rows[:70]))
+    (folder / "two").write_bytes(exported(rows[70:]))
+    (folder / "none").write_bytes(b"")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = readers.read_commit_export(spark, str(folder))
+        assert read.columns == ["repository_path", "commit_sha", "parents", "subject", "author_name", "author_email", "committed_at"]
+        if split != "128m":
+            assert spark.read.option("lineSep", "\0").text(str(folder)).rdd.getNumPartitions() > 8
+        got = sorted(tuple(row) for row in read.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == sorted((*row[:2], row[2].split(), *row[3:6], row[6].rstrip("\n")) for row in rows)
+
+
+def test_an_export_with_missing_fields_is_an_error(spark, tmp_path):
+    path = tmp_path / "bad"
+    path.write_bytes(exported(EXPORT) + b"/r/x\0a9\0")
+    with pytest.raises(PySparkException, match="fields are missing"):
+        readers.read_commit_export(spark, str(path)).collect()
+
+
+def test_fields_are_numbered_without_one_task(spark, tmp_path):
+    """Windows run over the splits, never over the fields."""
+    path = tmp_path / "one"
+    path.write_bytes(exported(EXPORT))
+    text = explained(readers.read_commit_export(spark, str(path)))
+    assert "SinglePartition" not in text
+    window = text[text.index("Window") :]
+    assert "HashAggregate" in window

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievecraft.functions import keys, paths, text
-from sievecraft.operators import aggregates, changes, filters, guards, ordering
+from sievecraft.operators import aggregates, changes, filters, guards, languages, ordering, patterns
 from sievecraft.plans import candidates as build, prepare, review, scan
 from sievecraft.sources import readers
 from workloads import views
@@ -175,6 +175,18 @@ def glob_filter(spark, sf_dir):
     )
 
 
+@query(
+    "glob_table",
+    f"""WITH {views.PAGE_PATTERNS}
+        SELECT page_id, pattern FROM pages JOIN page_patterns ON regexp_full_match(lower(url), re, 's')""",
+)
+def glob_table(spark, sf_dir):
+    """Every page with every pattern of a table that its URL matches."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = patterns.glob_matches(pages, views.page_patterns(spark, sf_dir), "url")
+    return found.select("page_id", "pattern")
+
+
 @query(
     "path_candidates",
     rf"""WITH {views.PAGE_REPOSITORIES}
@@ -277,6 +289,49 @@ def language_counts(spark, sf_dir):
     return aggregates.language_counts(views.patches(spark, sf_dir))
 
 
+_TOKENS = r"regexp_extract_all({}, '[\p{{L}}_][\p{{L}}\p{{N}}_]*|[^\s\p{{L}}\p{{N}}_]')"
+
+
+@query(
+    "content_languages",
+    rf"""WITH {views.PATCHES}, languages(ending, language) AS (VALUES {_LANGUAGE_ROWS}),
+         files AS (
+           SELECT doc_id, coalesce(language, 'unknown') AS named, text AS content
+           FROM documents LEFT JOIN languages ON ending = CASE lang {" ".join(
+               f"WHEN '{a}' THEN '{b}'" for a, b in views.EXTENSIONS.items())} END
+         ), taught AS (SELECT * FROM files WHERE named <> 'unknown' AND doc_id % 5 <> 0
+         ), sizes AS (SELECT named AS language, count(*) AS files FROM taught GROUP BY named
+         ), starts AS (
+           SELECT *, CAST(round(ln(files / (SELECT sum(files) FROM sizes)) * 1000) AS BIGINT) AS start,
+                  CAST(round(ln(1 / (files + 2)) * 1000) AS BIGINT) AS absent FROM sizes
+         ), counts AS (
+           SELECT language, token, count(*) AS n FROM (
+             SELECT named AS language, unnest(list_distinct({_TOKENS.format("content")})) AS token FROM taught) GROUP BY ALL
+         ), gains AS (
+           SELECT language, token, CAST(round(ln((n + 1) / (files + 2)) * 1000) AS BIGINT) - absent AS gain
+           FROM counts JOIN starts USING (language)
+         ), held AS (
+           SELECT doc_id, token FROM (
+             SELECT doc_id, unnest(list_distinct({_TOKENS.format("content")})) AS token FROM files)
+           SEMI JOIN counts USING (token)
+         ), scores AS (
+           SELECT doc_id, language, start + n * absent + coalesce(sum, 0) AS score
+           FROM (SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id) CROSS JOIN starts
+           LEFT JOIN (SELECT doc_id, language, sum(gain) AS sum FROM held JOIN gains USING (token) GROUP BY ALL)
+           USING (doc_id, language))
+         SELECT doc_id, named, doc_id % 5 = 0 AS held_out, guess FROM files LEFT JOIN (
+           SELECT doc_id, first(language ORDER BY score DESC, language) AS guess FROM scores GROUP BY doc_id) USING (doc_id)""",
+)
+def content_languages(spark, sf_dir):
+    """The language of each patch's first file by its content alone, learned from four fifths of the named ones."""
+    sections = languages.file_sections(views.patches(spark, sf_dir).drop("split"))
+    files = sections.filter(F.col("file").startswith("docs/")).withColumn("named", text.guess_language(F.col("file")))
+    model = languages.learned(files.filter(F.col("doc_id") % 5 != 0), "named")
+    guesses = languages.guessed_languages(files, model, "doc_id").withColumnRenamed("language", "guess")
+    rows = files.select("doc_id", "named", (F.col("doc_id") % 5 == 0).alias("held_out"))
+    return rows.join(guesses, "doc_id", "left")
+
+
 @query(
     "group_key",
     """SELECT doc_id, CASE WHEN doc_id % 5 < 2 THEN 'id:' || doc_id ELSE sha256(text) END AS group_key
@@ -348,8 +403,8 @@ def review_prompt(spark, sf_dir):
     "commit_log",
     f"""WITH {views.COMMITS}
         SELECT repository_path, commit_sha, CASE WHEN merge THEN 2 ELSE 1 END AS parent_count,
-               sha1(CAST(o_orderkey - 1 AS VARCHAR)) AS first_parent, author_name,
-               trim(author_email, ' ' || chr(9)) AS author_email FROM commits""",
+               sha1(CAST(o_orderkey - 1 AS VARCHAR)) AS first_parent, subject, author_name,
+               trim(author_email, ' ' || chr(9)) AS author_email, committed_at_utc FROM commits""",
 )
 def commit_log(spark, sf_dir):
     commits = views.commits(spark, sf_dir)
@@ -363,8 +418,10 @@ def commit_log(spark, sf_dir):
         "commit_sha",
         F.size("parents").alias("parent_count"),
         F.element_at("parents", 1).alias("first_parent"),
+        text.squeeze(F.col("subject")).alias("subject"),
         "author_name",
         "author_email",
+        text.as_utc(F.col("committed_at")).alias("committed_at_utc"),
     )
 
 
@@ -395,17 +452,22 @@ def parse_numstat(spark, sf_dir):
 
 @query(
     "inline_change_stats",
-    f"""WITH {views.LINE_CHANGES}
-        SELECT o_orderkey, l_linenumber, path, CAST(2 AS BIGINT) AS path_count, is_binary AS has_binary,
-               false AS generated_only FROM line_changes""",
+    f"""WITH {views.LINE_CHANGES}, listed AS (
+          SELECT *, path LIKE 'dist/%' OR path LIKE '%.min.js' AS generated FROM line_changes)
+        SELECT o_orderkey, count(path) AS path_count, coalesce(bool_or(is_binary), false) AS has_binary,
+               coalesce(bool_and(generated), false) AS generated_only
+        FROM orders LEFT JOIN listed USING (o_orderkey) GROUP BY o_orderkey""",
 )
 def inline_change_stats(spark, sf_dir):
-    rows = _numstat(spark, sf_dir)
-    first = F.regexp_extract("numstat", r"\A[^\t]*\t0\t([^\x00]*)", 1)
-    return rows.select(
-        "o_orderkey", "l_linenumber", first.alias("path"),
-        changes.inline_change_stats(F.col("numstat")).alias("s"),
-    ).select("o_orderkey", "l_linenumber", "path", "s.*")
+    """One text for each order, of an entry for each of its lines: none, some or all of them generated."""
+    added = F.when(F.col("is_binary"), F.lit("-")).otherwise(F.col("added").cast("string"))
+    entry = F.concat(added, F.lit("\t0\t"), F.col("path"), F.lit(keys.NUL))
+    lines = views.line_changes(spark, sf_dir).groupBy("o_orderkey").agg(
+        F.array_join(F.sort_array(F.collect_list(entry)), "").alias("numstat")
+    )
+    rows = table(spark, sf_dir, "orders").select("o_orderkey").join(lines, "o_orderkey", "left")
+    stats = changes.inline_change_stats(F.coalesce("numstat", F.lit("")))
+    return rows.select("o_orderkey", stats.alias("s")).select("o_orderkey", "s.*")
 
 
 @query("patch_text", "SELECT doc_id, chr(65533) || text || '  ' AS diff FROM documents")
@@ -494,6 +556,37 @@ def repository_status(spark, sf_dir):
     return ordered.select("path", "status", "shallow")
 
 
+@query(
+    "repository_status_tables",
+    rf"""WITH {views.PAGE_REPOSITORIES}, {views.PAGE_PATTERNS}, slugs AS (
+           SELECT path, unnest(list_transform(urls, lambda url:
+               lower(rtrim(regexp_extract(rtrim(url, '/'), '^[a-z]+://([^?#]*)', 1), '/')))) AS slug
+           FROM page_repositories
+         ), by_path AS (
+           SELECT DISTINCT path FROM page_repositories JOIN nation
+           ON split_part(path, '/', -1) LIKE '_' || n_nationkey || '_' OR path LIKE '%/en/' || n_nationkey || '%'
+         ), by_remote AS (
+           SELECT DISTINCT path FROM slugs JOIN page_patterns ON regexp_full_match('https://' || slug, re, 's')
+           WHERE pattern LIKE 'HTTP%' AND hash_of_pattern(pattern))
+         SELECT path, CASE WHEN path IN (FROM by_path) THEN 'ignored_path'
+                           WHEN path IN (FROM by_remote) THEN 'ignored_remote' ELSE 'included' END AS status
+         FROM page_repositories""".replace("AND hash_of_pattern(pattern)", "AND length(pattern) % 3 = 0"),
+)
+def repository_status_tables(spark, sf_dir):
+    """Both ignore lists are tables; the hosts of a third of the patterns are ignored remotes."""
+    number = F.col("n_nationkey").cast("string")
+    nation = table(spark, sf_dir, "nation")
+    by_path = nation.select(F.concat(F.lit("?"), number, F.lit("?")).alias("pattern")).unionByName(
+        nation.select(F.concat(F.lit("*/en/"), number, F.lit("*")).alias("pattern"))
+    )
+    globs = views.page_patterns(spark, sf_dir).filter(
+        F.col("pattern").startswith("HTTP") & (F.length("pattern") % 3 == 0)
+    )
+    by_remote = globs.select(F.replace("pattern", F.lit("HTTP*://"), F.lit("")).alias("pattern"))
+    statuses = scan.with_status(views.page_repositories(spark, sf_dir), ["/srv"], by_path, by_remote)
+    return statuses.select("path", "status")
+
+
 # --- joins and the candidate build ------------------------------------------------------------
 
 
@@ -609,14 +702,26 @@ def commit_lineage(spark, sf_dir):
 
 @query(
     "lineage_integrity",
-    f"""WITH {views.DECIDED}
-        SELECT count(*) AS candidates, count(*) AS provenance,
-               CAST(0 AS BIGINT) AS without_provenance, CAST(0 AS BIGINT) AS without_candidate,
-               CAST(0 AS BIGINT) AS repeated_ids FROM decided WHERE reason IS NULL""",
+    f"""WITH {views.DECIDED}, sides AS (
+          SELECT substr(id, 11, 1) AS digit, id FROM decided WHERE reason IS NULL
+        ), left_rows AS (
+          SELECT id FROM sides WHERE digit NOT IN ('0', '1') UNION ALL SELECT id FROM sides WHERE digit = '2'
+        ), right_rows AS (
+          SELECT id FROM sides WHERE digit NOT IN ('1', '3') UNION ALL SELECT id FROM sides WHERE digit IN ('2', '4'))
+        SELECT (SELECT count(*) FROM left_rows) AS candidates, (SELECT count(*) FROM right_rows) AS provenance,
+               (SELECT count(*) FROM sides WHERE digit = '3') AS without_provenance,
+               (SELECT count(*) FROM sides WHERE digit = '0') AS without_candidate,
+               (SELECT count(*) FROM sides WHERE digit IN ('2', '4')) AS repeated_ids""",
 )
 def lineage_integrity(spark, sf_dir):
+    """A damaged pair: known by the first digit of their id, rows are left out or repeated on either side."""
     built = _build(spark, sf_dir)
-    return guards.lineage_integrity(built.candidates, built.provenance)
+    digit = F.substring("id", 11, 1)
+    left = built.candidates.filter(~digit.isin("0", "1"))
+    right = built.provenance.filter(~digit.isin("1", "3"))
+    return guards.lineage_integrity(
+        left.unionByName(left.filter(digit == "2")), right.unionByName(right.filter(digit.isin("2", "4")))
+    )
 
 
 @query(
@@ -634,6 +739,26 @@ def identity_leaks(spark, sf_dir):
     return _build(spark, sf_dir).leaks
 
 
+@query(
+    "shown_identities",
+    f"WITH {views.SHOWING}, {views.LINEAGE} SELECT id, kind, needle, own FROM shown",
+)
+def shown_identities(spark, sf_dir):
+    """Private values of any document's lineage in any text."""
+    return guards.shown_identities(views.showing(spark, sf_dir), views.lineage(spark, sf_dir))
+
+
+@query(
+    "shown_identity_counts",
+    f"""WITH {views.SHOWING}, {views.LINEAGE}
+        SELECT kind, count(DISTINCT id) AS rows, count(DISTINCT CASE WHEN NOT own THEN id END) AS foreign_rows,
+               count(DISTINCT needle) AS needles FROM shown GROUP BY kind""",
+)
+def shown_identity_counts(spark, sf_dir):
+    shown = guards.shown_identities(views.showing(spark, sf_dir), views.lineage(spark, sf_dir))
+    return guards.shown_identity_counts(shown)
+
+
 # --- scan -------------------------------------------------------------------------------------
 
 _SCANNED = f"""{views.COMMITS}, marked AS (
@@ -733,7 +858,7 @@ def split_events(spark, sf_dir):
     instant = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     key = F.concat(instant, F.lpad(F.col("event_id").cast("string"), 20, "0"))
     events = table(spark, sf_dir, "events")
-    return ordering.chronological_split(events, key, widths=(10, 19), sorted_at_once=500).select(
+    return ordering.chronological_split(events, key, sorted_at_once=500).select(
         "event_id", "split"
     )
 
@@ -745,7 +870,7 @@ def split_orders(spark, sf_dir):
         F.lpad(F.col("o_orderkey").cast("string"), 20, "0"),
     )
     orders = table(spark, sf_dir, "orders")
-    return ordering.chronological_split(orders, key, widths=(7, 10)).select("o_orderkey", "split")
+    return ordering.chronological_split(orders, key).select("o_orderkey", "split")
 
 
 _WINDOWED = f"""{views.CANDIDATES}, windowed AS (
@@ -756,21 +881,30 @@ _WINDOWED = f"""{views.CANDIDATES}, windowed AS (
     SELECT *, row_number() OVER (PARTITION BY patch_id ORDER BY committed_at_utc, id) AS place
     FROM windowed) WHERE place = 1)"""
 
-_FINGERPRINT = """hashes AS (
-  SELECT sha256(to_json({'committed_at_utc': committed_at_utc, 'diff': diff, 'id': id,
-                         'patch_id': patch_id, 'repository_group_id': repository_group_id,
-                         'subject': subject})) AS row_hash FROM kept
-), leaves AS (
-  SELECT substr(row_hash, 1, 4) AS prefix,
-         sha256(string_agg(row_hash, '' ORDER BY row_hash)) AS leaf
-  FROM hashes GROUP BY ALL
+_LANES = range(aggregates.LANES)
+
+
+def _carried_lane(lane: int) -> str:
+    """A lane of the total after carries; lane 0 is the least significant."""
+    return "l0" if lane == 0 else f"(l{lane} + ({_carried_lane(lane - 1)} >> 16))"
+
+
+_TOTAL = " || ".join(f"printf('%04x', {_carried_lane(k)} & 65535)" for k in reversed(_LANES))
+_FINGERPRINT = f"""hashes AS (
+  SELECT sha256(to_json({{'committed_at_utc': committed_at_utc, 'diff': diff, 'id': id,
+                          'patch_id': patch_id, 'repository_group_id': repository_group_id,
+                          'subject': subject}})) AS row_hash FROM kept
+), lanes AS (
+  SELECT count(*) AS n, {", ".join(
+      f"CAST(coalesce(sum(CAST('0x' || substr(row_hash, {61 - 4 * k}, 4) AS BIGINT)), 0) AS BIGINT) AS l{k}" for k in _LANES)}
+  FROM hashes
 ), fingerprints AS (
-  SELECT sha256('%s' || string_agg(leaf, '' ORDER BY prefix)) AS fingerprint FROM leaves)"""
+  SELECT sha256('HEADER' || n || ':' || {_TOTAL}) AS fingerprint FROM lanes)"""
 
 
 @query(
     "dataset_fingerprint",
-    f"""WITH {views.DEDUPLICATED}, {_FINGERPRINT % '{"since":null,"until":null}'}
+    f"""WITH {views.DEDUPLICATED}, {_FINGERPRINT.replace("HEADER", '{"since":null,"until":null}')}
         SELECT fingerprint FROM fingerprints""",
 )
 def dataset_fingerprint(spark, sf_dir):
@@ -781,7 +915,7 @@ def dataset_fingerprint(spark, sf_dir):
 
 @query(
     "source_digest",
-    f"""WITH {views.CANDIDATES}, {_FINGERPRINT.replace("FROM kept", "FROM candidates") % ""}
+    f"""WITH {views.CANDIDATES}, {_FINGERPRINT.replace("FROM kept", "FROM candidates").replace("HEADER", "")}
         SELECT fingerprint AS digest FROM fingerprints""",
 )
 def source_digest(spark, sf_dir):
@@ -793,7 +927,7 @@ _BOUNDS = f'{{"since":"{SINCE.isoformat()}","until":"{UNTIL.isoformat()}"}}'
 
 @query(
     "prepare_manifest",
-    f"""WITH {_WINDOWED}, {_FINGERPRINT % _BOUNDS}, sizes AS (SELECT count(*) AS n FROM kept)
+    f"""WITH {_WINDOWED}, {_FINGERPRINT.replace("HEADER", _BOUNDS)}, sizes AS (SELECT count(*) AS n FROM kept)
         SELECT (SELECT count(*) FROM candidates) AS source_count,
                (SELECT count(*) FROM windowed) AS filtered_count, n AS deduplicated_count,
                n * 8 // 10 AS train_rows, n * 9 // 10 - n * 8 // 10 AS validation_rows,
@@ -941,6 +1075,28 @@ def review_batch(spark, sf_dir):
     return review.review_batch(review.audit_queue(splits), log, required=QUOTA, k=QUEUE_ROWS)
 
 
+@query(
+    "review_batch_next",
+    f"""WITH {views.SPLITS}, {views.DECISIONS}, approvals AS (
+          SELECT s.split, count(*) FILTER (approved) AS n
+          FROM splits s LEFT JOIN decisions d ON s.id = d.id WHERE s.split <> 'train' GROUP BY s.split
+        ), active AS (
+          SELECT split FROM approvals WHERE n < (SELECT n FROM approvals WHERE split = 'validation')
+        ), ranked AS (
+          SELECT split, id, subject, diff, CAST(row_number() OVER (
+                   ORDER BY committed_at_utc, id) AS INTEGER) AS position
+          FROM splits SEMI JOIN active USING (split) WHERE id NOT IN (SELECT id FROM decisions))
+        SELECT * FROM ranked WHERE position <= {QUEUE_ROWS}""",
+)
+def review_batch_next(spark, sf_dir):
+    """As many approvals are required as validation has, so that test is next unless it has them too."""
+    queue = review.audit_queue(_splits(spark, sf_dir))
+    log = views.decisions(spark, sf_dir)
+    counts = review.approval_counts(queue, readers.latest_decisions(log))
+    required = counts.filter(F.col("split") == "validation").first()["approved"]
+    return review.review_batch(queue, log, required=required, k=QUEUE_ROWS)
+
+
 @query(
     "approval_counts",
     f"""WITH {views.SPLITS}, {views.DECISIONS}

@@ -307,3 +307,101 @@ def page_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAGE_REPOSITORIES = """page_repositories AS (
   SELECT '/srv/' || regexp_extract(url, '^[a-z]+://([^?#]*)', 1) AS path, list(DISTINCT url) AS urls,
          bool_or(page_id % 10 = 0) AS shallow FROM pages GROUP BY path)"""
+
+
+def page_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A glob from each page's URL, of five forms, and one without a letter for each nation."""
+    pages = table(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", "://([^/]*)", 1)
+    lang = F.regexp_extract("url", "/([a-z]{2})/", 1)
+    number = F.regexp_extract("url", "/([0-9]+)", 1)
+    kind = F.col("page_id") % 5
+    glob = (
+        F.when(kind == 0, _line("HTTP*://", F.upper(host), "/*"))
+        .when(kind == 1, _line("*/", lang, "/", F.substring(number, 1, 2), "?*"))
+        .when(kind == 2, _line("*/[!a-d]?/", number, "*"))
+        .when(kind == 3, _line("*", number))
+        .otherwise(_line("*", F.substring(host, 3, 7), "*", lang, "*[0-4]"))
+    )
+    marks = table(spark, sf_dir, "nation").select(
+        _line(F.expr("repeat('?', 20 + n_nationkey)"), F.when(F.col("n_nationkey") == 24, "*").otherwise("")).alias("pattern")
+    )
+    return pages.select(glob.alias("pattern")).unionByName(marks)
+
+
+PAGE_PATTERNS = """page_parts AS (
+  SELECT page_id % 5 AS kind, regexp_extract(url, '://([^/]*)', 1) AS host,
+         regexp_extract(url, '/([a-z]{2})/', 1) AS lang, regexp_extract(url, '/([0-9]+)', 1) AS num FROM pages
+), page_patterns AS (
+  SELECT DISTINCT CASE kind WHEN 0 THEN 'HTTP*://' || upper(host) || '/*'
+                            WHEN 1 THEN '*/' || lang || '/' || substr(num, 1, 2) || '?*'
+                            WHEN 2 THEN '*/[!a-d]?/' || num || '*'
+                            WHEN 3 THEN '*' || num
+                            ELSE '*' || substr(host, 3, 7) || '*' || lang || '*[0-4]' END AS pattern,
+         CASE kind WHEN 0 THEN 'http.*://' || replace(host, '.', '[.]') || '/.*'
+                   WHEN 1 THEN '.*/' || lang || '/' || substr(num, 1, 2) || '..*'
+                   WHEN 2 THEN '.*/[^a-d]./' || num || '.*'
+                   WHEN 3 THEN '.*' || num
+                   ELSE '.*' || replace(substr(host, 3, 7), '.', '[.]') || '.*' || lang || '.*[0-4]' END AS re
+  FROM page_parts
+  UNION SELECT repeat('?', 20 + n_nationkey) || CASE n_nationkey WHEN 24 THEN '*' ELSE '' END,
+               '.{' || (20 + n_nationkey) || CASE n_nationkey WHEN 24 THEN ',}' ELSE '}' END FROM nation)"""
+
+
+def showing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates some of which show private values, their own or those of another document."""
+    number = F.col("doc_id")
+    sha = lambda n: F.sha1(n.cast("string"))
+    extra = (
+        F.when(number % 7 == 0, _line("\nby ", F.upper(_email(number + 5)), ">"))
+        .when(number % 11 == 0, _line("\nin /srv/repos/src", (number * 3 % 20).cast("string"), "/x"))
+        .when(number % 13 == 0, _line("\nof x", sha(number + 1), "y"))
+        .when(number % 17 == 0, _line("\nof ", sha(number), "\nat git@host.org:team/src", (number % 23).cast("string"), ".git"))
+        .otherwise("")
+    )
+    return table(spark, sf_dir, "documents").select(
+        doc_key().alias("id"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("subject"),
+        F.concat(F.col("text"), extra).alias("diff"),
+    )
+
+
+def _email(number: Column) -> Column:
+    return _line("Author", (number % 97).cast("string"), "@Mail.Example.com")
+
+
+def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lineage row for each document. One e-mail is the end of another, one path the start of another."""
+    number = F.col("doc_id")
+    email = F.when(number % 5 == 0, F.lit(None)).otherwise(_line(" ", _email(number), "\t"))
+    return table(spark, sf_dir, "documents").select(
+        doc_key().alias("id"),
+        _line("/srv/repos/", F.col("source")).alias("repository_path"),
+        F.array(_line("git@host.org:team/", F.col("source"), ".git"), F.lit("")).alias("remote_urls"),
+        F.sha1(number.cast("string")).alias("commit_sha"),
+        F.when(number % 96 == 1, F.lit("8@mail.example.com")).otherwise(email).alias("author_email"),
+    )
+
+
+_EMAIL_SQL = "lower('author' || ({} % 97) || '@mail.example.com')"
+SHOWING = f"""showing AS (
+  SELECT 'candidate_' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 24) AS id,
+         split_part(text, chr(10), 1) || chr(10) || text ||
+         CASE WHEN doc_id % 7 = 0 THEN chr(10) || 'by ' || upper({_EMAIL_SQL.format("(doc_id + 5)")}) || '>'
+              WHEN doc_id % 11 = 0 THEN chr(10) || 'in /srv/repos/src' || (doc_id * 3 % 20) || '/x'
+              WHEN doc_id % 13 = 0 THEN chr(10) || 'of x' || sha1(CAST(doc_id + 1 AS VARCHAR)) || 'y'
+              WHEN doc_id % 17 = 0 THEN chr(10) || 'of ' || sha1(CAST(doc_id AS VARCHAR)) || chr(10)
+                || 'at git@host.org:team/src' || (doc_id % 23) || '.git'
+              ELSE '' END AS shown FROM documents)"""
+LINEAGE = f"""lineage AS (
+  SELECT 'candidate_' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 24) AS id,
+         unnest([{{'kind': 'author_email', 'needle': CASE WHEN doc_id % 96 = 1 THEN '8@mail.example.com'
+                   WHEN doc_id % 5 <> 0 THEN {_EMAIL_SQL.format("doc_id")} END}},
+                 {{'kind': 'repository_path', 'needle': '/srv/repos/' || source}},
+                 {{'kind': 'commit_sha', 'needle': sha1(CAST(doc_id AS VARCHAR))}},
+                 {{'kind': 'remote_url', 'needle': 'git@host.org:team/' || source || '.git'}}], recursive := true)
+  FROM documents
+), needles AS (SELECT DISTINCT kind, needle FROM lineage WHERE needle <> ''
+), shown AS (
+  SELECT s.id, n.kind, n.needle, EXISTS (FROM lineage l WHERE l.id = s.id AND l.kind = n.kind AND l.needle = n.needle) AS own
+  FROM showing s JOIN needles n ON contains(CASE n.kind WHEN 'author_email' THEN lower(shown) ELSE shown END, n.needle))"""

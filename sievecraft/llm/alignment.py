@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,13 +39,14 @@ def _letters() -> dict[str, int]:
 class _Bytes:
     """Bytes of the tokens of a vocabulary, and the texts of their numbers."""
 
-    def __init__(self, pieces: list[bytes]):
-        self.pieces = pieces
+    def __init__(self, pieces: list[bytes], mark: str):
+        self._objects = np.array(pieces, object)
         self.sizes = np.array([len(x) for x in pieces], np.int64)
         self.inner = np.array([f"{k}," for k in range(len(pieces))], object)
+        self.last = np.array([f"{k}{mark}" for k in range(len(pieces))], object)
 
     def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
+        return b"".join(self._objects[ids].tolist())
 
 
 class Pair:
@@ -64,12 +66,12 @@ class Pair:
         pieces = [b""] * (max(known["model"]["vocab"].values()) + 1)
         for token, number in ranks.items():
             pieces[number] = token
-        self.a = _Bytes(pieces)
+        self.a = _Bytes(pieces, "|")
         # The merges of such a vocabulary are in the order of its ids; special tokens are left out, as their texts are plain.
         self._first = tiktoken.Encoding("of the file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._second = sentencepiece.SentencePieceProcessor(model_proto=second)
         size = self._second.get_piece_size()
-        self.b = _Bytes([self._piece(k) for k in range(size)])
+        self.b = _Bytes([self._piece(k) for k in range(size)], ";")
 
     def _piece(self, number: int) -> bytes:
         piece = self._second.id_to_piece(number)
@@ -81,9 +83,10 @@ class Pair:
         """Ids by both of a space and the text; None if there is no text or either does not give back its bytes."""
         if not text:
             return None
-        a = np.array(self._first.encode_ordinary(" " + text), np.int64)
-        b = np.array(self._second.encode(text), np.int64)
-        whole = (" " + text).encode()
+        text = " " + text
+        ids = self._first.encode_ordinary(text), self._second.encode(text[1:])
+        a, b = (np.frombuffer(array("i", x), np.int32) for x in ids)
+        whole = text.encode()
         if self.a.joined(a) != whole or self.b.joined(b) != whole:
             return None
         return a, b
@@ -133,19 +136,21 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, texts_: np.ndarray) -> np.ndarray:
         low, high = np.concatenate([low[cut], found[cut] + 1]), np.concatenate([found[cut], high[cut]])
 
 
-def _group_text(pair: Pair, a: np.ndarray, b: np.ndarray, a_last: np.ndarray, b_last: np.ndarray) -> str:
-    """`a1,a2|b1;a3|b2,b3` of tokens and the places of the last ones of the groups."""
+def _written_groups(pair: Pair, a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> list[str]:
+    """The ids of all tokens in the order in which groups are written, each with the mark that follows it: `a1,` `a2|` `b1;`."""
     words = np.empty(len(a) + len(b), object)
-    a_group = np.searchsorted(a_last, np.arange(len(a)))
-    b_group = np.searchsorted(b_last, np.arange(len(b)))
-    b_before = np.concatenate([[0], b_last[:-1] + 1])
-    words[np.arange(len(a)) + b_before[a_group]] = pair.a.inner[a]
-    words[np.arange(len(b)) + a_last[b_group] + 1] = pair.b.inner[b]
-    last = np.arange(len(a_last))
-    a_ends, b_ends = a_last + b_before[last], b_last + a_last + 1
-    words[a_ends] = [x[:-1] + "|" for x in words[a_ends].tolist()]
-    words[b_ends] = [x[:-1] + ";" for x in words[b_ends].tolist()]
-    return "".join(words.tolist())[:-1]
+    # Before a group's A tokens come the B tokens of all groups before, and before its B tokens its A tokens too.
+    a_steps = np.zeros(len(a), np.int64)
+    a_steps[a_cuts[:-1] + 1] = np.diff(b_cuts, prepend=-1)[:-1]
+    a_place = np.arange(len(a)) + np.cumsum(a_steps)
+    b_steps = np.zeros(len(b), np.int64)
+    b_steps[np.append(0, b_cuts[:-1] + 1)] = np.diff(a_cuts, prepend=-1)
+    b_place = np.arange(len(b)) + np.cumsum(b_steps)
+    words[a_place] = pair.a.inner[a]
+    words[b_place] = pair.b.inner[b]
+    words[a_place[a_cuts]] = pair.a.last[a[a_cuts]]
+    words[b_place[b_cuts]] = pair.b.last[b[b_cuts]]
+    return words.tolist()
 
 
 _CHUNKS = "chunk long, rows binary, ids binary, at binary, pairs binary, counts binary, digests binary, groups array<string>"
@@ -158,28 +163,31 @@ def _aligned(first, second, digest: bool):
         for batch in texts.slices(batches):
             coded = [pair.encoded(x) for x in batch.column("text").to_pylist()]
             with_ids = [x for x in coded if x is not None]
-            a_all = np.concatenate([x[0] for x in with_ids]) if with_ids else np.zeros(0, np.int64)
-            b_all = np.concatenate([x[1] for x in with_ids]) if with_ids else np.zeros(0, np.int64)
+            a_all = np.concatenate([x[0] for x in with_ids]) if with_ids else np.zeros(0, np.int32)
+            b_all = np.concatenate([x[1] for x in with_ids]) if with_ids else np.zeros(0, np.int32)
             a_ends, b_ends = np.cumsum(pair.a.sizes[a_all]), np.cumsum(pair.b.sizes[b_all])
             a_sizes = np.array([len(x[0]) for x in with_ids], np.int64)
             last = np.cumsum(a_sizes) - 1
             a_cuts = shared_cuts(a_ends, b_ends, last)
             b_cuts = np.searchsorted(b_ends, a_ends[a_cuts])
-            links = a_all[a_cuts] << SHIFT | b_all[b_cuts]
+            links = a_all[a_cuts].astype(np.int64) << SHIFT | b_all[b_cuts]
             pairs, at = np.unique(links, return_inverse=True)
             counts = np.bincount(at, minlength=len(pairs))
             numbers = np.zeros((len(coded), 3), np.int64)  # tokens of A, of B, groups
             groups: list[str] = []
-            a_from = b_from = cut_from = 0
+            words = _written_groups(pair, a_all, b_all, a_cuts, b_cuts) if with_ids else []
+            ends = iter((np.searchsorted(a_cuts, last) + 1).tolist())
+            word_from = cut_from = 0
             for row, known in enumerate(coded):
                 if known is None:
                     groups.append("")
                     continue
                 a, b = known
-                cut_to = int(np.searchsorted(a_cuts, a_from + len(a)))
+                cut_to = next(ends)
                 numbers[row] = len(a), len(b), cut_to - cut_from
-                groups.append(_group_text(pair, a, b, a_cuts[cut_from:cut_to] - a_from, b_cuts[cut_from:cut_to] - b_from))
-                a_from, b_from, cut_from = a_from + len(a), b_from + len(b), cut_to
+                word_to = word_from + len(a) + len(b)
+                groups.append("".join(words[word_from:word_to])[:-1])
+                word_from, cut_from = word_to, cut_to
             digests = [hashlib.sha256(x.encode()).digest() if x else bytes(32) for x in groups] if digest else []
             data = (numbers, batch.column("d").to_numpy(zero_copy_only=False), at.astype(np.uint32), pairs, counts)
             packed = [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in data]

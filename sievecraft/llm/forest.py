@@ -320,8 +320,14 @@ def grown(vectors: DataFrame, k: int, seed: int = 0) -> Forest:
     entries = saved(firsts.groupBy("vector").agg(F.sort_array(F.collect_set("id")).alias("ids")))
     numbers = entries.agg(F.sum(F.size("vector"))).first()[0] or 0
     parts = max(1, -(-8 * numbers // SHARD_BYTES))
-    dealt = entries.repartition(int(parts), F.xxhash64("ids"))
-    return Forest(saved(dealt.mapInArrow(_pack(seed), _SHARD)), k, seed)
+    pack = _pack(seed)
+
+    def packed(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(pack(iter(table.combine_chunks().to_batches()))))
+
+    # Shards follow from the size of the data, not from partitions; a group is one shard's vectors.
+    dealt = entries.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(int(parts))))
+    return Forest(saved(dealt.groupBy("part").applyInArrow(packed, _SHARD)), k, seed)
 
 
 def nearest(

@@ -106,26 +106,25 @@ def _running(rows: DataFrame, key: str, value: str) -> DataFrame:
     return rows.select(key, F.coalesce(before, F.lit(0)).alias("first"))
 
 
-def _lengths(content):
-    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coded(content):
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.slices(batches):
-            encode = encoder(content.value).encode_ordinary
-            sizes = [len(encode(x)) + 1 if x else 0 for x in batch.column("text").to_pylist()]
-            columns = [*(batch.column(x) for x in _AT), pa.array(sizes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*_AT, "size"])
+            ids = _ids(batch.column("text"), content.value)
+            columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in _AT), *columns], names=[*_AT, "size", "ids"])
 
-    return lengths
+    return coded
 
 
 _PARTS = "slot long, sequence long, start int, ids binary"
 
 
-def _cut(content, length: int, sequences: int, key: int):
+def _cut(length: int, sequences: int, key: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in texts.slices(batches):
+        for batch in batches:
             sequence, start, parts = [], [], []
-            for at, ids in zip(batch.column("at").to_pylist(), _ids(batch.column("text"), content.value)):
-                done = 0
+            for at, raw in zip(batch.column("at").to_pylist(), batch.column("ids").to_pylist()):
+                ids, done = np.frombuffer(raw, np.uint16), 0
                 while done < len(ids):
                     number, inside = divmod(at + done, length)
                     part = ids[done : done + length - inside]
@@ -194,12 +193,13 @@ def token_shards(
 
     The order of the stream is that of the paths of files and of rows in them. ids: `length` little-endian 16-bit tokens; the last sequence
     of the stream is filled up with end tokens, which n_tokens does not count. Null and empty texts have no tokens. Only
-    the text is read.
+    the text is read, and tokenised once: its ids are saved, and lengths, cuts and records come from them.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary() if content is None else content)
     rows = _rows(docs)
-    sizes = saved(rows.mapInArrow(_lengths(shared), "file_path string, row_index long, size long"))
+    coded = saved(rows.mapInArrow(_coded(shared), "file_path string, row_index long, size long, ids binary"))
+    sizes = coded.select(*_AT, "size")
     files = _running(sizes.groupBy("file_path").agg(F.count(F.lit(1)).alias("n")), "file_path", "n")
     placed = sizes.join(files, "file_path").select(*_AT, "size", (F.col("first") + F.col("row_index")).alias("position"))
     placed = placed.withColumn("span", F.floor(F.col("position") / SPAN))
@@ -213,8 +213,8 @@ def token_shards(
         .join(_running(sums, "span", "n"), "span")
         .select(*_AT, (F.col("first") + F.col("inside")).alias("at"))
     )
-    parts = rows.join(starts.hint("shuffle_hash"), _AT).select("at", "text")
-    cut = parts.mapInArrow(_cut(shared, length, max(sequences, 1), key), _PARTS)
+    parts = coded.filter("size > 0").join(starts.hint("shuffle_hash"), _AT).select("at", "ids")
+    cut = parts.mapInArrow(_cut(length, max(sequences, 1), key), _PARTS)
     shards = max(-(-sequences // per_shard), 1)
     ranges = cut.repartitionById(int(shards), F.floor(F.col("slot") / per_shard).cast("int"))
     return ranges.sortWithinPartitions("slot", "start").mapInArrow(_assemble(length, per_shard), _SHARDS)

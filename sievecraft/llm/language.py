@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sievecraft.llm import texts
 from sievecraft.llm.common import id_key, keyed_texts
@@ -87,21 +87,21 @@ def learned(labelled: DataFrame, id_column: str = "doc_id") -> Filters:
     if not names:
         return Filters(names, masks, np.zeros(0))
     share = F.create_map(*(F.lit(x) for name in names for x in (name, SAMPLE / sizes[name])))
-    number = F.create_map(*(F.lit(x) for k, name in enumerate(names) for x in (name, k)))
+    place = F.create_map(*(F.lit(x) for k, name in enumerate(names) for x in (name, k)))
     draw = F.pmod(F.xxhash64(F.col(id_column), F.lit(1)), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.filter(draw < share[F.col("lang")]).select(
-        number[F.col("lang")].cast("int").alias("l"), _padded().alias("text")
+        place[F.col("lang")].cast("int").alias("l"), _padded().alias("text")
     )
     counts = sample.mapInArrow(_count, "l int, gram long, c long").groupBy("l", "gram").agg(F.sum("c").alias("c"))
     drawn = {row["l"]: row["n"] for row in sample.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
     least = F.create_map(*(F.lit(x) for k in range(len(names)) for x in (k, max(1.0, LEAST * drawn.get(k, 0)))))
     frequent = counts.filter(F.col("c") >= least[F.col("l")])
-    grams: dict[int, np.ndarray] = {}
+    # Ranked within each language in one job; a task keeps at most GRAMS of each before the shuffle.
+    order = Window.partitionBy("l").orderBy(F.desc("c"), "gram")
+    top = frequent.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= GRAMS).select("l", "gram").toArrow()
+    number, gram = (column.to_numpy() for column in top.columns)
     for k in range(len(names)):
-        top = frequent.filter(F.col("l") == k).orderBy(F.desc("c"), "gram").limit(GRAMS).select("gram")
-        grams[k] = np.array([row["gram"] for row in top.collect()], np.uint64)
-    for k, own in grams.items():
-        for at in _probes(own):
+        for at in _probes(gram[number == k].astype(np.uint64)):
             masks[k // WORD, at] |= np.uint64(1 << k % WORD)
     ones = np.array([np.count_nonzero(masks[k // WORD] >> np.uint64(k % WORD) & np.uint64(1)) for k in range(len(names))])
     return Filters(names, masks, (ones / masks.shape[1]) ** PROBES)

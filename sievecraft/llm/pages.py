@@ -139,8 +139,8 @@ class Token:
 def _tokens(page: str) -> list[Token]:
     """All tokens. Start tags of unseen elements know their end tags; one that a parent's end comes before has none."""
     out: list[Token] = []
-    open_: list[tuple[str, int]] = []
-    number: Counter = Counter()
+    open_: list[tuple[str, int]] = []  # an element that ended itself stays, and its name is empty
+    places: dict[str, list[int]] = {}  # in open_, of each name
     foreign, at = 0, 0
     while found := (_FOREIGN_TOKEN if foreign else _TOKEN).search(page, at):
         at = found.end()
@@ -158,20 +158,20 @@ def _tokens(page: str) -> list[Token]:
         if name in INLINE or name in VOID:
             continue
         if token.closing:
-            while number[name]:
+            while places.get(name):
                 top, k = open_.pop()
-                number[top] -= 1
+                if top:
+                    places[top].pop()
                 if top == name:
                     if name in UNSEEN:
                         out[k].last = len(out) - 1
                     break
             continue
-        if name in ENDS_ITSELF and number[name]:
-            k = max(k for k, (other, _) in enumerate(open_) if other == name)
-            del open_[k]
-            number[name] -= 1
+        own = places.setdefault(name, [])
+        if name in ENDS_ITSELF and own:
+            open_[own.pop()] = ("", -1)
+        own.append(len(open_))
         open_.append((name, len(out) - 1))
-        number[name] += 1
     return out
 
 
@@ -181,6 +181,7 @@ def parsed(page: str) -> Tree:
     (RAW) goes on to the end of the page. A head ends where something begins that cannot be in it."""
     tree = Tree()
     open_: list[tuple[str, int]] = [("#page", tree.add(-1, ["tag #page"], "#page"))]
+    places: dict[str, list[int]] = {}  # in open_, of each name
     parts: list[str] = []
     linked, in_link, at, unseen_head = 0, False, 0, False
 
@@ -193,6 +194,14 @@ def parsed(page: str) -> Tree:
             parts.clear()
         linked, in_link = 0, False
 
+    def close(place: int) -> None:
+        """End the elements from a place on; each is ended once, so pages of any depth take time in proportion to them."""
+        while len(open_) > place:
+            places[open_.pop()[0]].pop()
+
+    def innermost(names) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=0)
+
     def words(raw: str) -> None:
         nonlocal linked, unseen_head
         if unseen_head and raw.strip():
@@ -228,22 +237,18 @@ def parsed(page: str) -> Tree:
             continue
         flush()
         if closing:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k][0] == name:
-                    del open_[k:]
-                    break
+            if place := innermost((name,)):
+                close(place)
             continue
         if name in VOID:
             continue
         if open_[-1][0] in CLOSED_BY_BLOCKS:
-            open_.pop()
-        for k in range(len(open_) - 1, 0, -1):
-            if open_[k][0] in SIBLINGS.get(name, ()):
-                del open_[k:]
-                break
-            if open_[k][0] in LISTS:
-                break
+            close(len(open_) - 1)
+        siblings = SIBLINGS.get(name, ())
+        if siblings and (place := innermost(siblings)) > innermost(x for x in LISTS if x not in siblings):
+            close(place)
         seen = [f"tag {name}", *sorted(f"hint {x}" for x in _hints(token.attributes))]
+        places.setdefault(name, []).append(len(open_))
         open_.append((name, tree.add(open_[-1][1], seen, name)))
     words(page[at:])
     flush()
@@ -296,7 +301,8 @@ def marginals(parent: np.ndarray, depth: np.ndarray, node: np.ndarray, pair: np.
     belief = node.copy()
     belief[parent < 0, 1:] = -np.inf
     up = np.zeros_like(belief)
-    levels = [np.flatnonzero(depth == k) for k in range(int(depth.max(initial=0)) + 1)]
+    order = np.argsort(depth, kind="stable")
+    levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
     for nodes in levels[:0:-1]:
         up[nodes] = np.logaddexp.reduce(belief[nodes][:, None, :] + pair[None], axis=2)
         np.add.at(belief, parent[nodes], up[nodes])

@@ -18,7 +18,8 @@ from sievecraft.llm import common, texts
 
 WINDOW = 13
 SHARD = 4 << 20  # bytes of text under one suffix array
-BLOCK = 32 << 20  # bytes of test items searched together; more items are searched block by block
+# Bytes of test items searched together, for which the driver needs some 600 MB; more items are searched block by block.
+BLOCK = 16 << 20
 
 SEPARATORS = texts.NOT_ALPHANUMERIC
 
@@ -52,16 +53,23 @@ def items_index(rows: list[tuple[str | None, str | None]], window: int = WINDOW)
     inside = np.arange(len(item)) - np.repeat(np.cumsum(windows) - windows, windows)
     begin = (cuts[:-1] + np.arange(len(rows)))[item] + inside
     sizes = size[item]
-    seen: dict[tuple, int] = {}
-    which = np.zeros(len(item), np.int64)
-    for k, (at, length) in enumerate(zip(begin.tolist(), sizes.tolist())):
-        which[k] = seen.setdefault(tuple(words[at : at + length].tolist()), len(seen))
-    pairs = np.unique(np.stack([which, item], 1), axis=0).reshape(-1, 2)
+    # Equal windows get one number; windows are equal if 128 bits of hash are, and no window is kept as such.
+    first = cuts[:-1][item] + inside
+    keys = [texts.Windows(hashes, k).hash(first, first + sizes) for k in (0, 1)] if len(item) else [np.zeros(0, np.uint64)] * 2
+    order = np.lexsort(keys)
+    fresh = np.ones(len(item), bool)
+    fresh[1:] = (keys[0][order[1:]] != keys[0][order[:-1]]) | (keys[1][order[1:]] != keys[1][order[:-1]])
+    which = np.empty(len(item), np.int64)
+    which[order] = np.cumsum(fresh) - 1
+    number_of_windows = int(fresh.sum())
+    del keys, order
+    pairs = np.unique(which * max(len(rows), 1) + item)
+    pairs = np.stack(np.divmod(pairs, max(len(rows), 1)), 1)
     _, one = np.unique(which, return_index=True)
     return Items(
         [key for key, _ in rows],
         pairs[:, 1],
-        np.searchsorted(pairs[:, 0], np.arange(len(seen) + 1)),
+        np.searchsorted(pairs[:, 0], np.arange(number_of_windows + 1)),
         begin[one],
         sizes[one],
         words,

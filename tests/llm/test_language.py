@@ -73,3 +73,24 @@ def test_rejected_documents_go(documents):
     kept = language.understood(docs, language.learned(train))
     assert kept.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == [(1, "tha ing er onsh"), (3, "oi que"), (None, "zu schung")]
+
+
+def test_jobs_do_not_grow_with_languages(spark, documents):
+    def jobs(number):
+        rows = [(k, f"wort{k % number}x und{k % number} {k}", f"l{k % number:02d}", "s") for k in range(4 * number)]
+        table = documents(rows).cache()
+        table.count()
+        spark.sparkContext.setJobGroup(f"languages {number}", "")
+        try:
+            language.learned(table)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"languages {number}"))
+
+    assert jobs(2) == jobs(70)
+
+
+def test_repeated_rows(spark, documents):
+    rows = [(1, "the text", "en", "s")] * 3 + [(2, "der text", "de", "s"), (1, "der satz", "de", "s")]
+    found = language.predicted(documents(rows), language.learned(documents(rows))).collect()
+    assert sorted((r["d"], r["lang_pred"]) for r in found) == [(1, "de"), (1, "en"), (1, "en"), (1, "en"), (2, "de")]

@@ -95,3 +95,26 @@ def test_marginals_like_brute_force():
 )
 def test_nothing_else_is_left_out(html, want):
     assert [x for x in pages.parsed(html).text if x is not None] == want
+
+
+@pytest.mark.parametrize("page", [
+    "<div>x" * 100_000,
+    "<div>" * 30_000 + "</p>" * 30_000 + "t",
+    "<ul><li>a" * 30_000,
+    "<button><div>" * 20_000,
+    "<li>a<b>" * 40_000,
+])
+def test_deep_pages_take_time_in_proportion(page):
+    """Minutes, were any step to go through the open elements for each tag."""
+    import time
+
+    start = time.perf_counter()
+    pages.main_texts([page], pages.potentials({}, {}))
+    assert time.perf_counter() - start < 30
+
+
+def test_repeated_pages(spark):
+    rows = [(1, "u", "<article><p>One text of some length, that is read.</p></article>")] * 2
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = pages.extracted(table, pages.learned(table)).collect()
+    assert [r["text"] for r in found] == ["One text of some length, that is read."] * 2

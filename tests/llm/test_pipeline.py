@@ -1,10 +1,16 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
+import pytest
 
 import corpus_pipeline
-from sievecraft.llm import common, token_shards
+from sievecraft.llm import common, mixing, token_shards
+from sievecraft.llm.queries import WEIGHTS
 from tests.conftest import SF_DIR
+from tests.llm import test_contamination, test_near_copies
+from tests.llm.conftest import words
 
 
 def test_stages(spark):
@@ -25,3 +31,83 @@ def test_stages(spark):
     assert (stream == token_shards.END).sum() == docs.filter("text <> ''").count()
     again = corpus_pipeline.run(spark, SF_DIR).select("slot", "sequence", "ids").collect()
     assert sorted(again) == sorted((r["slot"], r["sequence"], r["ids"]) for r in rows)
+
+
+def planted(spark, folder, docs, items):
+    """Tables documents and benchmark in a folder, with extra columns of clashing names."""
+    rows = [(*row, len(row[1] or ""), "x", 7) for row in docs]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, slot string, component long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return common.table(spark, folder, "documents")
+
+
+def corpus():
+    random_ = random.Random(11)
+    passage = words(40, 900)
+    docs = []
+    for k in range(60):
+        text = words(random_.choice((30, 200, 900)), k)
+        docs.append((10 * k, text, "en", f"src{k % 4}" if k % 7 else None))
+        if k % 5 == 0:  # copies, exact and near
+            docs.append((10 * k + 1, text, "en", "src0"))
+            docs.append((10 * k + 2, test_near_copies.edited(text, 1, random_), "en", "src1"))
+        if k % 6 == 0:
+            docs.append((10 * k + 3, words(60, 500 + k) + " " + passage + " " + words(50, 600 + k), "en", "src2"))
+    docs += [(5, None, "en", "src0"), (15, "", "en", "src0"), (25, "12 34 -- 56", "en", "src0"), (35, " \n ", None, None)]
+    docs += [(None, words(100, 700), "en", "src1"), (45, words(3, 800), None, "src9"), (45, words(3, 800), None, "src9")]
+    return docs, [("a", passage), ("b", words(30, 901)), ("c", None)]
+
+
+def test_stages_on_planted_rows(spark, tmp_path):
+    """Each stage against its definition in plain Python, on what the one before kept."""
+    rows, items = corpus()
+    docs = planted(spark, str(tmp_path), rows, items)
+    columns, kept = docs.columns, rows
+    stages = dict(corpus_pipeline.STAGES)
+
+    def run(name):
+        nonlocal docs
+        docs = common.saved(stages[name](spark, docs, str(tmp_path)))
+        assert docs.columns == columns
+        return sorted(((r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()), key=str)
+
+    kept = [row for row in kept if row[1] and any(c.isalpha() for c in row[1])]
+    assert run("language ID") == sorted(kept, key=str)
+
+    group = {number: least for number, _, least in test_near_copies.brute([row[:2] for row in kept], 5, 80)}
+    kept = [row for row in kept if row[0] is None or group[row[0]] == row[0]]
+    assert run("near copies") == sorted(kept, key=str)
+
+    found = test_contamination.brute([row[:2] for row in kept], items, 13)
+    dirty = {number for number, n_words, n_hit, _ in found if n_hit and 20 * n_hit >= n_words}
+    assert len(dirty) == 10
+    kept = [row for row in kept if row[0] not in dirty]
+    assert run("decontamination") == sorted(kept, key=str)
+
+    order = {(r["doc_id"], r["text"]): r["mix_position"] for r in mixing.mixed(docs, WEIGHTS).collect()}
+    assert run("mixing") == sorted(kept, key=str)
+
+    shards = stages["token shards"](spark, docs, str(tmp_path)).collect()
+    records = sorted(shards, key=lambda r: r["sequence"])
+    stream = np.concatenate([np.frombuffer(r["ids"], np.uint16)[: r["n_tokens"]] for r in records])
+    ends = np.flatnonzero(stream == token_shards.END)
+    decode = token_shards.encoder(token_shards.vocabulary()).decode
+    texts = [decode(stream[a:b].tolist()) for a, b in zip([0, *(ends[:-1] + 1)], ends)]
+    places = {}
+    for (number, text), position in order.items():
+        places.setdefault(text, []).append(position)
+    assert sorted(texts) == sorted(row[1] for row in kept)
+    at = [min(places[text]) for text in texts]
+    assert at == sorted(at)
+    assert sorted(r["slot"] for r in shards) == list(range(len(shards)))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, None), (None, None, None, None), (2, "", "en", "s")]])
+def test_nothing_to_keep(spark, tmp_path, rows):
+    """Empty tables, and rows without any text, go through all stages."""
+    docs = planted(spark, str(tmp_path), rows, [])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.saved(stage(spark, docs, str(tmp_path)))
+        assert docs.count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sievecraft.errors import DataQualityError
 from sievecraft.functions.text import casefold, identity_key
-from sievecraft.operators.joins import lookup_join
+from sievecraft.operators.joins import hashed, lookup_join
 from sievecraft.operators.search import found_needles
 
 
@@ -37,6 +37,19 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
+def null_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows (column, nulls) for every required column of a schema, in one pass: what `enforce_schema` would fail on."""
+    required = [field.name for field in schema.fields if not field.nullable]
+    rows = select_required(df, schema.names)
+    counts = rows.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in required])
+    return counts.unpivot([], required, "column", "nulls")
+
+
+def shallow_histories(repositories: DataFrame) -> DataFrame:
+    """The included repositories that are shallow: what `require_full_history` would fail on."""
+    return repositories.filter((F.col("status") == "included") & F.col("shallow"))
+
+
 def require_minimum(counts: Mapping[str, int], minimum: int, what: str) -> None:
     short = {name: count for name, count in counts.items() if count < minimum}
     if short:
@@ -52,9 +65,7 @@ def require_none(df: DataFrame, what: str) -> None:
 
 def require_full_history(repositories: DataFrame) -> None:
     """No included repository may be shallow."""
-    shallow = F.count_if((F.col("status") == "included") & F.col("shallow"))
-    example = F.min(F.when((F.col("status") == "included") & F.col("shallow"), F.col("path")))
-    count, path = repositories.agg(shallow, example).first()
+    count, path = shallow_histories(repositories).agg(F.count("*"), F.min("path")).first()
     if count:
         raise DataQualityError(f"{count} shallow repository histories, for example {path}")
 
@@ -81,10 +92,11 @@ def leak_counts(rows: DataFrame) -> DataFrame:
 
 
 def identity_leaks(candidates: DataFrame, provenance: DataFrame) -> DataFrame:
-    """`leak_counts` of two tables that were read back; the lineage is built into hash tables, so
-    that the texts are shuffled but not sorted."""
+    """`leak_counts` of two tables that were read back; the lineage, whose rows are counted, is built
+    into hash tables of bounded size, so that the texts are shuffled but not sorted."""
     names = ("id", "author_email", "repository_path", "commit_sha", "remote_urls")
-    return leak_counts(candidates.join(provenance.select(*names).hint("shuffle_hash"), "id"))
+    lineage = provenance.select(*names)
+    return leak_counts(candidates.join(hashed(lineage, provenance.count(), "id"), "id"))
 
 
 def identity_needles(provenance: DataFrame) -> DataFrame:

@@ -10,6 +10,20 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 1_000
 
 
+# Rows of a hash table that one task builds, about: a few hundred megabytes of keys and narrow columns.
+HASHED_ROWS = 2_000_000
+
+
+def hashed(df: DataFrame, rows: int, *on: str) -> DataFrame:
+    """`df`, of a known number of rows and with nearly unique keys, as the side of a join that is built into hash tables.
+
+    A hash table cannot spill, so there are as many partitions as keep it within HASHED_ROWS; the other side, which is
+    shuffled to match, is neither sorted nor bounded.
+    """
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(usual, -(-rows // HASHED_ROWS)), *on).hint("shuffle_hash")
+
+
 def small_row_count(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> int | None:

@@ -26,7 +26,7 @@ from sievecraft.operators.filters import (
     only_included,
 )
 from sievecraft.operators.guards import leak_counts, lineage_integrity, require_full_history
-from sievecraft.operators.joins import lookup_join, small_row_count
+from sievecraft.operators.joins import hashed, lookup_join, small_row_count
 from sievecraft.schemas import CANDIDATES, PROVENANCE
 from sievecraft.sources.writers import (
     delete_path,
@@ -68,20 +68,24 @@ class Build:
         )
         return rows.withColumn("id", once)
 
-    @property
-    def with_texts(self) -> DataFrame:
-        """Accepted commits with their diffs: one shuffle of both by the commit key, without a sort
-        of the diffs."""
-        return self.texts.join(self.accepted.hint("shuffle_hash"), list(COMMIT_KEY))
+    def with_texts(self, accepted_rows: int | None = None) -> DataFrame:
+        """Accepted commits with their diffs: one shuffle of both by the commit key, none for a bucketed history.
+
+        With the number of accepted commits known, these are built into hash tables of bounded size, and the diffs are not
+        sorted; else Spark chooses a join that can spill.
+        """
+        accepted = self.accepted
+        if accepted_rows is not None:
+            accepted = hashed(accepted, accepted_rows, *COMMIT_KEY)
+        return self.texts.join(accepted, list(COMMIT_KEY))
 
     @property
     def leaks(self) -> DataFrame:
-        return leak_counts(_with_subjects(self.with_texts))
+        return leak_counts(_with_subjects(self.with_texts()))
 
-    @property
-    def rows(self) -> DataFrame:
+    def rows(self, accepted_rows: int | None = None) -> DataFrame:
         """Accepted commits with the columns of both outputs."""
-        accepted = self.with_texts
+        accepted = self.with_texts(accepted_rows)
         known = F.col("patch_id") if "patch_id" in accepted.columns else F.lit(None)
         return accepted.select(
             *PROVENANCE.names,
@@ -94,7 +98,7 @@ class Build:
 
     @property
     def candidates(self) -> DataFrame:
-        return self.rows.select(*CANDIDATES.names)
+        return self.rows().select(*CANDIDATES.names)
 
     @property
     def provenance(self) -> DataFrame:
@@ -219,23 +223,25 @@ def write_build(
     """
     require_distinct_paths(candidates_path, provenance_path)
     spark = build.labelled.sparkSession
+    rows = build.labelled.groupBy("reason").count().collect()
+    counts = {row["reason"] or "accepted": row["count"] for row in rows}
+    accepted = counts.get("accepted", 0)
     if partitions is not None:
         write_provenance(build.provenance, provenance_path, partitions)
-        write_candidates(build.candidates, candidates_path, partitions)
+        write_candidates(build.rows(accepted).select(*CANDIDATES.names), candidates_path, partitions)
     else:
         stage = staging_path(provenance_path)
         try:
-            rows, counts = staged(build.rows, stage, {"candidates": CANDIDATES, "provenance": PROVENANCE})
-            write_provenance(rows.select(*PROVENANCE.names), provenance_path, counts["provenance"])
-            write_candidates(rows.select(*CANDIDATES.names), candidates_path, counts["candidates"])
+            tables = {"candidates": CANDIDATES, "provenance": PROVENANCE}
+            written, files = staged(build.rows(accepted), stage, tables)
+            write_provenance(written.select(*PROVENANCE.names), provenance_path, files["provenance"])
+            write_candidates(written.select(*CANDIDATES.names), candidates_path, files["candidates"])
         finally:
             delete_path(spark, stage)
     found = lineage_integrity(
         spark.read.parquet(candidates_path), spark.read.parquet(provenance_path)
     ).first()
-    rows = build.labelled.groupBy("reason").count().collect()
-    counts = {row["reason"] or "accepted": row["count"] for row in rows}
     unsound = any(found[name] for name in ("without_provenance", "without_candidate", "repeated_ids"))
-    if unsound or found["candidates"] != counts.get("accepted", 0):
+    if unsound or found["candidates"] != accepted:
         raise DataQualityError(f"wrote {found.asDict()}, counted {counts}")
     return counts

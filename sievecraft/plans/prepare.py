@@ -12,7 +12,7 @@ from sievecraft.errors import DataQualityError
 from sievecraft.operators.aggregates import dataset_fingerprint
 from sievecraft.operators.filters import date_window
 from sievecraft.operators.guards import require_minimum, select_required
-from sievecraft.operators.joins import BROADCAST_ROWS, small_row_count
+from sievecraft.operators.joins import BROADCAST_ROWS, hashed, small_row_count
 from sievecraft.operators.ordering import (
     SORTED_AT_ONCE,
     assign_split,
@@ -42,7 +42,17 @@ class Prepared:
     split_counts: dict[str, int]
 
 
-def _kept(window: DataFrame, keys: DataFrame, winners: DataFrame, copies: int) -> DataFrame:
+def _computed_once(df: DataFrame) -> DataFrame:
+    """Narrow rows that several steps read: written to the session's checkpoint folder if it has one, so that whoever
+    consumes the result later reads them too; else cached for this call only."""
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint()
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _kept(
+    window: DataFrame, keys: DataFrame, winners: DataFrame, total: int, copies: int
+) -> DataFrame:
     """The deduplicated wide rows.
 
     Few copies: an anti-join against their broadcast ids, and the texts are not shuffled at all.
@@ -56,7 +66,7 @@ def _kept(window: DataFrame, keys: DataFrame, winners: DataFrame, copies: int) -
         if small_row_count(losers) == copies:
             return window.join(F.broadcast(losers), "id", "left_anti")
     elif keys.join(winners, "id", "left_semi").count() + copies == keys.count():
-        return window.join(winners.hint("shuffle_hash"), "id", "left_semi")
+        return window.join(hashed(winners, total, "id"), "id", "left_semi")
     return dedup_earliest(with_group_key(window)).drop("group_key")
 
 
@@ -76,7 +86,7 @@ def prepare_dataset(
     rows = select_required(candidates, CANDIDATES.names, "candidates")
     window = date_window(rows, since, until)
     keys = with_group_key(window.select("id", "committed_at_utc", "patch_id")).drop("patch_id")
-    winners = dedup_earliest(keys).persist(StorageLevel.MEMORY_AND_DISK)
+    winners = _computed_once(dedup_earliest(keys))
     try:
         filtered, malformed = keys.agg(
             F.count("*"), F.count_if(~F.col("committed_at_utc").rlike(UTC_TEXT))
@@ -92,7 +102,7 @@ def prepare_dataset(
         )
         narrow = winners.select(chronological_key().alias("key"))
         cuts = cut_keys(narrow, total, bounds, sorted_at_once=sorted_at_once)
-        kept = _kept(window, keys, winners.select("id"), filtered - total)
+        kept = _kept(window, keys, winners.select("id"), total, filtered - total)
     finally:
         winners.unpersist()
     counts = {

@@ -355,6 +355,39 @@ def test_many_copies_are_joined_by_id(spark, tmp_path, monkeypatch):
     assert {row["id"]: row["split"] for row in splits.collect()} == expected_splits(rows)
 
 
+def test_hash_tables_are_bounded(spark, monkeypatch):
+    from sievecraft.operators import joins
+
+    monkeypatch.setattr(joins, "HASHED_ROWS", 100)
+    build = spark.range(5_000).withColumnRenamed("id", "k")
+    joined = spark.range(20_000).withColumn("k", F.col("id") % 6_000).join(joins.hashed(build, 5_000, "k"), "k")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and plan.count(", 50)") >= 2  # both sides, in 50 partitions
+    assert joined.count() == sum(k % 6_000 < 5_000 for k in range(20_000))
+
+
+def test_copies_are_searched_once_with_a_checkpoint_folder(spark, tmp_path, monkeypatch):
+    """Whoever reads the splits later does not deduplicate again."""
+    rows = make_rows(300, copies=80)
+    searched = spark.sparkContext.accumulator(0)
+    plain = prepare.dedup_earliest
+
+    def counted(df, *options):
+        def count(batches):
+            for batch in batches:
+                searched.add(batch.num_rows)
+                yield batch
+
+        return plain(df.mapInArrow(count, df.schema), *options)
+
+    monkeypatch.setattr(prepare, "dedup_earliest", counted)
+    monkeypatch.setattr(prepare, "BROADCAST_ROWS", 10)
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    splits = prepare.prepare_dataset(frame(spark, rows), minimum_rows=1, minimum_evaluation_rows=1).splits
+    assert {row["id"]: row["split"] for row in splits.collect()} == expected_splits(rows)
+    assert searched.value == len(rows)
+
+
 def test_enforce_schema(spark):
     df = spark.createDataFrame([(1, "s")], "id int, subject string").withColumns(
         {name: F.lit("x") for name in CANDIDATES.names[2:] + ["repository_group_id"]}

@@ -25,7 +25,7 @@ def content_tokens(text: Column) -> Column:
 
 
 def file_sections(patches: DataFrame, diff: str = "diff") -> DataFrame:
-    """One row for each file that `changed_files` finds, in order: columns `file`, and `content`, the lines added to it.
+    """One row for each file that `changed_files` finds: its `place` from 0 on, `file`, and `content`, the lines added to it.
 
     The other columns are kept, without the diff.
     """
@@ -45,7 +45,7 @@ def file_sections(patches: DataFrame, diff: str = "diff") -> DataFrame:
     listed = patches.select(*keys, parts.alias("_parts"), spans.alias("_spans"), changed_files(F.col(diff)).alias("_files"))
     contents = F.transform("_spans", added)
     both = F.arrays_zip(F.col("_files").alias("file"), contents.alias("content"))
-    return listed.select(*keys, F.explode(both).alias("_f")).select(*keys, "_f.file", "_f.content")
+    return listed.select(*keys, F.posexplode(both).alias("place", "_f")).select(*keys, "place", "_f.file", "_f.content")
 
 
 @dataclass(frozen=True)
@@ -129,3 +129,11 @@ def with_languages(files: DataFrame, key: str, file: str = "file", content: str
     return named.join(guesses, key, "left").select(
         *files.columns, F.coalesce("_guess", "_named").alias("language")
     )
+
+
+def language_counts_by_content(splits: DataFrame) -> DataFrame:
+    """Changed files per split and language, where the content tells the language of files with unknown names."""
+    files = file_sections(splits.select("split", "id", "diff"))
+    keyed = files.withColumn("_key", F.concat_ws(":", "id", "place"))
+    found = with_languages(keyed, "_key")
+    return found.groupBy("split", "language").agg(F.count("*").alias("files"))

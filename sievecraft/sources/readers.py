@@ -26,6 +26,12 @@ def commit_metadata(record: Column) -> Column:
     return F.struct(*[column.alias(name) for name, column in columns.items()])
 
 
+def record_arity(df: DataFrame, column: str = "record") -> DataFrame:
+    """Rows (fields, records): how many records have how many fields. `parse_commit_log` fails unless all have five."""
+    fields = F.size(F.split(F.col(column), "\u0000")).cast("long")
+    return df.groupBy(fields.alias("fields")).agg(F.count("*").alias("records"))
+
+
 def parse_commit_log(df: DataFrame, column: str = "record") -> DataFrame:
     """Expand a record column into the five metadata columns."""
     keys = [name for name in df.columns if name != column]

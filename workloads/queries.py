@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sievecraft import schemas
 from sievecraft.functions import keys, paths, text
 from sievecraft.operators import aggregates, changes, filters, guards, languages, ordering, patterns
 from sievecraft.plans import candidates as build, prepare, review, scan
@@ -292,35 +293,40 @@ def language_counts(spark, sf_dir):
 _TOKENS = r"regexp_extract_all({}, '[\p{{L}}_][\p{{L}}\p{{N}}_]*|[^\s\p{{L}}\p{{N}}_]')"
 
 
+# From `files` (key, named, content): taught says which of them teach.
+_BY_CONTENT = rf"""taught AS (SELECT * FROM files WHERE named <> 'unknown' AND TAUGHT
+  ), sizes AS (SELECT named AS language, count(*) AS files FROM taught GROUP BY named
+  ), starts AS (
+    SELECT *, CAST(round(ln(files / (SELECT sum(files) FROM sizes)) * 1000) AS BIGINT) AS start,
+           CAST(round(ln(1 / (files + 2)) * 1000) AS BIGINT) AS absent FROM sizes
+  ), counts AS (
+    SELECT language, token, count(*) AS n FROM (
+      SELECT named AS language, unnest(list_distinct({_TOKENS.format("content")})) AS token FROM taught) GROUP BY ALL
+  ), gains AS (
+    SELECT language, token, CAST(round(ln((n + 1) / (files + 2)) * 1000) AS BIGINT) - absent AS gain
+    FROM counts JOIN starts USING (language)
+  ), held AS (
+    SELECT key, token FROM (
+      SELECT key, unnest(list_distinct({_TOKENS.format("content")})) AS token FROM files)
+    SEMI JOIN counts USING (token)
+  ), scores AS (
+    SELECT key, language, start + n * absent + coalesce(sum, 0) AS score
+    FROM (SELECT key, count(*) AS n FROM held GROUP BY key) CROSS JOIN starts
+    LEFT JOIN (SELECT key, language, sum(gain) AS sum FROM held JOIN gains USING (token) GROUP BY ALL)
+    USING (key, language)
+  ), guesses AS (
+    SELECT key, first(language ORDER BY score DESC, language) AS guess FROM scores GROUP BY key)"""
+_LANG_ENDINGS = " ".join(f"WHEN '{lang}' THEN '{ending}'" for lang, ending in views.EXTENSIONS.items())
+
+
 @query(
     "content_languages",
-    rf"""WITH {views.PATCHES}, languages(ending, language) AS (VALUES {_LANGUAGE_ROWS}),
+    f"""WITH languages(ending, language) AS (VALUES {_LANGUAGE_ROWS}),
          files AS (
-           SELECT doc_id, coalesce(language, 'unknown') AS named, text AS content
-           FROM documents LEFT JOIN languages ON ending = CASE lang {" ".join(
-               f"WHEN '{a}' THEN '{b}'" for a, b in views.EXTENSIONS.items())} END
-         ), taught AS (SELECT * FROM files WHERE named <> 'unknown' AND doc_id % 5 <> 0
-         ), sizes AS (SELECT named AS language, count(*) AS files FROM taught GROUP BY named
-         ), starts AS (
-           SELECT *, CAST(round(ln(files / (SELECT sum(files) FROM sizes)) * 1000) AS BIGINT) AS start,
-                  CAST(round(ln(1 / (files + 2)) * 1000) AS BIGINT) AS absent FROM sizes
-         ), counts AS (
-           SELECT language, token, count(*) AS n FROM (
-             SELECT named AS language, unnest(list_distinct({_TOKENS.format("content")})) AS token FROM taught) GROUP BY ALL
-         ), gains AS (
-           SELECT language, token, CAST(round(ln((n + 1) / (files + 2)) * 1000) AS BIGINT) - absent AS gain
-           FROM counts JOIN starts USING (language)
-         ), held AS (
-           SELECT doc_id, token FROM (
-             SELECT doc_id, unnest(list_distinct({_TOKENS.format("content")})) AS token FROM files)
-           SEMI JOIN counts USING (token)
-         ), scores AS (
-           SELECT doc_id, language, start + n * absent + coalesce(sum, 0) AS score
-           FROM (SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id) CROSS JOIN starts
-           LEFT JOIN (SELECT doc_id, language, sum(gain) AS sum FROM held JOIN gains USING (token) GROUP BY ALL)
-           USING (doc_id, language))
-         SELECT doc_id, named, doc_id % 5 = 0 AS held_out, guess FROM files LEFT JOIN (
-           SELECT doc_id, first(language ORDER BY score DESC, language) AS guess FROM scores GROUP BY doc_id) USING (doc_id)""",
+           SELECT doc_id AS key, coalesce(language, 'unknown') AS named, text AS content
+           FROM documents LEFT JOIN languages ON ending = CASE lang {_LANG_ENDINGS} END
+         ), {_BY_CONTENT.replace("TAUGHT", "key % 5 <> 0")}
+         SELECT key AS doc_id, named, key % 5 = 0 AS held_out, guess FROM files LEFT JOIN guesses USING (key)""",
 )
 def content_languages(spark, sf_dir):
     """The language of each patch's first file by its content alone, learned from four fifths of the named ones."""
@@ -332,6 +338,22 @@ def content_languages(spark, sf_dir):
     return rows.join(guesses, "doc_id", "left")
 
 
+@query(
+    "language_counts_by_content",
+    f"""WITH languages(ending, language) AS (VALUES {_LANGUAGE_ROWS}),
+         files AS (
+           SELECT 2 * doc_id AS key, source, coalesce(language, 'unknown') AS named, text AS content
+           FROM documents LEFT JOIN languages ON ending = CASE lang {_LANG_ENDINGS} END
+           UNION ALL SELECT 2 * doc_id + 1, source, 'makefile', split_part(text, chr(10), 1) FROM documents
+         ), {_BY_CONTENT.replace("TAUGHT", "true")}
+         SELECT source AS split, CASE WHEN named <> 'unknown' THEN named ELSE coalesce(guess, 'unknown') END AS language,
+                count(*) AS files FROM files LEFT JOIN guesses USING (key) GROUP BY ALL""",
+)
+def language_counts_by_content(spark, sf_dir):
+    rows = views.patches(spark, sf_dir).withColumn("id", F.col("doc_id").cast("string"))
+    return languages.language_counts_by_content(rows)
+
+
 @query(
     "group_key",
     """SELECT doc_id, CASE WHEN doc_id % 5 < 2 THEN 'id:' || doc_id ELSE sha256(text) END AS group_key
@@ -470,6 +492,36 @@ def inline_change_stats(spark, sf_dir):
     return rows.select("o_orderkey", stats.alias("s")).select("o_orderkey", "s.*")
 
 
+@query(
+    "record_arity",
+    """SELECT CAST(length(text) - length(replace(text, '.', '')) + 1 AS BIGINT) AS fields, count(*) AS records
+       FROM documents GROUP BY ALL""",
+)
+def record_arity(spark, sf_dir):
+    """Texts as records whose fields end at full stops."""
+    record = F.replace("text", F.lit("."), F.lit(keys.NUL))
+    return readers.record_arity(table(spark, sf_dir, "documents").select(record.alias("record")))
+
+
+@query(
+    "null_counts",
+    """SELECT unnest(['id', 'repository_group_id', 'subject', 'diff', 'committed_at_utc', 'patch_id']) AS "column",
+              unnest([0, count(*) FILTER (coalesce(lang, 'de') = 'de' OR source IS NULL), count(*) FILTER (doc_id % 7 = 0),
+                      count(*) FILTER (text IS NULL), count(*) FILTER (coalesce(source, 'src0') = 'src0'),
+                      count(*) FILTER (coalesce(length(text), 0) < 500)]) AS nulls FROM documents""",
+)
+def null_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.when(F.col("lang") != "de", F.col("source")).alias("repository_group_id"),
+        F.when(F.col("doc_id") % 7 != 0, F.lit("s")).alias("subject"),
+        F.col("text").alias("diff"),
+        F.when(F.col("source") != "src0", F.lit("t")).alias("committed_at_utc"),
+        F.when(F.length("text") >= 500, F.lit("p")).alias("patch_id"),
+    )
+    return guards.null_counts(rows, schemas.CANDIDATES)
+
+
 @query("patch_text", "SELECT doc_id, chr(65533) || text || '  ' AS diff FROM documents")
 def patch_text(spark, sf_dir):
     raw = F.concat(F.lit(b"\xff"), F.col("text").cast("binary"), F.lit(b"  "))
@@ -792,6 +844,14 @@ def scan_repositories(spark, sf_dir):
     return _scan(spark, sf_dir).repositories.drop("remotes")
 
 
+@query(
+    "shallow_histories",
+    f"WITH {_SCANNED} SELECT path FROM counted WHERE shallow",
+)
+def shallow_histories(spark, sf_dir):
+    return guards.shallow_histories(_scan(spark, sf_dir).repositories).select("path")
+
+
 @query(
     "scan_totals",
     f"""WITH {_SCANNED}

@@ -14,11 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.errors import AnalysisException
 
 from sievecraft.llm import texts
 from sievecraft.llm.common import saved
+from sievecraft.operators.joins import lookup_join
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
@@ -26,7 +28,6 @@ END = 50256
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LENGTH = 1024  # tokens of a sequence
 PER_SHARD = 4096  # sequences of a shard
-SPAN = 1 << 16  # positions whose lengths are added up by themselves
 ROUNDS = 6
 KEY = 0x5EED
 
@@ -101,17 +102,34 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _running(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """Columns key and `first`: the sum of the values before it. For tables of one row a file or span."""
+    """Columns key and `first`: the sum of the values before it. For tables of one row a file."""
     before = F.sum(value).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
     return rows.select(key, F.coalesce(before, F.lit(0)).alias("first"))
 
 
+_CHUNKS = "file_path string, first long, size long, ids binary"
+
+
 def _coded(content):
+    """One row for each stretch of about a megabyte of texts that follow each other in a file: its first row, and its tokens."""
+
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts.slices(batches):
             ids = _ids(batch.column("text"), content.value)
-            columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in _AT), *columns], names=[*_AT, "size", "ids"])
+            row, path = batch.column("row_index").to_numpy(), batch.column("file_path")
+            other = pc.not_equal(path.slice(1), path.slice(0, len(path) - 1)).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(other | (np.diff(row) != 1)) + 1).tolist(), len(ids)]
+            parts = [np.concatenate(ids[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+            first = pa.array(np.array(edges[:-1]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    path.take(first),
+                    batch.column("row_index").take(first),
+                    pa.array([len(x) for x in parts], pa.int64()),
+                    pa.array([x.tobytes() for x in parts], pa.binary()),
+                ],
+                names=["file_path", "first", "size", "ids"],
+            )
 
     return coded
 
@@ -122,26 +140,21 @@ _PARTS = "slot long, sequence long, start int, ids binary"
 def _cut(length: int, sequences: int, key: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sequence, start, parts = [], [], []
-            for at, raw in zip(batch.column("at").to_pylist(), batch.column("ids").to_pylist()):
-                ids, done = np.frombuffer(raw, np.uint16), 0
-                while done < len(ids):
-                    number, inside = divmod(at + done, length)
-                    part = ids[done : done + length - inside]
-                    sequence.append(number)
-                    start.append(inside)
-                    parts.append(part.tobytes())
-                    done += len(part)
-            numbers = np.array(sequence, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(permuted(numbers, sequences, key)),
-                    pa.array(numbers),
-                    pa.array(start, pa.int32()),
-                    pa.array(parts, pa.binary()),
-                ],
-                names=["slot", "sequence", "start", "ids"],
-            )
+            for at, raw in zip(batch.column("at").to_pylist(), batch.column("ids")):
+                ids = np.frombuffer(raw.as_py(), np.uint16)
+                # Where the stretch and the sequences in it begin, from the start of the stretch.
+                begin = np.append(0, np.arange(length - at % length, len(ids), length))
+                place = at + begin
+                numbers = place // length
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(permuted(numbers, sequences, key)),
+                        pa.array(numbers),
+                        pa.array((place % length).astype(np.int32)),
+                        pa.array([ids[a:b].tobytes() for a, b in zip(begin, np.append(begin[1:], len(ids)))], pa.binary()),
+                    ],
+                    names=["slot", "sequence", "start", "ids"],
+                )
 
     return cut
 
@@ -198,23 +211,18 @@ def token_shards(
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary() if content is None else content)
     rows = _rows(docs)
-    coded = saved(rows.mapInArrow(_coded(shared), "file_path string, row_index long, size long, ids binary"))
-    sizes = coded.select(*_AT, "size")
-    files = _running(sizes.groupBy("file_path").agg(F.count(F.lit(1)).alias("n")), "file_path", "n")
-    placed = sizes.join(files, "file_path").select(*_AT, "size", (F.col("first") + F.col("row_index")).alias("position"))
-    placed = placed.withColumn("span", F.floor(F.col("position") / SPAN))
-    sums = placed.groupBy("span").agg(F.sum("size").alias("n"))
+    name = F.concat_ws(":", "file_path", "first").alias("chunk")
+    coded = saved(rows.mapInArrow(_coded(shared), _CHUNKS)).select("*", name)
+    sizes = coded.drop("ids")
+    files = _running(sizes.groupBy("file_path").agg(F.sum("size").alias("n")), "file_path", "n")
+    before = Window.partitionBy("file_path").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    inside = sizes.select("chunk", "file_path", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("inside"))
+    starts = inside.join(files, "file_path").select("chunk", (F.col("first") + F.col("inside")).alias("at"))
     tokens = sizes.agg(F.sum("size")).first()[0] or 0
     sequences = -(-tokens // length)
-    inside = F.sum("size").over(Window.partitionBy("span").orderBy("position").rowsBetween(Window.unboundedPreceding, -1))
-    starts = (
-        placed.withColumn("inside", F.coalesce(inside, F.lit(0)))
-        .filter("size > 0")
-        .join(_running(sums, "span", "n"), "span")
-        .select(*_AT, (F.col("first") + F.col("inside")).alias("at"))
-    )
-    parts = coded.filter("size > 0").join(starts.hint("shuffle_hash"), _AT).select("at", "ids")
-    cut = parts.mapInArrow(_cut(length, max(sequences, 1), key), _PARTS)
+    # One start for each megabyte of text: broadcast up to a measured bound, so that tokens move only to their slots.
+    parts = lookup_join(coded.filter("size > 0").select("chunk", "ids"), starts, "chunk", ["chunk"], "inner")
+    cut = parts.select("at", "ids").mapInArrow(_cut(length, max(sequences, 1), key), _PARTS)
     shards = max(-(-sequences // per_shard), 1)
     ranges = cut.repartitionById(int(shards), F.floor(F.col("slot") / per_shard).cast("int"))
     return ranges.sortWithinPartitions("slot", "start").mapInArrow(_assemble(length, per_shard), _SHARDS)

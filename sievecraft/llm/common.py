@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,12 @@ NO_ID = -(1 << 63)  # stands for a null id in keys; smaller than all others
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one of our own if that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. If that is unset, a new local one where all run in one
+    process, and an error on a cluster."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         known = "file://" + tempfile.mkdtemp(prefix="sievecraft-")
         spark.conf.set("spark.checkpoint.dir", known)
     return known.rstrip("/")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pytest
 import pyarrow as pa
 
 from sievecraft.llm import texts
@@ -43,3 +44,20 @@ def test_window_hashes():
         rolled = found.rolling(3)
         assert rolled.tolist() == found.hash(np.arange(5), np.arange(3, 8)).tolist()
         assert rolled[0] == rolled[3] and len(set(rolled.tolist())) == 4
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """Executors of a cluster would write where the driver cannot read."""
+    from types import SimpleNamespace
+
+    from sievecraft.llm import common
+
+    def session(master, folder=None):
+        kept = {"spark.checkpoint.dir": folder} if folder else {}
+        conf = SimpleNamespace(get=kept.get, set=kept.__setitem__)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(RuntimeError):
+        common.shared_folder(session("spark://host:7077"))
+    assert common.shared_folder(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    assert common.shared_folder(session("local[8]")).startswith("file://")

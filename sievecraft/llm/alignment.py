@@ -56,7 +56,7 @@ class Pair:
         import sentencepiece
         import tiktoken
 
-        known = json.loads(first)
+        known = json.loads(first)  # left behind when this returns; its merges are not needed
         letters, special = _letters(), {x["id"] for x in known["added_tokens"]}
         ranks = {
             bytes(letters[c] for c in token): number
@@ -189,7 +189,7 @@ def _aligned(first, second, digest: bool):
                 groups.append("".join(words[word_from:word_to])[:-1])
                 word_from, cut_from = word_to, cut_to
             digests = [hashlib.sha256(x.encode()).digest() if x else bytes(32) for x in groups] if digest else []
-            data = (numbers, batch.column("d").to_numpy(zero_copy_only=False), at.astype(np.uint32), pairs, counts)
+            data = (numbers, batch.column("d").to_numpy(zero_copy_only=False), at.astype(np.uint32), pairs, counts.astype(np.uint32))
             packed = [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in data]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -208,7 +208,8 @@ def _aligned(first, second, digest: bool):
 def _pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            pairs, counts = (np.frombuffer(batch.column(x)[row].as_py(), np.int64) for x in ("pairs", "counts"))
+            pairs = np.frombuffer(batch.column("pairs")[row].as_py(), np.int64)
+            counts = np.frombuffer(batch.column("counts")[row].as_py(), np.uint32).astype(np.int64)
             chunk = np.full(len(pairs), batch.column("chunk")[row].as_py())
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (chunk, pairs, counts)], names=["chunk", "pair", "n"])
 
@@ -219,44 +220,39 @@ _SUMMED = (
 )
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums over the links of each document, with the corpus counts of the chunk's pairs, which come sorted by pair."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            get = lambda name: batch.column(name)[row].as_py()
-            numbers = np.frombuffer(get("rows"), np.int64).reshape(-1, 3)
-            at = np.frombuffer(get("at"), np.uint32)
-            known = get("known") or []
-            total = np.array([x["total"] for x in known], np.int64)
-            best = np.array([x["best"] for x in known], np.int64)
-            ends = np.concatenate([[0], np.cumsum(numbers[:, 2])])
-            sums = []
-            for values in (best, total):
-                running = np.concatenate([[0], np.cumsum(values[at])]) if len(at) else np.zeros(1, np.int64)
-                sums.append(running[ends[1:]] - running[ends[:-1]])
-            digests, groups = get("digests"), get("groups")
-            rows = len(numbers)
-            if not digests:
-                hashed = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in groups]
-            else:
-                hashed = [digests[32 * k : 32 * k + 32].hex() if numbers[k, 0] else "" for k in range(rows)]
-            columns = [np.frombuffer(get("ids"), np.int64), *numbers.T, numbers[:, 2], *sums]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.ascontiguousarray(x)) for x in columns), pa.array(hashed), pa.array(groups or [None] * rows, pa.string())],
-                names=[x.split()[0] for x in _SUMMED.split(", ")],
-            )
+def _summed(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Sums over the links of each document of a chunk, with the corpus counts of the chunk's pairs."""
+    get = lambda name: left.column(name)[0].as_py()
+    numbers = np.frombuffer(get("rows"), np.int64).reshape(-1, 3)
+    at = np.frombuffer(get("at"), np.uint32)
+    told = right.column("told").to_numpy()[np.argsort(right.column("pair").to_numpy())]  # in the order of the chunk's pairs
+    ends = np.concatenate([[0], np.cumsum(numbers[:, 2])])
+    sums = []
+    for values in (told & 1, told >> 1):
+        running = np.concatenate([[0], np.cumsum(values[at])])
+        sums.append(running[ends[1:]] - running[ends[:-1]])
+    digests, groups = get("digests"), get("groups")
+    rows = len(numbers)
+    if not digests:
+        hashed = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in groups]
+    else:
+        hashed = [digests[32 * k : 32 * k + 32].hex() if numbers[k, 0] else "" for k in range(rows)]
+    columns = [np.frombuffer(get("ids"), np.int64), *numbers.T, numbers[:, 2], *sums]
+    return pa.table(
+        [*(pa.array(np.ascontiguousarray(x)) for x in columns), pa.array(hashed), pa.array(groups or [None] * rows, pa.string())],
+        names=[x.split()[0] for x in _SUMMED.split(", ")],
+    )
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
-    """Rows (chunk, pair, total, best): the corpus count of each pair that a chunk links, and whether no other partner of its
+    """Rows (chunk, pair, told) for each pair that a chunk links: twice its corpus count, and one more if no other partner of its
     B id has a higher one. Only a chunk's distinct pairs are shuffled, with their counts."""
     rows = chunks.select("chunk", "pairs", "counts").mapInArrow(_pairs_of, "chunk long, pair long, n long")
     totals = saved(rows.groupBy("pair").agg(F.sum("n").alias("total")))
     second = F.col("pair").bitwiseAND(F.lit((1 << SHIFT) - 1))
     highest = totals.groupBy(second.alias("b")).agg(F.max("total").alias("highest"))
-    judged = totals.withColumn("b", second).join(highest, "b").select(
-        "pair", "total", (F.col("total") == F.col("highest")).cast("long").alias("best")
-    )
+    best = (F.col("total") == F.col("highest")).cast("long")
+    judged = totals.withColumn("b", second).join(highest, "b").select("pair", (F.col("total") * 2 + best).alias("told"))
     return lookup_join(rows.select("chunk", "pair"), judged, "pair", ["chunk"], how="inner")
 
 
@@ -279,9 +275,6 @@ def aligned(
     files = [context.broadcast(vocabulary(path) if given is None else given) for given, path in ((first, FIRST), (second, SECOND))]
     rows = docs.select(id_key(id_column).alias("d"), F.col("text").cast("string").alias("text"))
     chunks = saved(rows.mapInArrow(_aligned(*files, digest), _CHUNKS))
-    known = pair_counts(chunks).groupBy("chunk").agg(
-        F.sort_array(F.collect_list(F.struct("pair", "total", "best"))).alias("known")
-    )
     # A chunk holds a bounded piece of text (or one text), so its pairs are bounded too.
-    rest = chunks.select("chunk", "rows", "ids", "at", "digests", "groups").join(known, "chunk", "left")
-    return rest.mapInArrow(_summed, _SUMMED)
+    rest = chunks.select("chunk", "rows", "ids", "at", "digests", "groups").groupBy("chunk")
+    return rest.cogroup(pair_counts(chunks).groupBy("chunk")).applyInArrow(_summed, _SUMMED)

@@ -201,14 +201,16 @@ def _exact_keys(keys: DataFrame, summary: RankSummary, ranks: list[int]) -> list
             inside = inside | here
         bucket = (F if bucket is None else bucket).when(here, place + (number + 1))
         number += len(inner) + 2
+    # Equal keys are one row, so a bucket holds few rows whatever the keys are.
     counted = (
         keys.select(bucket.otherwise(F.lit(number)).alias("bucket"), F.when(inside, key).alias("key"))
-        .groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.collect_list("key").alias("keys"))
+        .groupBy("bucket", "key")
+        .agg(F.count("*").alias("n"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    upto = F.sum("n").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     try:
-        sizes = sorted(tuple(row) for row in counted.select("bucket", "n").collect())
+        sizes = sorted(tuple(row) for row in counted.groupBy("bucket").agg(F.sum("n")).collect())
         out = []
         for rank in ranks:
             before = 0
@@ -216,8 +218,8 @@ def _exact_keys(keys: DataFrame, summary: RankSummary, ranks: list[int]) -> list
                 if rank < before + size:
                     break
                 before += size
-            at = F.element_at(F.sort_array("keys"), rank - before + 1)
-            out.append(counted.filter(F.col("bucket") == number).select(at).first()[0])
+            here = counted.filter(F.col("bucket") == number).withColumn("upto", upto)
+            out.append(here.filter(F.col("upto") > rank - before).orderBy("key").first()["key"])
         return out
     finally:
         counted.unpersist()
@@ -230,7 +232,7 @@ def keys_at(
 
     More than `sorted_at_once` keys are read at most twice, whatever they look like: a mergeable summary narrows all ranks
     at once, to ranges in which they lie for certain, and one exact count over these settles them. Only keys in the
-    ranges, a few thousandths of all, are gathered, in buckets of even size. Equal keys are ranked one by one.
+    ranges, a few thousandths of all, are shuffled, and those of one bucket are sorted in one task.
     """
     if not ranks:
         return []

@@ -15,6 +15,9 @@ from sievecraft.operators import aggregates, guards, ordering
 from sievecraft.plans import prepare
 from sievecraft.schemas import CANDIDATES
 from sievecraft.sources import readers, writers
+from tests.conftest import SF_DIR
+from workloads import views
+from workloads.queries import QUERIES
 
 SCHEMA = ", ".join(f"{name} string" for name in CANDIDATES.names)
 HOT = "2024-02-01T00:00:00Z"
@@ -242,6 +245,34 @@ def test_fingerprint(spark):
     assert base == hashlib.sha256(text.encode()).hexdigest()
 
 
+def _sorted_digest(header, hashes):
+    groups = {}
+    for value in sorted(hashes):
+        groups.setdefault(value[:4], []).append(value)
+    leaves = [hashlib.sha256("".join(groups[prefix]).encode()).hexdigest() for prefix in sorted(groups)]
+    return hashlib.sha256((header + "".join(leaves)).encode()).hexdigest()
+
+
+def test_sorted_digest_hashes_every_value(spark):
+    """Other values with the same number and sum are another set."""
+    ends = [[("0" * 63 + a,), ("0" * 63 + b,), ("f" * 64,)] for a, b in ("14", "23")]
+    frames = [spark.createDataFrame(rows, "row_hash string").repartition(3) for rows in ends]
+    assert len({aggregates.set_digest(rows, "h").first()[0] for rows in frames}) == 1
+    for rows, hashes in zip(frames, ends):
+        assert aggregates.sorted_digest(rows, "h").first()[0] == _sorted_digest("h", [h for h, in hashes])
+    assert aggregates.sorted_digest(frames[0].limit(0), "h").first()[0] == hashlib.sha256(b"h").hexdigest()
+
+
+def _hashes(rows):
+    return [r[0] for r in aggregates.row_hashes(rows.select(*CANDIDATES.names)).collect()]
+
+
+def test_dataset_fingerprint_query_hashes_every_row(spark):
+    kept = prepare_dataset(views.candidates(spark, SF_DIR), minimum_rows=1, minimum_evaluation_rows=1).splits
+    want = _sorted_digest('{"since":null,"until":null}', _hashes(kept))
+    assert QUERIES["dataset_fingerprint"](spark, SF_DIR).first()[0] == want
+
+
 def test_sums_carry_over_all_lanes(spark):
     hashes = ["f" * 64] * 70_000 + ["0" * 63 + "1"] * 3
     rows = spark.createDataFrame([(h,) for h in hashes], "row_hash string").repartition(4)

@@ -273,6 +273,11 @@ def test_dataset_fingerprint_query_hashes_every_row(spark):
     assert QUERIES["dataset_fingerprint"](spark, SF_DIR).first()[0] == want
 
 
+def test_source_digest_query_hashes_every_row(spark):
+    want = _sorted_digest("", _hashes(views.candidates(spark, SF_DIR)))
+    assert QUERIES["source_digest"](spark, SF_DIR).first()[0] == want
+
+
 def test_sums_carry_over_all_lanes(spark):
     hashes = ["f" * 64] * 70_000 + ["0" * 63 + "1"] * 3
     rows = spark.createDataFrame([(h,) for h in hashes], "row_hash string").repartition(4)

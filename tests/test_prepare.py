@@ -17,7 +17,7 @@ from sievecraft.schemas import CANDIDATES
 from sievecraft.sources import readers, writers
 from tests.conftest import SF_DIR
 from workloads import views
-from workloads.queries import QUERIES
+from workloads.queries import QUERIES, SINCE, UNTIL
 
 SCHEMA = ", ".join(f"{name} string" for name in CANDIDATES.names)
 HOT = "2024-02-01T00:00:00Z"
@@ -278,6 +278,21 @@ def test_source_digest_query_hashes_every_row(spark):
     assert QUERIES["source_digest"](spark, SF_DIR).first()[0] == want
 
 
+def test_manifests_hash_every_row(spark, tmp_path):
+    prepared = prepare_dataset(
+        views.candidates(spark, SF_DIR), SINCE, UNTIL, minimum_rows=1, minimum_evaluation_rows=1
+    )
+    header = f'{{"since":"{SINCE.isoformat()}","until":"{UNTIL.isoformat()}"}}'
+    row = QUERIES["prepare_manifest"](spark, SF_DIR).first()
+    assert row["fingerprint"] == _sorted_digest(header, _hashes(prepared.splits))
+
+    rows, source = frame(spark, make_rows(520)), str(tmp_path / "candidates")
+    rows.write.parquet(source)
+    manifest = prepare_files(spark, source, str(tmp_path / "out"))
+    assert manifest["source_sha256"] == _sorted_digest("", _hashes(rows))
+    assert manifest["fingerprint"] == _sorted_digest('{"since":null,"until":null}', _hashes(rows))
+
+
 def test_sums_carry_over_all_lanes(spark):
     hashes = ["f" * 64] * 70_000 + ["0" * 63 + "1"] * 3
     rows = spark.createDataFrame([(h,) for h in hashes], "row_hash string").repartition(4)

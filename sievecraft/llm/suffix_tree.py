@@ -11,12 +11,13 @@ symbol: P(token) = P(class | words) P(symbol | class, symbols) P(word | symbol),
 and one unknown word of each class.
 
 Neither word counts nor contexts of the whole corpus ever meet in one place. Blocks of texts send their distinct words,
-with what follows them, packed, to shards by the hash of the word; shards test the contexts, and send each block the totals
+with what follows them, packed, to shards by the hash of the word, fewer than blocks; shards test the contexts, and send each block the totals
 of just its words and the probabilities of just what follows in it.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +28,9 @@ from pyspark.sql import DataFrame, functions as F
 from sievecraft.llm import texts
 from sievecraft.llm.common import id_key, saved
 
-BLOCK = 8 << 20  # bytes of text in a block
+BLOCK = 5 << 20  # bytes of text in a block; the work of a task, without effect on results
+BLOCKS_OF_SHARD = 2
+PART_KEYS = 1 << 18  # contexts tested at a time, besides those of one word
 COMMON, CLASSES = 127, 128
 SYMBOLS = 1 + COMMON + CLASSES  # 0 ends a text
 KINDS = 1 + CLASSES  # the end and the spelling classes, in which contexts of words tell what follows
@@ -67,22 +70,59 @@ def _kinds(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.where(hashes == np.uint64(_END), 0, classes.astype(np.int64) + 1)
 
 
-def _context_keys(inverse, hashes, kinds, offsets, end_word: int) -> np.ndarray:
-    """For each token: the number of the word before, 16 bits of the hash of the one before that, and the token's kind."""
-    last, older = np.full(len(hashes), end_word, np.int64), np.full(len(hashes), _END, np.uint64)
-    last[1:], older[2:] = inverse[:-1], hashes[:-2]
+def _context_keys(inverse, kinds, offsets, end_word: int, bits: int) -> np.ndarray:
+    """For each token: the number of the word before, that of the one before that, of so many bits, and the token's kind."""
+    last, older = np.full(len(kinds), end_word, np.int64), np.full(len(kinds), end_word, np.int64)
+    last[1:], older[2:] = inverse[:-1], inverse[:-2]
     first = offsets[:-1]
-    last[first], older[first] = end_word, np.uint64(_END)
+    last[first], older[first] = end_word, end_word
     second = first + 1
-    older[second[second < len(older)]] = np.uint64(_END)  # of the next text's first token, after a text without words
-    return last << 24 | (older >> np.uint64(48)).astype(np.int64) << 8 | kinds
+    older[second[second < len(older)]] = end_word  # of the next text's first token, after a text without words
+    return last << bits + 8 | older << 8 | kinds
 
 
 def _followers(words, inverse, owner, offsets, hashes, classes):
-    """Distinct context keys of a block and the key of each token."""
-    end_word = int(np.searchsorted(words, np.uint64(_END)))
-    keys = _context_keys(inverse, hashes, _kinds(hashes, classes), offsets, end_word)
-    return np.unique(keys, return_inverse=True)
+    """Distinct context keys of a block, the key of each token, and the bits that number a word in a key."""
+    end_word, bits = int(np.searchsorted(words, np.uint64(_END))), len(words).bit_length()
+    keys = _context_keys(inverse, _kinds(hashes, classes), offsets, end_word, bits)
+    return *np.unique(keys, return_inverse=True), bits
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers in the least width that holds them all."""
+    return values.astype(np.min_scalar_type(values.max())).tobytes() if len(values) else b""
+
+
+def _bits(values: np.ndarray) -> bytes:
+    """Numbers in the least number of bits that holds them all, after this and their number."""
+    width = max(int(values.max()).bit_length(), 1) if len(values) else 1
+    digits = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little", count=width)
+    return struct.pack("<BI", width, len(values)) + np.packbits(digits).tobytes()
+
+
+def _unbits(raw: bytes) -> np.ndarray:
+    """Numbers packed by `_bits`."""
+    width, number = struct.unpack_from("<BI", raw)
+    digits = np.unpackbits(np.frombuffer(raw, np.uint8, offset=5), count=number * width).reshape(number, width)
+    eights = np.zeros((number, 8), np.uint8)
+    eights[:, : -(-width // 8)] = np.packbits(digits, axis=1, bitorder="little")
+    return eights.view("<u8").ravel()
+
+
+def _rising(hashes: np.ndarray) -> bytes:
+    """Sorted hashes: the first, and what each other is above the one before."""
+    return hashes[:1].tobytes() + _bits(np.diff(hashes)) if len(hashes) else b""
+
+
+def _risen(raw: bytes) -> np.ndarray:
+    """Hashes packed by `_rising`."""
+    first = np.frombuffer(raw[:8], np.uint64)
+    return np.cumsum(np.concatenate([first, _unbits(raw[8:])]), dtype=np.uint64) if raw else first
+
+
+def _wide(raw: bytes, number: int) -> np.ndarray:
+    """So many numbers packed by `_narrow`."""
+    return np.frombuffer(raw, f"<u{len(raw) // number}" if number else np.uint8).astype(np.int64)
 
 
 def _count_kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +156,8 @@ def kinds_of(count: np.ndarray) -> Kinds:
 
 
 _WORDS = (
-    "block int, shard int, words binary, classes binary, counts binary, sizes binary, older binary, next binary, seen binary"
+    "block int, shard int, words binary, classes binary, counts binary, sizes binary, olders binary, older binary, "
+    "next binary, seen binary"
 )
 _TOTALS = (
     "block int, shard int, totals binary, chances binary, n long, v long, states long, sums array<long>, "
@@ -127,30 +168,24 @@ _TOTALS = (
 def _send(shards: int):
     def send(table: pa.Table) -> pa.Table:
         words, classes, count, inverse, owner, offsets, hashes, classes_of = _block_words(table)
-        keys, which = _followers(words, inverse, owner, offsets, hashes, classes_of)
-        train = table.column("train").to_numpy()
-        seen = np.bincount(which, weights=train[owner], minlength=len(keys)).astype(np.uint32)
+        keys, which, bits = _followers(words, inverse, owner, offsets, hashes, classes_of)
+        seen = np.bincount(which, weights=table.column("train").to_numpy()[owner], minlength=len(keys)).astype(np.uint32)
+        del inverse, owner, offsets, hashes, classes_of, which  # as large as the block, while its pieces are packed
         shard = ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
         cut = np.searchsorted(shard, np.arange(shards + 1))
-        pieces = [slice(a, b) for a, b in zip(cut[:-1], cut[1:])]
-        sizes = np.bincount(keys >> 24, minlength=len(words)).astype(np.uint32)
-        cut = np.searchsorted(keys >> 24, cut)
-        rows = [slice(a, b) for a, b in zip(cut[:-1], cut[1:])]
-        older, next_ = (keys >> 8 & 0xFFFF).astype(np.uint16), (keys & 0xFF).astype(np.uint8)
+        sizes = np.bincount(keys >> bits + 8, minlength=len(words))
+        cut = [*zip(cut, np.searchsorted(keys >> bits + 8, cut))]
+        rows = []
+        for (a, c), (b, d) in zip(cut[:-1], cut[1:]):
+            older, place = np.unique(keys[c:d] >> 8 & (1 << bits) - 1, return_inverse=True)
+            next_ = (keys[c:d] & 0xFF).astype(np.uint8).tobytes()
+            own = _rising(words[a:b]), classes[a:b].tobytes(), _narrow(count[a:b]), _narrow(sizes[a:b])
+            rows.append((*own, _rising(words[older]), _bits(place), next_, _narrow(seen[c:d])))
         block = table.column("block")[0].as_py()
-        packed = lambda x, parts: pa.array([x[part].tobytes() for part in parts], pa.binary())
+        names = ("words", "classes", "counts", "sizes", "olders", "older", "next", "seen")
         return pa.table(
-            {
-                "block": pa.array([block] * shards, pa.int32()),
-                "shard": pa.array(range(shards), pa.int32()),
-                "words": packed(words, pieces),
-                "classes": packed(classes, pieces),
-                "counts": packed(count.astype(np.uint32), pieces),
-                "sizes": packed(sizes, pieces),
-                "older": packed(older, rows),
-                "next": packed(next_, rows),
-                "seen": packed(seen, rows),
-            }
+            {"block": pa.array([block] * shards, pa.int32()), "shard": pa.array(range(shards), pa.int32())}
+            | {name: pa.array(column, pa.binary()) for name, column in zip(names, zip(*rows))}
         )
 
     return send
@@ -168,42 +203,72 @@ def _differ(count, parent, groups, number: int, corpus: int) -> tuple[np.ndarray
     return _sums(gain, groups, number) > 0.5 * different * np.log(max(corpus, 2)), total, different
 
 
-def word_states(keys: np.ndarray, seen: np.ndarray, kinds: np.ndarray, known: Kinds):
+def word_states(keys: np.ndarray, seen: np.ndarray, kinds: np.ndarray, known: Kinds, bits: int = 16):
     """For distinct (word, older, next) keys, sorted: the probability of `next` in the longest state of words, 0 if there is
-    none; and the number of states. kinds: those of the words."""
-    pair, pair_of = np.unique((keys >> 24) << 8 | keys & 0xFF, return_inverse=True)
+    none; and the number of states. kinds: those of the words; bits: those of `older` in a key."""
+    word_of = keys >> bits + 8
+    pair, pair_of = np.unique(word_of << 8 | keys & 0xFF, return_inverse=True)
     word, next_ = pair >> 8, pair & 0xFF
     count = _sums(seen, pair_of, len(pair))
     parent = known.share[kinds[word], next_]
     state, total, different = _differ(count, parent, word, len(kinds), known.tokens)
     share = (count + different[word] * parent) / np.maximum(total + different, 1)[word]
     longer, longer_of = np.unique(keys >> 8, return_inverse=True)
-    below, parent = (keys >> 24), share[pair_of]
+    below, parent = word_of, share[pair_of]
     more, total, different = _differ(seen, parent, longer_of, len(longer), known.tokens)
-    more &= state[longer >> 16]
+    more &= state[longer >> bits]
     finer = (seen + different[longer_of] * parent) / np.maximum(total + different, 1)[longer_of]
     chance = np.where(more[longer_of], finer, np.where(state[below], parent, 0.0))
     return chance.astype(np.float32), int(state.sum() + more.sum())
 
 
+def _all_wide(table: pa.Table, name: str, numbers) -> np.ndarray:
+    return np.concatenate([_wide(x.as_py(), number) for x, number in zip(table.column(name), numbers)])
+
+
+def _older_words(table: pa.Table, rows_of: list[int]) -> tuple[np.ndarray, int]:
+    """The older word of each key of a shard, numbered over all blocks by its whole hash, and the bits of these numbers."""
+    held = [_risen(x.as_py()) for x in table.column("olders")]
+    every, number = np.unique(np.concatenate(held), return_inverse=True)
+    starts = np.repeat(np.cumsum([0, *map(len, held)])[:-1], rows_of)
+    place = np.concatenate([_unbits(x.as_py()) for x in table.column("older")]).astype(np.int64)
+    return number[starts + place], len(every).bit_length()
+
+
+def _states_of_parts(keys, seen, kinds, known: Kinds, bits: int) -> tuple[np.ndarray, int]:
+    """`word_states` of some words at a time, as words do not depend on each other."""
+    cuts = np.unique(np.searchsorted(keys, np.append(keys[::PART_KEYS] >> bits + 8 << bits + 8, np.int64(len(kinds)) << bits + 8)))
+    chances, states = [np.zeros(0, np.float32)], 0
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        low, high = int(keys[a] >> bits + 8), int(keys[b - 1] >> bits + 8) + 1
+        chance, found = word_states(keys[a:b] - (low << bits + 8), seen[a:b], kinds[low:high], known, bits)
+        chances.append(chance)
+        states += found
+    return np.concatenate(chances), states
+
+
 def _total(table: pa.Table, kinds_known: Kinds) -> pa.Table:
     """Totals of one shard's words and chances of what follows them, block by block, and a row of sums with block -1."""
-    parts = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("words")]
+    parts = [_risen(x.as_py()) for x in table.column("words")]
     every = np.concatenate(parts)
     words, at, inverse = np.unique(every, return_index=True, return_inverse=True)
-    counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")])
+    counts = _all_wide(table, "counts", map(len, parts))
     classes = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("classes")])[at]
     total = np.bincount(inverse, weights=counts, minlength=len(words)).astype(np.int64)
     cut = np.cumsum([0, *map(len, parts)])
     back = [total[inverse[a:b]].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-    read = lambda name, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
-    own = np.repeat(inverse, read("sizes", np.uint32))
-    keys = own << 24 | read("older", np.uint16).astype(np.int64) << 8 | read("next", np.uint8)
+    next_ = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("next")])
+    rows_of = [len(x.as_py()) for x in table.column("next")]
+    own = np.repeat(inverse, _all_wide(table, "sizes", map(len, parts)))
+    older, bits = _older_words(table, rows_of)
+    keys = own << bits + 8 | older << 8 | next_
+    del own, older, next_
     keys, which = np.unique(keys, return_inverse=True)
-    seen = np.bincount(which, weights=read("seen", np.uint32), minlength=len(keys))
-    chance, states = word_states(keys, seen, _kinds(words, classes), kinds_known)
+    seen = np.bincount(which, weights=_all_wide(table, "seen", rows_of), minlength=len(keys))
+    chance, states = _states_of_parts(keys, seen, _kinds(words, classes), kinds_known, bits)
+    del keys, seen
     chance = chance[which]
-    followed = np.cumsum([0, *(len(x.as_py()) for x in table.column("next"))])
+    followed = np.cumsum([0, *rows_of])
     order = np.lexsort((words, -total))[: COMMON + 1]
     order = order[total[order] > 0]
     top = [{"c": int(total[k]), "h": int(words[k].view(np.int64)), "k": int(classes[k])} for k in order]
@@ -213,7 +278,7 @@ def _total(table: pa.Table, kinds_known: Kinds) -> pa.Table:
     kinds = np.bincount(classes, weights=(total > 0) & real, minlength=CLASSES).astype(np.int64)
     shard = table.column("shard")[0].as_py()
     many = pa.list_(pa.int64())
-    struct = pa.list_(pa.struct([("c", pa.int64()), ("h", pa.int64()), ("k", pa.int32())]))
+    tops = pa.list_(pa.struct([("c", pa.int64()), ("h", pa.int64()), ("k", pa.int32())]))
     return pa.table(
         {
             "block": pa.array([*table.column("block").to_pylist(), -1], pa.int32()),
@@ -225,7 +290,7 @@ def _total(table: pa.Table, kinds_known: Kinds) -> pa.Table:
             "states": pa.array([*none * rows, states], pa.int64()),
             "sums": pa.array([*none * rows, sums.tolist()], many),
             "kinds": pa.array([*none * rows, kinds.tolist()], many),
-            "top": pa.array([*none * rows, top], struct),
+            "top": pa.array([*none * rows, top], tops),
         }
     )
 
@@ -437,7 +502,7 @@ def _score(alphabet_, model_):
             return pa.table({x.split()[0]: [] for x in _SCORES.split(", ")})
         known, model = alphabet_.value, model_.value
         words, _, _, inverse, owner, offsets, hashes, classes = _block_words(left)
-        _, which = _followers(words, inverse, owner, offsets, hashes, classes)
+        _, which, _ = _followers(words, inverse, owner, offsets, hashes, classes)
         order = np.argsort(right.column("shard").to_numpy())
         read = lambda name: b"".join(right.column(name)[int(k)].as_py() for k in order)
         count = np.frombuffer(read("totals"), np.int64)[inverse]
@@ -477,7 +542,7 @@ def scored(docs: DataFrame, train) -> DataFrame:
     size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
     blocks = 1 + size // BLOCK
     placed = rows.withColumn("block", F.pmod(F.xxhash64("d", "t"), F.lit(blocks)).cast("int"))
-    words = placed.groupBy("block").applyInArrow(_send(blocks), _WORDS)
+    words = placed.groupBy("block").applyInArrow(_send(-(-blocks // BLOCKS_OF_SHARD)), _WORDS)
     cells = rows.filter("train").select("text").mapInArrow(_count_kinds, "cell int, n long").groupBy("cell").agg(F.sum("n"))
     dense = np.zeros(KINDS**2)
     for cell, n in cells.collect():

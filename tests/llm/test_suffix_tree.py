@@ -200,6 +200,45 @@ def test_scores_are_those_of_the_definition(documents, monkeypatch, block):
     assert np.allclose([rows[k] for k, _ in docs], want, rtol=1e-4, atol=1e-4)
 
 
+def test_contexts_of_words_with_like_hashes_are_apart(documents):
+    """Two words whose hashes begin with the same 16 bits, each with followers of its own two words on."""
+    by_start = {}
+    for k in range(10**4):
+        word = f"w{k}"
+        start = int(texts.word_hashes(*_raw(word))[0]) >> 48
+        if start in by_start:
+            break
+        by_start[start] = word
+    lines = [f"{by_start[start]} mone ax", f"{word} mone byy", "cx moon dzab"]
+    docs = [(7 * k, " ".join(lines * 20)) for k in range(30)]
+    want, states = plain_scores(docs)
+    assert states > 3
+    rows = {r["d"]: r["score"] for r in suffix_tree.scored(documents(docs), learned()).collect()}
+    assert np.allclose([rows[k] for k, _ in docs], want, rtol=1e-4, atol=1e-4)
+
+
+def test_states_of_parts(monkeypatch):
+    random_ = np.random.default_rng(3)
+    keys = np.unique(random_.integers(0, 40, 5000) << 24 | random_.integers(0, 3, 5000) << 8 | random_.integers(0, 129, 5000))
+    seen, kinds = random_.integers(1, 90, len(keys)).astype(float), random_.integers(1, 129, 40)
+    known = suffix_tree.kinds_of(np.full((suffix_tree.KINDS, suffix_tree.KINDS), 100.0))
+    whole, states = suffix_tree.word_states(keys, seen, kinds, known)
+    monkeypatch.setattr(suffix_tree, "PART_KEYS", 100)
+    parts, of_parts = suffix_tree._states_of_parts(keys, seen, kinds, known, 16)
+    assert np.array_equal(parts, whole) and of_parts == states > 0
+    assert len(suffix_tree._states_of_parts(keys[:0], seen[:0], kinds, known, 16)[0]) == 0
+
+
+def test_packed_numbers():
+    random_ = np.random.default_rng(2)
+    for values in ([], [0], [0, 0, 0], [2**64 - 1], [1, 2, 5], random_.integers(0, 2**54, 1001, np.uint64)):
+        values = np.array(values, np.uint64)
+        assert np.array_equal(suffix_tree._unbits(suffix_tree._bits(values)), values)
+        assert np.array_equal(suffix_tree._risen(suffix_tree._rising(np.sort(values))), np.sort(values))
+        small = values >> np.uint64(1)
+        assert np.array_equal(suffix_tree._wide(suffix_tree._narrow(small), len(small)), small.astype(np.int64))
+
+
 def test_states_of_words_grow_with_the_corpus():
     """Twice the corpus, with as many new words: about twice the states."""
 

@@ -9,6 +9,7 @@ comparing bytes decides.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from sievecraft.operators.joins import lookup_join
@@ -16,9 +17,11 @@ from sievecraft.operators.joins import lookup_join
 # Classes of needles by their size in bytes: (least size, bytes of a piece, pieces of a window). Shorter needles are a
 # single piece of their own size.
 SIZE_CLASSES = ((12, 8, 5), (8, 8, 1), *((size, size, 1) for size in range(7, 0, -1)))
-# Bits of the filter of each class: 2 MB. With more than a few million needles it lets most anchors pass, which costs
-# time but no result.
-FILTER_BITS = 1 << 24
+# The filter of each class is a Bloom filter of FILTER_RATE to twice as many bits a needle, which lets less than a hundredth
+# of the other anchors pass, within these bounds of 2 and 32 MB. With more than 16 million needles of a class it lets more
+# pass, which costs time but no result.
+FILTER_RATE, FILTER_PROBES = 16, 4
+FILTER_BITS, MOST_FILTER_BITS = 1 << 24, 1 << 28
 
 
 def _hashing():
@@ -92,13 +95,14 @@ def _needle_anchors():
 
 def _text_anchors(filters, reach, key):
     """filters: broadcast (class, words) pairs; reach: bytes before and after an anchor, by class."""
-    classes, bits, anchors = SIZE_CLASSES, FILTER_BITS, _hashing()
+    classes, probes, anchors = SIZE_CLASSES, FILTER_PROBES, _hashing()
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        low_half = np.uint64((1 << 32) - 1)
         masks = {number: np.frombuffer(words, np.uint64) for number, words in filters.value.items()}
 
         def found(part):
@@ -110,10 +114,11 @@ def _text_anchors(filters, reach, key):
             for number, words in masks.items():
                 _, piece, window = classes[number]
                 places, hashes = anchors(raw, len(raw) - 8, piece, window, number)
-                bit = hashes % np.uint64(bits)
-                passed = (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
-                picked = np.flatnonzero(passed)
-                places, hashes = places[picked], hashes[picked]
+                for probe in range(probes):
+                    bit = (hashes & low_half) + np.uint64(probe) * (hashes >> np.uint64(32)) & np.uint64(64 * len(words) - 1)
+                    passed = (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
+                    picked = np.flatnonzero(passed)
+                    places, hashes = places[picked], hashes[picked]
                 owner = np.searchsorted(offsets, places, side="right") - 1
                 before, after = reach[number]
                 low = np.maximum(places - before, offsets[owner])
@@ -161,16 +166,14 @@ def found_needles(
         .groupBy("needle", "class", "size")
         .agg(pick.alias("pick"))
         .select("needle", "class", "size", "pick.anchor", "pick.before")
+        .persist(StorageLevel.DISK_ONLY)  # a row a needle, read five times and dear to make
     )
 
-    reach = {
-        row["class"]: (row["before"], row["after"])
-        for row in filed.groupBy("class")
-        .agg(F.max("before").alias("before"), F.max(F.col("size") - F.col("before")).alias("after"))
-        .collect()
-    }
+    after = F.max(F.col("size") - F.col("before")).alias("after")
+    sizes = filed.groupBy("class").agg(F.max("before").alias("before"), after, F.count("*").alias("n")).collect()
+    reach = {row["class"]: (row["before"], row["after"]) for row in sizes}
     spark = texts.sparkSession
-    filters = spark.sparkContext.broadcast(_filter_words(filed, reach))
+    filters = spark.sparkContext.broadcast(_filter_words(filed, {row["class"]: filter_bits(row["n"]) for row in sizes}))
     rows = texts.select(F.col(key), F.col(text).cast("string").alias("text"))
     kind = rows.schema[key].dataType.simpleString()
     emitted = rows.mapInArrow(
@@ -184,18 +187,25 @@ def found_needles(
     return pairs.filter(same).select(key, "needle").distinct()
 
 
-def _filter_words(filed: DataFrame, classes) -> dict[int, bytes]:
-    """A bit for each filed anchor, by class. The driver gets at most FILTER_BITS bits of a class."""
+def filter_bits(needles: int) -> int:
+    """Bits of the filter of so many needles, a power of two."""
+    return min(max(FILTER_BITS, 1 << (FILTER_RATE * needles).bit_length()), MOST_FILTER_BITS)
+
+
+def _filter_words(filed: DataFrame, bits: dict[int, int]) -> dict[int, bytes]:
+    """FILTER_PROBES bits for each filed anchor, by class. The driver gets at most MOST_FILTER_BITS bits of a class."""
     import numpy as np
 
-    # The remainder of the anchor as an unsigned number: FILTER_BITS is a power of two.
-    bit = F.col("anchor").bitwiseAND(F.lit(FILTER_BITS - 1))
-    value = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
-    words = filed.groupBy("class", F.shiftright(bit, 6).cast("int").alias("word")).agg(F.bit_or(value).alias("bits"))
-    number, word, bits = (x.to_numpy() for x in words.toArrow().columns)
+    # Halves of the anchor as unsigned numbers; sizes are powers of two.
+    low, high = F.col("anchor").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned("anchor", 32)
     out = {}
-    for one in classes:
-        filled = np.zeros(FILTER_BITS // 64, np.int64)
-        filled[word[number == one]] = bits[number == one]
+    for one, size in bits.items():
+        probes = F.array(*[(low + probe * high).bitwiseAND(F.lit(size - 1)) for probe in range(FILTER_PROBES)])
+        placed = filed.filter(F.col("class") == one).select(F.explode(probes).alias("bit"))
+        value = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))
+        words = placed.groupBy(F.shiftright("bit", 6).cast("int").alias("word")).agg(F.bit_or(value).alias("bits"))
+        word, found = (x.to_numpy() for x in words.toArrow().columns)
+        filled = np.zeros(size // 64, np.int64)
+        filled[word] = found
         out[one] = filled.tobytes()
     return out

@@ -52,6 +52,24 @@ def test_a_full_filter_costs_no_result(spark, monkeypatch):
     assert found(spark, texts, needles) == expected(texts, needles)
 
 
+def test_filter_grows_with_the_needles(spark, monkeypatch):
+    """Few anchors that no needle has leave the texts, however many needles there are."""
+    monkeypatch.setattr(search, "FILTER_BITS", 64)
+    random_, sent = random.Random(8), []
+    text = lambda size: "".join(random_.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size))
+
+    def spy(emitted, *others):
+        sent.append(emitted.count())
+        return joins.lookup_join(emitted, *others)
+
+    monkeypatch.setattr(search, "lookup_join", spy)
+    texts, needles = [text(2000) for _ in range(20)], [text(40) for _ in range(3000)]
+    texts[3] += needles[7]
+    assert found(spark, texts, needles) == [(3, needles[7])]
+    assert 1 <= sent[0] < 300  # of some 13,000
+    assert [search.filter_bits(n) for n in (1, 3 << 20, 1 << 40)] == [64, 1 << 26, search.MOST_FILTER_BITS]
+
+
 def test_needles_that_begin_alike_are_filed_apart(spark):
     """Long shared beginnings and ends are no place to look needles up by."""
     needles = spark.range(2_000).select(F.format_string("/srv/repositories/of/the/team/%05d/checkout", "id").alias("needle"))

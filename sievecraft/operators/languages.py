@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievecraft.functions.text import LINE_BREAK, changed_files, guess_language
-from sievecraft.operators.joins import lookup_join
+from sievecraft.operators.joins import HOT_KEYS, lookup_join
 
 UNKNOWN = "unknown"
 _TOKEN = r"[\p{L}_][\p{L}\p{N}_]*|[^\s\p{L}\p{N}_]"
@@ -51,10 +52,12 @@ def file_sections(patches: DataFrame, diff: str = "diff") -> DataFrame:
 @dataclass(frozen=True)
 class ContentModel:
     """`tokens`: (token, weights: array of (language, gain)), one row for each known token. `languages`: number of files of
-    each language; there are no more of these than the library has names for, or the given table."""
+    each language; there are no more of these than the library has names for, or the given table. `frequent`: the tokens
+    that hold more than 1/HOT_KEYS of the tokens of all learned files, each file's counted once."""
 
     tokens: DataFrame
     languages: dict[str, int]
+    frequent: list[str] | None = None
 
     def absent(self) -> Column:
         """Array of (language, start, absent): the score of a language before tokens, and for a token that it lacks."""
@@ -84,37 +87,36 @@ def learned(files: DataFrame, language: str = "language", content: str = "conten
     table = F.create_map(*[F.lit(x) for pair in sorted(sizes.items()) for x in pair]) if sizes else F.create_map()
     files_of = F.element_at(table.cast("map<string,bigint>"), F.col("language"))
     gain = _thousandths((F.col("n") + 1) / (files_of + 2)) - _thousandths(F.lit(1) / (files_of + 2))
-    gains = counts.select("token", F.struct("language", gain.alias("gain")).alias("weight"))
+    gains = counts.select("token", "n", F.struct("language", gain.alias("gain")).alias("weight"))
     # A token has at most one weight for each language.
-    tokens = gains.groupBy("token").agg(F.sort_array(F.collect_list("weight")).alias("weights"))
-    return ContentModel(tokens, sizes)
+    weights = F.sort_array(F.collect_list("weight")).alias("weights")
+    tokens = gains.groupBy("token").agg(weights, F.sum("n").alias("n")).persist(StorageLevel.DISK_ONLY)  # read four times
+    total = tokens.agg(F.sum("n")).first()[0] or 0
+    frequent = [row[0] for row in tokens.filter(F.col("n") * HOT_KEYS > total).select("token").collect()]
+    return ContentModel(tokens.select("token", "weights"), sizes, frequent)
 
 
 def guessed_languages(files: DataFrame, model: ContentModel, key: str, content: str = "content") -> DataFrame:
     """Rows (key, language) of the files with at least one known token: the likeliest language, ties to the smaller name.
 
-    `key` is unique. Tokens are matched by a join in which those that very many files hold are spread; a file's gains are
-    added up before they are shuffled.
+    `key` is unique. Tokens are matched by a join in which those that very many learned files hold are spread; one row of
+    gains by language is added up for each file and token.
     """
     rows = files.select(key, F.explode(content_tokens(F.col(content))).alias("token"))
-    known = lookup_join(rows, model.tokens, "token", [key], "inner").select(key, "weights")
-    # Each known token counts as absent in every language; the languages that have it gain the difference.
-    nothing = F.struct(F.lit(None).cast("string").alias("language"), F.lit(1).cast("long").alias("gain"))
-    marked = known.select(key, F.explode(F.concat(F.array(nothing), F.col("weights"))).alias("w"))
-    sums = marked.groupBy(key, "w.language").agg(F.sum("w.gain").alias("sum"))
-    per_file = sums.groupBy(key).agg(
-        F.max(F.when(F.col("language").isNull(), F.col("sum"))).alias("n"),
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("language").isNotNull(), F.struct("language", "sum")))
-        ).alias("gains"),
-    )
-    scores = F.transform(
-        model.absent(),
-        lambda x: F.struct(
-            (-x["start"] - F.col("n") * x["absent"] - F.coalesce(F.try_element_at("gains", x["language"]), F.lit(0))).alias("loss"),
-            x["language"].alias("language"),
-        ),
-    )
+    names = sorted(model.languages)
+    held = F.map_from_entries("weights")
+    gains = [F.coalesce(F.try_element_at(held, F.lit(name)), F.lit(0)).alias(f"_g{k}") for k, name in enumerate(names)]
+    known = lookup_join(rows, model.tokens.select("token", *gains), "token", [key], "inner", hot=model.frequent)
+    sums = [F.sum(f"_g{k}").alias(f"_g{k}") for k in range(len(names))]
+    per_file = known.groupBy(key).agg(F.count("*").alias("n"), *sums)
+    absent = model.absent()
+
+    def score(k: int) -> Column:
+        # Each known token counts as absent in every language; the languages that have it gain the difference.
+        loss = -absent[k]["start"] - F.col("n") * absent[k]["absent"] - F.col(f"_g{k}")
+        return F.struct(loss.alias("loss"), absent[k]["language"].alias("language"))
+
+    scores = F.array(*map(score, range(len(names))))
     return per_file.select(key, F.array_min(scores)["language"].alias("language"))
 
 

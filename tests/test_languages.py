@@ -98,3 +98,23 @@ def test_held_out_files(spark):
     named = [r for r in rows if r["named"] != "unknown"]
     assert len(named) > 100
     assert sum(r["guess"] == r["named"] for r in named) >= 0.97 * len(named)
+
+
+def test_guesses_add_up_once_and_read_no_file_twice(spark, monkeypatch):
+    """One row for each file and token is aggregated; frequent tokens come from the model, not from a pass over the files."""
+    from sievecraft.operators import joins
+
+    def refuse(*_):
+        raise AssertionError("a pass over the files")
+
+    monkeypatch.setattr(joins, "hot_keys_of", refuse)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "small_row_count", lambda *_: None)
+    rows = [(k, f"a{k}", "py" if k % 2 else "go", f"same {'def' if k % 2 else 'func'} w{k}") for k in range(40)]
+    files = spark.createDataFrame(rows, "key int, file string, language string, content string")
+    model = languages.learned(files)
+    assert set(model.frequent) >= {"same", "def", "func"}
+    guesses = languages.guessed_languages(files, model, "key")
+    assert {r["key"]: r["language"] for r in guesses.collect()} == {k: lang for k, _, lang, _ in rows}
+    plan = guesses._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan.split("InMemoryRelation")[0] and plan.split("InMemoryRelation")[0].count("Aggregate") == 1
